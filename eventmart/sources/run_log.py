@@ -1,0 +1,59 @@
+"""Run log: what was loaded, and which table updates started and finished.
+
+A handful of rows per run, appended as one small file each.
+"""
+
+from __future__ import annotations
+
+import json
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventmart.sources.layout import Layout, exists
+
+SCHEMA = (
+    "logged_at timestamp, table_name string, event string, load string, rows long, dead_letters long, scope string"
+)
+
+
+def append(
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    event: str,
+    loads: list[str],
+    *,
+    rows: int | None = None,
+    dead_letters: int | None = None,
+    scope: list | None = None,
+) -> None:
+    """Log an event for each load. `scope` is kept as JSON."""
+    now = datetime.now(UTC)
+    entries = [
+        (now, table, event, load, rows, dead_letters, None if scope is None else json.dumps(scope)) for load in loads
+    ]
+    spark.createDataFrame(entries, SCHEMA).coalesce(1).write.mode("append").json(layout.run_log)
+
+
+def read(spark: SparkSession, layout: Layout) -> DataFrame:
+    if not exists(spark, layout.run_log):
+        return spark.createDataFrame([], SCHEMA)
+    return spark.read.schema(SCHEMA).json(layout.run_log)
+
+
+def loads(spark: SparkSession, layout: Layout, table: str, event: str) -> set[str]:
+    """Loads with such an entry: one short text per load."""
+    found = read(spark, layout).filter((F.col("table_name") == table) & (F.col("event") == event))
+    return {r["load"] for r in found.select("load").distinct().collect()}
+
+
+def unfinished(spark: SparkSession, layout: Layout, table: str) -> list[tuple[str, list]]:
+    """Loads whose table write started and did not finish, each with the scope it had."""
+    log = read(spark, layout).filter((F.col("table_name") == table) & F.col("event").isin("started", "finished"))
+    last = log.groupBy("load").agg(
+        F.max_by("event", F.struct("logged_at", F.col("event") == "finished")).alias("event"),
+        F.max_by("scope", F.when(F.col("event") == "started", F.col("logged_at"))).alias("scope"),
+    )
+    return [(r["load"], json.loads(r["scope"])) for r in last.filter("event = 'started'").collect()]
