@@ -50,6 +50,14 @@ def select_paths(parsed: str, fields: Mapping[str, str]) -> list[Column]:
     return [at_path(parsed, path).alias(name) for name, path in fields.items()]
 
 
+def parse_once(parsed: Column) -> Column:
+    """Keep an expensive column from being computed again by every filter and column that uses it.
+
+    Catalyst moves filters below a projection by repeating its expressions, but not below a generator.
+    """
+    return F.explode(F.array(parsed))
+
+
 def string_at(variant: str, path: str) -> Column:
     """The value at a path of a VARIANT, kept only if it is a JSON string.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.json import is_object, string_at
+from eventmart.functions.json import is_object, parse_once, string_at
 from eventmart.functions.time import utc_now
 from eventmart.schemas import RAW_EVENTS
 
@@ -14,14 +14,14 @@ def decode(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Add the bronze columns and a `reason`, which is null on rows that decode.
 
     Only JSON strings are taken over: a number, an object or a missing parent gives null. The payload
-    is the whole event as normalised JSON text.
+    is the whole event as normalised JSON text. The parser takes broken UTF-8 inside a string, so that
+    is tested first.
     """
     stamped = utc_now() if ingested_at is None else ingested_at
     created = F.col("_created")
     return (
         messages.withColumn("_text", F.col("value").cast("string"))
-        # The parser takes broken UTF-8 inside a string, so test for it first.
-        .withColumn("_json", F.when(F.is_valid_utf8("_text"), F.try_parse_json("_text")))
+        .withColumn("_json", parse_once(F.when(F.is_valid_utf8("_text"), F.try_parse_json("_text"))))
         .withColumn("_created", string_at("_json", "$.created_at"))
         .withColumns(
             {

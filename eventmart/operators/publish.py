@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.functions.json import string_at
+from eventmart.functions.json import parse_once, string_at
 
 
 def keyed_events(records: DataFrame) -> DataFrame:
@@ -13,7 +13,7 @@ def keyed_events(records: DataFrame) -> DataFrame:
 
     `records` has the event as JSON text or bytes in `value`; other columns are kept.
     """
-    parsed = records.withColumn("_json", F.try_parse_json(F.col("value").cast("string")))
+    parsed = records.withColumn("_json", parse_once(F.try_parse_json(F.col("value").cast("string"))))
     return (
         parsed.withColumn("event_id", string_at("_json", "$.id"))
         .withColumn("event_json", F.to_json("_json"))

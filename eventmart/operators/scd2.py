@@ -27,8 +27,6 @@ from eventmart.session import scratch_dir
 # Rows of one entity a single task may hold.
 MAX_ROWS_PER_TASK = 2_000_000
 
-_ORDER = ("event_created_at", "event_id")
-
 
 def hot_entities(rows: DataFrame, max_rows: int) -> dict[str, int]:
     """Entities with more than `max_rows` rows: at most (all rows / max_rows) of them."""
@@ -37,7 +35,7 @@ def hot_entities(rows: DataFrame, max_rows: int) -> dict[str, int]:
 
 
 def _ascending() -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in _ORDER]
+    return [F.col("event_created_at").asc_nulls_last(), F.col("event_id").asc_nulls_first()]
 
 
 def _opens(attributes: tuple[Attribute, ...], strict: bool) -> Column:
@@ -79,7 +77,7 @@ def _split_entities(
     """Entities spread over many tasks."""
     names = [a.name for a in attributes]
     if strict:
-        last = F.max_by(F.struct("event_id", *names), "event_id").alias("_last")
+        last = F.max_by(F.struct("event_id", *names), F.coalesce("event_id", F.lit(""))).alias("_last")
         events = events.groupBy("repo_name", "event_created_at").agg(last)
         events = events.select("repo_name", "event_created_at", "_last.*")
 
@@ -95,7 +93,7 @@ def _split_entities(
 
     in_piece = Window.partitionBy("_piece", "repo_name").orderBy(*_ascending())
     over_pieces = Window.partitionBy("repo_name").orderBy("_piece")
-    position = F.struct(F.col("event_created_at").isNull(), *_ORDER)
+    position = F.struct(F.col("event_created_at").isNull(), "event_created_at", "event_id")
 
     carried = (
         rows.groupBy("_piece", "repo_name")

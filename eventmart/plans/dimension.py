@@ -22,13 +22,13 @@ from eventmart.operators.dedup import copies_of
 from eventmart.operators.scd2 import MAX_ROWS_PER_TASK, dimension
 from eventmart.operators.silver import entity_events
 from eventmart.schemas import ENTITY_ATTRIBUTES, Attribute, dimension_schema
-from eventmart.sources import run_log
+from eventmart.sources import files, progress
 from eventmart.sources.bronze import read_raw_events
-from eventmart.sources.layout import Layout, delete, exists
+from eventmart.sources.layout import Layout
+from eventmart.sources.progress import DIMENSION as NAME
+from eventmart.sources.progress import EVERYTHING
 from eventmart.sources.staging import stage
 
-NAME = "dim_repo_scd2"
-EVERYTHING = "*"
 _PARTITION = ["bucket", "valid_month"]
 
 
@@ -48,31 +48,22 @@ class DimensionTable:
 
     # -- reading
 
-    def stored_fields(self) -> list[T.StructField]:
-        """Columns of the table: the declared ones, then those earlier runs wrote and this one lacks."""
-        declared = dimension_schema(self.attributes)
-        entries = (
-            run_log.read(self.spark, self.layout)
-            .filter((F.col("table_name") == NAME) & (F.col("event") == "columns"))
-            .orderBy("logged_at")
-        )
-        earlier = {e["load"]: e["scope"] for e in entries.collect()}
-        extra = [
-            T.StructField(name, T.DataType.fromDDL(type_.strip('[]"')))
-            for name, type_ in earlier.items()
-            if name not in declared.fieldNames()
-        ]
-        return declared.fields + extra
-
-    def _log_columns(self) -> None:
-        known = run_log.loads(self.spark, self.layout, NAME, "columns")
-        for a in self.attributes:
-            if a.name not in known:
-                run_log.append(self.spark, self.layout, NAME, "columns", [a.name], scope=[a.type])
+    def all_attributes(self) -> tuple[Attribute, ...]:
+        """The declared attributes, then those earlier writes gave the table and this one lacks.
+
+        The latter are kept in the rows that have them, and null in new ones, until a full build.
+        """
+        earlier = progress.columns(self.spark, self.layout, NAME)
+        declared = {a.name for a in self.attributes}
+        dropped = [Attribute(n, "", t, tracked=False) for n, t in earlier.items() if n not in declared]
+        return (*self.attributes, *dropped)
+
+    def _note_columns(self, attributes: tuple[Attribute, ...]) -> None:
+        progress.set_columns(self.spark, self.layout, NAME, {a.name: a.type for a in attributes})
 
     def _stored(self) -> DataFrame:
         parts = [T.StructField(p, T.IntegerType()) for p in _PARTITION]
-        schema = T.StructType(self.stored_fields() + parts)
+        schema = T.StructType(dimension_schema(self.all_attributes()).fields + parts)
         return self.spark.read.schema(schema).parquet(self.layout.dimension)
 
     def read(self) -> DataFrame:
@@ -106,17 +97,17 @@ class DimensionTable:
     def build(self, loads: list[str] | None = None) -> None:
         """Build the whole table from bronze. `loads` are logged as done."""
         raw = read_raw_events(self.spark, self.layout)
-        done = sorted(loads if loads is not None else run_log.loads(self.spark, self.layout, "raw_events", "ingested"))
+        done = loads if loads is not None else progress.pending(self.spark, self.layout, NAME)
         rows = dimension(
             entity_events(raw, self.attributes),
             self.attributes,
             sizes=raw.select("repo_name"),
             max_rows=self.max_rows,
         )
-        self._log_columns()
-        run_log.append(self.spark, self.layout, NAME, "started", done, scope=[EVERYTHING])
+        self._note_columns(self.attributes)
+        progress.started(self.spark, self.layout, NAME, done, [EVERYTHING])
         self._write(self._placed(rows), "static")
-        run_log.append(self.spark, self.layout, NAME, "finished", done)
+        progress.finished(self.spark, self.layout, NAME, done)
 
     def _rebuild_buckets(self, buckets: list[int], loads: list[str]) -> None:
         """Build some buckets again from bronze, whatever state they are in."""
@@ -127,25 +118,21 @@ class DimensionTable:
             events, self.attributes, sizes=raw.select("repo_name").filter(in_buckets), max_rows=self.max_rows
         )
         for bucket in buckets:
-            delete(self.spark, f"{self.layout.dimension}/bucket={bucket}")
+            files.delete(self.spark, f"{self.layout.dimension}/bucket={bucket}")
         self._write(self._placed(rows), "dynamic")
-        run_log.append(self.spark, self.layout, NAME, "finished", loads)
+        progress.finished(self.spark, self.layout, NAME, loads)
 
     def recover(self) -> None:
         """Repair what an update left behind that died while writing."""
-        broken = run_log.unfinished(self.spark, self.layout, NAME)
-        if not broken:
-            return
-        loads = sorted({load for load, _ in broken})
-        scope = {entry for _, entries in broken for entry in entries}
+        loads, scope = progress.interrupted(self.spark, self.layout, NAME)
         if EVERYTHING in scope:
             self.build(loads)
-        else:
-            self._rebuild_buckets(sorted(scope), loads)
+        elif scope:
+            self._rebuild_buckets(scope, loads)
 
     def update(self, loads: list[str]) -> None:
         """Bring the table up to date with loads that are in bronze and not in the table yet."""
-        if not exists(self.spark, self.layout.dimension):
+        if not files.exists(self.spark, self.layout.dimension):
             return self.build()
         self.recover()
         raw = read_raw_events(self.spark, self.layout)
@@ -162,7 +149,7 @@ class DimensionTable:
         )
         touched, seen = stage(touched, "touched", since=F.min("since"))
         if seen["since"] is None:
-            run_log.append(self.spark, self.layout, NAME, "finished", loads)
+            progress.finished(self.spark, self.layout, NAME, loads)
             return None
 
         events, total = self._events_since(raw, touched, seen["since"])
@@ -188,7 +175,8 @@ class DimensionTable:
         return events, seen["total"] or 0
 
     def _replace(self, touched: DataFrame, events: DataFrame, total: int, loads: list[str]) -> None:
-        names = [a.name for a in self.attributes]
+        attributes = self.all_attributes()
+        names = [a.name for a in attributes]
         buckets = sorted(r["bucket"] for r in touched.select("bucket").distinct().collect())
         stored = self._stored().filter(F.col("bucket").isin(buckets))
 
@@ -204,8 +192,8 @@ class DimensionTable:
             *[f"anchor.{n}" for n in names],
         )
         fresh = dimension(
-            seeds.unionByName(events),
-            self.attributes,
+            seeds.unionByName(events, allowMissingColumns=True),
+            attributes,
             total=total + (seen["total"] or 0),
             max_rows=self.max_rows,
         )
@@ -234,10 +222,10 @@ class DimensionTable:
             still = kept.select(_partition().alias("part")).filter(F.col("part").isin(list(emptied))).distinct()
             emptied -= {r["part"] for r in still.collect()}
 
-        self._log_columns()
-        run_log.append(self.spark, self.layout, NAME, "started", loads, scope=buckets)
-        self._write(kept.unionByName(fresh, allowMissingColumns=True), "dynamic")
+        self._note_columns(attributes)
+        progress.started(self.spark, self.layout, NAME, loads, buckets)
+        self._write(kept.unionByName(fresh), "dynamic")
         for part in emptied:
             bucket, month = part.split("/")
-            delete(self.spark, f"{self.layout.dimension}/bucket={bucket}/valid_month={month}")
-        run_log.append(self.spark, self.layout, NAME, "finished", loads)
+            files.delete(self.spark, f"{self.layout.dimension}/bucket={bucket}/valid_month={month}")
+        progress.finished(self.spark, self.layout, NAME, loads)

@@ -18,13 +18,13 @@ from eventmart.operators.dedup import copies_of
 from eventmart.operators.hourly import hourly_fact
 from eventmart.operators.silver import event_facts
 from eventmart.schemas import HOURLY_FACT
-from eventmart.sources import run_log
+from eventmart.sources import files, progress
 from eventmart.sources.bronze import read_raw_events
-from eventmart.sources.layout import Layout, delete, exists
+from eventmart.sources.layout import Layout
+from eventmart.sources.progress import EVERYTHING
+from eventmart.sources.progress import FACT as NAME
 from eventmart.sources.staging import stage
 
-NAME = "fct_events_hourly"
-EVERYTHING = "*"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 # Fixed value: hours a look-back goes back.
 LOOKBACK_HOURS = 3
@@ -76,14 +76,14 @@ class FactTable:
     def build(self, loads: list[str] | None = None) -> None:
         """Build the whole table from bronze. `loads` are logged as done."""
         raw = read_raw_events(self.spark, self.layout)
-        done = sorted(loads if loads is not None else run_log.loads(self.spark, self.layout, "raw_events", "ingested"))
-        run_log.append(self.spark, self.layout, NAME, "started", done, scope=[EVERYTHING])
+        done = loads if loads is not None else progress.pending(self.spark, self.layout, NAME)
+        progress.started(self.spark, self.layout, NAME, done, [EVERYTHING])
         self._write(hourly_fact(event_facts(raw)), "static")
-        run_log.append(self.spark, self.layout, NAME, "finished", done)
+        progress.finished(self.spark, self.layout, NAME, done)
 
     def update(self, loads: list[str]) -> None:
         """Bring the table up to date with loads that are in bronze and not in the table yet."""
-        if not exists(self.spark, self.layout.fact):
+        if not files.exists(self.spark, self.layout.fact):
             return self.build()
         raw = read_raw_events(self.spark, self.layout)
         ids = raw.filter(F.col("load").isin(loads)).select("event_id").distinct()
@@ -97,13 +97,12 @@ class FactTable:
         raw = read_raw_events(self.spark, self.layout)
         recent = raw.filter(F.col("event_created_at") >= F.lit(since)).select(_day().alias("day"))
         stored = self.read().filter(F.col("event_date") >= F.lit(since.date())).select("event_date")
-        self._refresh(recent.union(stored), [f"look-back-{since:%Y%m%d%H%M}"])
+        self._refresh(recent.union(stored), [])
 
     def _refresh(self, touched: DataFrame, loads: list[str]) -> None:
         """Rewrite the days listed in `touched`, and those an earlier run left half written."""
-        broken = run_log.unfinished(self.spark, self.layout, NAME)
-        loads = sorted({*loads, *(load for load, _ in broken)})
-        scope = {entry for _, entries in broken for entry in entries}
+        earlier, scope = progress.interrupted(self.spark, self.layout, NAME)
+        loads = sorted({*loads, *earlier})
         days = [r["day"] for r in touched.distinct().limit(MAX_DAYS + 1).collect()]
         if EVERYTHING in scope or len(days) > MAX_DAYS:
             return self.build(loads)
@@ -111,11 +110,11 @@ class FactTable:
         if days:
             rows, found = self._days(days)
             names = {d: NO_DAY if d is None else d.isoformat() for d in days}
-            run_log.append(self.spark, self.layout, NAME, "started", loads, scope=sorted(names.values()))
+            progress.started(self.spark, self.layout, NAME, loads, sorted(names.values()))
             self._write(rows, "dynamic")
             for day in set(days) - found:
-                delete(self.spark, f"{self.layout.fact}/event_date={names[day]}")
-        run_log.append(self.spark, self.layout, NAME, "finished", loads)
+                files.delete(self.spark, f"{self.layout.fact}/event_date={names[day]}")
+        progress.finished(self.spark, self.layout, NAME, loads)
         return None
 
     def _days(self, days: list[date | None]) -> tuple[DataFrame, set[date | None]]:

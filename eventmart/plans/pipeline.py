@@ -12,9 +12,9 @@ from eventmart.operators.silver import event_facts, silver_events
 from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import FactTable
 from eventmart.session import configure
-from eventmart.sources import run_log
+from eventmart.sources import files, progress
 from eventmart.sources.bronze import create_tables, read_raw_events
-from eventmart.sources.layout import Layout, exists
+from eventmart.sources.layout import Layout
 from eventmart.sources.messages import Source
 from eventmart.streaming.ingest import drain
 
@@ -35,16 +35,13 @@ class Result:
 
 def update_gold(spark: SparkSession, layout: Layout, mode: str = INCREMENTAL) -> None:
     """Bring the gold tables up to date with bronze: from scratch, or by the loads they lack."""
-    ingested = run_log.loads(spark, layout, "raw_events", "ingested")
     for name, table, path in (
-        ("dim_repo_scd2", DimensionTable(spark, layout), layout.dimension),
-        ("fct_events_hourly", FactTable(spark, layout), layout.fact),
+        (progress.DIMENSION, DimensionTable(spark, layout), layout.dimension),
+        (progress.FACT, FactTable(spark, layout), layout.fact),
     ):
-        if mode == FULL or not exists(spark, path):
+        if mode == FULL or not files.exists(spark, path):
             table.build()
-            continue
-        missing = sorted(ingested - run_log.loads(spark, layout, name, "finished"))
-        if missing:
+        elif missing := progress.pending(spark, layout, name):
             table.update(missing)
 
 
@@ -53,9 +50,9 @@ def register_views(spark: SparkSession, layout: Layout) -> None:
     raw = read_raw_events(spark, layout).drop("load", "ingested_date")
     raw.createOrReplaceTempView("raw_events")
     silver_events(raw).createOrReplaceTempView("silver_events")
-    if exists(spark, layout.dimension):
+    if files.exists(spark, layout.dimension):
         DimensionTable(spark, layout).read().createOrReplaceTempView("dim_repo_scd2")
-    if exists(spark, layout.fact):
+    if files.exists(spark, layout.fact):
         FactTable(spark, layout).read().drop("event_date").createOrReplaceTempView("fct_events_hourly")
 
 

@@ -22,7 +22,7 @@ from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import LOOKBACK_HOURS, FactTable
 from eventmart.schemas import RAW_EVENTS
 from eventmart.session import configure, scratch_dir
-from eventmart.sources import fixtures, run_log
+from eventmart.sources import fixtures, progress
 from eventmart.sources.bronze import create_tables, read_raw_events, write_load
 from eventmart.sources.layout import Layout
 from eventmart.sources.messages import file_source
@@ -198,7 +198,7 @@ def _batches(spark: SparkSession, sf_dir: str, name: str) -> tuple[Layout, list[
 
 def _load(spark: SparkSession, layout: Layout, rows: DataFrame, load: str) -> None:
     write_load(rows, layout, load, rebalance=True)
-    run_log.append(spark, layout, "raw_events", "ingested", [load])
+    progress.loaded(spark, layout, load, rows=0, dead_letters=0)
 
 
 @_query

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.schemas import DEAD_LETTER, RAW_EVENTS
+from eventmart.sources import files
 from eventmart.sources.layout import Layout
 
 _LOAD = [T.StructField("load", T.StringType())]
@@ -18,12 +19,9 @@ _DAY = [T.StructField("ingested_date", T.DateType())]
 
 
 def create_tables(spark: SparkSession, layout: Layout) -> None:
-    """Make the bronze directories if they are missing."""
-    for path, schema, parts in (
-        (layout.raw_events, T.StructType(RAW_EVENTS.fields + _LOAD + _DAY), ["load", "ingested_date"]),
-        (layout.dead_letter, T.StructType(DEAD_LETTER.fields + _LOAD), ["load"]),
-    ):
-        spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*parts).parquet(path)
+    """Make the bronze directories if they are missing; an empty one is an empty table."""
+    for path in (layout.raw_events, layout.dead_letter):
+        files.make_directory(spark, path)
 
 
 def write_load(rows: DataFrame, layout: Layout, load: str, *, rebalance: bool = False) -> None:

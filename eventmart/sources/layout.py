@@ -1,11 +1,9 @@
-"""Where tables live, and the few file-system calls Spark's writers do not cover."""
+"""Where tables live."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -41,21 +39,14 @@ class Layout:
     def run_log(self) -> str:
         return self.path("ops", "run_log")
 
-    def checkpoint(self, stream: str) -> str:
-        return self.path("ops", f"checkpoint_{stream}")
-
+    def pending(self, table: str) -> str:
+        return self.path("ops", f"pending/{table}")
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+    def started(self, table: str) -> str:
+        return self.path("ops", f"started/{table}")
 
+    def columns(self, table: str) -> str:
+        return self.path("ops", f"columns/{table}.json")
 
-def exists(spark: SparkSession, path: str) -> bool:
-    files, target = _file_system(spark, path)
-    return files.exists(target)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a directory of a table; nothing happens if it is not there."""
-    files, target = _file_system(spark, path)
-    files.delete(target, True)
+    def checkpoint(self, stream: str) -> str:
+        return self.path("ops", f"checkpoint_{stream}")

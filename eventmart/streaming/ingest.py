@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventmart.operators.decode import bronze_rows, dead_letters, decode
-from eventmart.sources import run_log
+from eventmart.sources import files, progress
 from eventmart.sources.bronze import create_tables, write_dead_letters, write_load
 from eventmart.sources.layout import Layout
 from eventmart.sources.messages import CONTINUOUS_INTERVAL, Source
@@ -25,7 +25,7 @@ STREAM = "ingest"
 
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of a streaming query: it stays over restarts, and is new with a new checkpoint."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+    return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def load_batch(
@@ -48,7 +48,7 @@ def load_batch(
     finally:
         decoded.unpersist()
     rows, dead = good.get.get("n") or 0, bad.get.get("n") or 0
-    run_log.append(spark, layout, "raw_events", "ingested", [load], rows=rows, dead_letters=dead)
+    progress.loaded(spark, layout, load, rows, dead)
     return rows
 
 
