@@ -96,8 +96,9 @@ class DimensionTable:
 
     def build(self, loads: list[str] | None = None) -> None:
         """Build the whole table from bronze. `loads` are logged as done."""
-        raw = read_raw_events(self.spark, self.layout)
+        # Listed before bronze is, so that no load is logged as done that was not read.
         done = loads if loads is not None else progress.pending(self.spark, self.layout, NAME)
+        raw = read_raw_events(self.spark, self.layout)
         rows = dimension(
             entity_events(raw, self.attributes),
             self.attributes,
