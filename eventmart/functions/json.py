@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def json_get(column: str | Column, path: str) -> Column:
-    """The value at a JSON path as text; null if absent or JSON null."""
-    return F.get_json_object(column, path)
-
-
 def _keys(path: str) -> list[str]:
     if not path.startswith("$."):
         raise ValueError(f"not an object path: {path}")
@@ -33,10 +28,7 @@ def _struct(paths: list[list[str]]) -> T.StructType:
 
 
 def parse_paths(column: str | Column, paths: list[str]) -> Column:
-    """Parse a JSON text once, keeping only the given paths, as a nested struct of text.
-
-    Same values as `json_get` on each path, but the text is read once instead of once per path.
-    """
+    """Parse a JSON text once, keeping only the given paths, as a nested struct of text."""
     return F.from_json(column, _struct([_keys(p) for p in paths]))
 
 
@@ -50,24 +42,62 @@ def select_paths(parsed: str, fields: Mapping[str, str]) -> list[Column]:
     return [at_path(parsed, path).alias(name) for name, path in fields.items()]
 
 
-def parse_once(parsed: Column) -> Column:
+def json_get(column: str | Column, path: str) -> Column:
+    """The value at a JSON path as text; null if absent or JSON null. Of a repeated key, the last counts."""
+    value = parse_paths(column, [path])
+    for key in _keys(path):
+        value = value.getField(key)
+    return value
+
+
+def normalised(text: str | Column) -> Column:
+    """A JSON text without the white space between its values."""
+    return F.get_json_object(text, "$")
+
+
+def once(column: Column) -> Column:
     """Keep an expensive column from being computed again by every filter and column that uses it.
 
     Catalyst moves filters below a projection by repeating its expressions, but not below a generator.
     """
-    return F.explode(F.array(parsed))
+    return F.explode(F.array(column))
+
+
+# Follows a text while it is parsed. Any text will do that does not come after an event by chance.
+_END = "end-of-text"
 
 
-def string_at(variant: str, path: str) -> Column:
-    """The value at a path of a VARIANT, kept only if it is a JSON string.
+def with_json(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the VARIANT of a JSON text; null unless the whole text is valid UTF-8 and one JSON value.
 
-    Casts would turn numbers and objects into text, so the type is tested first. The path is null
-    where a parent is not an object.
+    The parser takes broken UTF-8 inside a string, so that is tested first. It stops after the first
+    value, so the text is parsed as the first of two array elements, and is whole if the second one is
+    found in its place.
     """
-    value = F.try_variant_get(variant, path, "variant")
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(variant, path, "string"))
+    pair = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
+    is_whole = F.try_variant_get("_pair", "$[1]", "string") == _END
+    return (
+        rows.withColumn("_pair", once(F.when(F.is_valid_utf8(text), pair)))
+        .withColumn(name, once(F.when(is_whole, F.try_variant_get("_pair", "$[0]", "variant"))))
+        .drop("_pair")
+    )
+
+
+def with_strings(rows: DataFrame, json: str, fields: Mapping[str, str]) -> DataFrame:
+    """Add the values at paths of a VARIANT, kept only where they are JSON strings.
+
+    Casts would turn numbers and objects into text, so the type is tested first. A path is null where
+    a parent is not an object.
+    """
+    found = F.struct(*[F.try_variant_get(json, path, "variant").alias(name) for name, path in fields.items()])
+
+    def text(name: str) -> Column:
+        value = F.col(f"_found.{name}")
+        return F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
+
+    return rows.withColumn("_found", once(found)).withColumns({name: text(name) for name in fields}).drop("_found")
 
 
-def is_object(variant: str) -> Column:
-    """True where a VARIANT holds a JSON object."""
-    return F.try_variant_get(variant, "$", "map<string,variant>").isNotNull()
+def is_object(text: str | Column) -> Column:
+    """Does this valid JSON text hold an object?"""
+    return F.startswith(F.ltrim(text, F.lit(" \t\n\r")), F.lit("{"))

@@ -5,45 +5,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.json import is_object, parse_once, string_at
+from eventmart.functions.json import is_object, normalised, with_json, with_strings
 from eventmart.functions.time import utc_now
 from eventmart.schemas import RAW_EVENTS
 
+# Where the bronze columns are in an event.
+_STRINGS = {
+    "event_id": "$.id",
+    "event_type": "$.type",
+    "actor_login": "$.actor.login",
+    "repo_name": "$.repo.name",
+    "created_at": "$.created_at",
+}
+
 
 def decode(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Add the bronze columns and a `reason`, which is null on rows that decode.
 
     Only JSON strings are taken over: a number, an object or a missing parent gives null. The payload
-    is the whole event as normalised JSON text. The parser takes broken UTF-8 inside a string, so that
-    is tested first.
+    is the whole event as JSON text.
     """
-    stamped = utc_now() if ingested_at is None else ingested_at
-    created = F.col("_created")
-    return (
-        messages.withColumn("_text", F.col("value").cast("string"))
-        .withColumn("_json", parse_once(F.when(F.is_valid_utf8("_text"), F.try_parse_json("_text"))))
-        .withColumn("_created", string_at("_json", "$.created_at"))
-        .withColumns(
-            {
-                "event_id": string_at("_json", "$.id"),
-                "event_type": string_at("_json", "$.type"),
-                "actor_login": string_at("_json", "$.actor.login"),
-                "repo_name": string_at("_json", "$.repo.name"),
-                "event_created_at": F.try_to_timestamp(created).cast("timestamp_ntz"),
-                "ingested_at": stamped,
-                "payload": F.to_json("_json"),
-            }
-        )
-        .withColumn(
-            "reason",
-            F.when(F.col("value").isNull(), "null value")
-            .when(~F.is_valid_utf8("_text"), "encoding")
-            .when(F.col("_json").isNull(), "malformed")
-            .when(~is_object("_json"), "not an object")
-            .when(F.col("event_id").isNull(), "id")
-            .when(created.isNotNull() & F.col("event_created_at").isNull(), "timestamp"),
-        )
-        .drop("_text", "_json", "_created")
+    kept = messages.columns
+    texts = messages.withColumn("_text", F.col("value").cast("string"))
+    created_at = F.try_to_timestamp("created_at")
+    return with_strings(with_json(texts, "_text", "_json"), "_json", _STRINGS).select(
+        *kept,
+        "event_id",
+        "event_type",
+        "actor_login",
+        "repo_name",
+        created_at.cast("timestamp_ntz").alias("event_created_at"),
+        (utc_now() if ingested_at is None else ingested_at).alias("ingested_at"),
+        normalised("_text").alias("payload"),
+        F.when(F.col("value").isNull(), "null value")
+        .when(~F.is_valid_utf8("_text"), "encoding")
+        .when(F.col("_json").isNull(), "malformed")
+        .when(~is_object("_text"), "not an object")
+        .when(F.col("event_id").isNull(), "id")
+        .when(F.col("created_at").isNotNull() & created_at.isNull(), "timestamp")
+        .alias("reason"),
     )
 
 

@@ -5,21 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.functions.json import parse_once, string_at
+from eventmart.functions.json import normalised, with_json, with_strings
 
 
 def keyed_events(records: DataFrame) -> DataFrame:
-    """Add `event_id` and the normalised `event_json`; records without a string id are left out.
+    """Add the `event_id` of the event in `value`, as JSON text or bytes.
 
-    `records` has the event as JSON text or bytes in `value`; other columns are kept.
+    Records without a string id are left out.
     """
-    parsed = records.withColumn("_json", parse_once(F.try_parse_json(F.col("value").cast("string"))))
-    return (
-        parsed.withColumn("event_id", string_at("_json", "$.id"))
-        .withColumn("event_json", F.to_json("_json"))
-        .drop("_json", "value")
-        .filter(F.col("event_id").isNotNull())
-    )
+    texts = records.withColumn("_text", F.col("value").cast("string"))
+    keyed = with_strings(with_json(texts, "_text", "_json"), "_json", {"event_id": "$.id"})
+    return keyed.drop("_text", "_json").filter(F.col("event_id").isNotNull())
 
 
 def new_events(keyed: DataFrame, arrival: Column, published: DataFrame | None = None) -> DataFrame:
@@ -35,8 +31,8 @@ def new_events(keyed: DataFrame, arrival: Column, published: DataFrame | None =
 
 
 def as_messages(keyed: DataFrame) -> DataFrame:
-    """Key and value as the message sink takes them."""
+    """Key and value as the message sink takes them: the id, and the event as JSON text."""
     return keyed.select(
         F.col("event_id").cast("binary").alias("key"),
-        F.col("event_json").cast("binary").alias("value"),
+        normalised(F.col("value").cast("string")).cast("binary").alias("value"),
     )

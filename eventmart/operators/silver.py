@@ -15,21 +15,16 @@ _COLUMNS = ("event_id", "event_type", "actor_login", "repo_name", "event_created
 def typed_events(raw: DataFrame) -> DataFrame:
     """Bronze rows with the payload fields as text columns; copies are kept."""
     return raw.select(
-        "event_id",
-        "event_type",
-        "actor_login",
-        "repo_name",
-        F.col("event_created_at").cast("timestamp_ntz").alias("event_created_at"),
-        "ingested_at",
+        *_COLUMNS,
         parse_paths("payload", list(SILVER_FIELDS.values())).alias("_fields"),
         "payload",
     ).select(*_COLUMNS, *select_paths("_fields", SILVER_FIELDS), "payload")
 
 
 def silver_events(raw: DataFrame) -> DataFrame:
-    """The silver view: the latest copy of each event, with its payload."""
-    hashed = typed_events(raw).withColumn(PAYLOAD_HASH, F.xxhash64("payload"))
-    return latest_copies(hashed).drop(PAYLOAD_HASH)
+    """The silver view: the latest copy of each event, with its payload. Only that copy is parsed."""
+    hashed = raw.select(*_COLUMNS, "payload", F.xxhash64("payload").alias(PAYLOAD_HASH))
+    return typed_events(latest_copies(hashed))
 
 
 def event_facts(raw: DataFrame) -> DataFrame:

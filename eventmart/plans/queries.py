@@ -10,6 +10,7 @@ from math import ceil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.functions.json import normalised
 from eventmart.functions.time import hours_ago, lookback_day
 from eventmart.operators import quality
 from eventmart.operators.decode import bronze_rows, dead_letters, decode
@@ -100,7 +101,7 @@ def publish_dedup(spark, sf_dir):
     keyed = keyed_events(fixtures.messages(spark, sf_dir))
     published = fixtures.driver_events(spark, sf_dir).filter("event_id % 7 = 0")
     fresh = new_events(keyed, F.col("offset"), published.select(F.col("event_id").cast("string").alias("event_id")))
-    return fresh.select("event_id", F.col("offset").alias("msg_offset"), "event_json")
+    return fresh.select("event_id", F.col("offset").alias("msg_offset"), normalised(F.col("value").cast("string")).alias("event_json"))
 
 
 # -- silver

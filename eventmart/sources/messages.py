@@ -13,11 +13,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from eventmart.schemas import MESSAGE
 
-# Rows per micro-batch and seconds between them for the continuous loader, and rows
-# per micro-batch for a bounded drain.
-CONTINUOUS_BATCH_ROWS = 200
+# The longest wait between loads of the continuous loader, its rows per load at a few
+# events a second, and the producer's linger time.
 CONTINUOUS_INTERVAL = "5 seconds"
-DRAIN_BATCH_ROWS = 100
+CONTINUOUS_BATCH_ROWS = 200
 LINGER_MS = 50
 
 
@@ -43,10 +42,11 @@ class Source:
         return reader.load(self.path)
 
 
-def kafka_source(bootstrap: str, topic: str, batch_rows: int | None = DRAIN_BATCH_ROWS) -> Source:
+def kafka_source(bootstrap: str, topic: str, batch_rows: int | None = None) -> Source:
     """Subscribe from the earliest offset; progress is kept in the stream's checkpoint.
 
-    `batch_rows` caps a micro-batch, not the whole run. None reads all there is in one batch.
+    `batch_rows` caps a micro-batch, not the whole run. Each batch costs the same few jobs, so at scale
+    leave it out, or set it to what the cluster takes in a minute or so.
     """
     options = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": "earliest"}
     if batch_rows is not None:

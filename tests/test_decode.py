@@ -48,6 +48,7 @@ ROWS = {
     "no time": (as_bytes(without("created_at")), (*GOOD[:4], None)),
     "time a number": (as_bytes(event(created_at=5)), (*GOOD[:4], None)),
     "time with offset": (as_bytes(event(created_at="2026-01-01T02:00:00+02:00")), GOOD),
+    "space around": (b" \n\t" + as_bytes(event()) + b"\r\n ", GOOD),
     "key twice": (b'{"id": "1", "id": "42"}', ("42", None, None, None, None)),
     "no letters but ascii": (as_bytes(event(type="Ünï")), ("42", "Ünï", "octo", "octo/hello", CREATED)),
 }
@@ -57,7 +58,13 @@ DEAD = {
     "broken utf-8": (b'{"id": "a\xff"}', "encoding"),
     "not json": (b"{not-json", "malformed"),
     "empty": (b"", "malformed"),
+    "text after the event": (as_bytes(event()) + b" xyz", "malformed"),
+    "two events": (as_bytes(event()) + as_bytes(event()), "malformed"),
+    "two events and a comma": (as_bytes(event()) + b"," + as_bytes(event()), "malformed"),
+    "bracket after the event": (as_bytes(event()) + b"],[{}", "malformed"),
+    "cut short": (as_bytes(event())[:-1], "malformed"),
     "array": (b"[1]", "not an object"),
+    "array of events": (as_bytes([event()]), "not an object"),
     "number": (b"42", "not an object"),
     "string": (b'"x"', "not an object"),
     "null": (b"null", "not an object"),
