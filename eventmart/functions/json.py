@@ -63,41 +63,47 @@ def once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
-# Follows a text while it is parsed. Any text will do that does not come after an event by chance.
+# Follows a text while it is parsed, to tell whether the parser took all of it. Any name will do that
+# does not come after an event by chance.
 _END = "end-of-text"
 
 
-def with_json(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Add the VARIANT of a JSON text; null unless the whole text is valid UTF-8 and one JSON value.
+def is_whole_json(text: str | Column) -> Column:
+    """Is the whole text one JSON value? The parser alone stops after the first one."""
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    return F.coalesce(F.try_variant_get(pair, "$[1]", "string") == _END, F.lit(False))
 
-    The parser takes broken UTF-8 inside a string, so that is tested first. It stops after the first
-    value, so the text is parsed as the first of two array elements, and is whole if the second one is
-    found in its place.
-    """
-    pair = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
-    is_whole = F.try_variant_get("_pair", "$[1]", "string") == _END
-    return (
-        rows.withColumn("_pair", once(F.when(F.is_valid_utf8(text), pair)))
-        .withColumn(name, once(F.when(is_whole, F.try_variant_get("_pair", "$[0]", "variant"))))
-        .drop("_pair")
-    )
 
-
-def with_strings(rows: DataFrame, json: str, fields: Mapping[str, str]) -> DataFrame:
-    """Add the values at paths of a VARIANT, kept only where they are JSON strings.
+def with_strings(rows: DataFrame, text: str, fields: Mapping[str, str], is_object: str) -> DataFrame:
+    """Add the values at paths of a JSON text, kept only where they are JSON strings.
 
     Casts would turn numbers and objects into text, so the type is tested first. A path is null where
-    a parent is not an object.
-    """
-    found = F.struct(*[F.try_variant_get(json, path, "variant").alias(name) for name, path in fields.items()])
-
-    def text(name: str) -> Column:
-        value = F.col(f"_found.{name}")
-        return F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
+    a parent is not an object. The column named by `is_object` tells whether the whole text is valid
+    UTF-8 and one JSON object; all values are null where it is not.
 
-    return rows.withColumn("_found", once(found)).withColumns({name: text(name) for name in fields}).drop("_found")
-
-
-def is_object(text: str | Column) -> Column:
-    """Does this valid JSON text hold an object?"""
-    return F.startswith(F.ltrim(text, F.lit(" \t\n\r")), F.lit("{"))
+    The text is parsed once, and only the keys the paths begin with are kept.
+    """
+    tops = list(dict.fromkeys(_keys(path)[0] for path in fields.values()))
+    element = ", ".join([*(f"`{top}`: VARIANT" for top in tops), f"`{_END}`: BOOLEAN"])
+    # An array of the text and a mark: it has two elements, and the mark is the second.
+    pair = F.from_json(F.concat(F.lit("["), F.col(text), F.lit(f',{{"{_END}":true}}]')), f"array<struct<{element}>>")
+    first, second = F.get("_pair", F.lit(0)), F.get("_pair", F.lit(1))
+    is_whole = (F.size("_pair") == 2) & second.getField(_END) & first.isNotNull()
+
+    def value(path: str) -> Column:
+        top, *rest = _keys(path)
+        found = first.getField(top)
+        return F.try_variant_get(found, ".".join(["$", *rest]), "variant") if rest else found
+
+    def string(name: str) -> Column:
+        found = F.col(f"_found.{name}")
+        return F.when(F.schema_of_variant(found) == "STRING", found.cast("string"))
+
+    found = F.struct(*[value(path).alias(name) for name, path in fields.items()])
+    return (
+        rows.withColumn("_pair", once(F.when(F.is_valid_utf8(text), pair)))
+        .withColumn(is_object, F.coalesce(is_whole, F.lit(False)))
+        .withColumn("_found", once(F.when(F.col(is_object), found)))
+        .withColumns({name: string(name) for name in fields})
+        .drop("_pair", "_found")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.json import is_object, normalised, with_json, with_strings
+from eventmart.functions.json import is_whole_json, normalised, with_strings
 from eventmart.functions.time import utc_now
 from eventmart.schemas import RAW_EVENTS
 
@@ -28,7 +28,7 @@ def decode(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     kept = messages.columns
     texts = messages.withColumn("_text", F.col("value").cast("string"))
     created_at = F.try_to_timestamp("created_at")
-    return with_strings(with_json(texts, "_text", "_json"), "_json", _STRINGS).select(
+    return with_strings(texts, "_text", _STRINGS, "_is_object").select(
         *kept,
         "event_id",
         "event_type",
@@ -37,12 +37,13 @@ def decode(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
         created_at.cast("timestamp_ntz").alias("event_created_at"),
         (utc_now() if ingested_at is None else ingested_at).alias("ingested_at"),
         normalised("_text").alias("payload"),
-        F.when(F.col("value").isNull(), "null value")
+        F.when(F.col("_is_object") & F.col("event_id").isNull(), "id")
+        .when(F.col("_is_object") & F.col("created_at").isNotNull() & created_at.isNull(), "timestamp")
+        .when(F.col("_is_object"), None)
+        .when(F.col("value").isNull(), "null value")
         .when(~F.is_valid_utf8("_text"), "encoding")
-        .when(F.col("_json").isNull(), "malformed")
-        .when(~is_object("_text"), "not an object")
-        .when(F.col("event_id").isNull(), "id")
-        .when(F.col("created_at").isNotNull() & created_at.isNull(), "timestamp")
+        .when(~is_whole_json("_text"), "malformed")
+        .otherwise("not an object")
         .alias("reason"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.functions.json import normalised, with_json, with_strings
+from eventmart.functions.json import normalised, with_strings
 
 
 def keyed_events(records: DataFrame) -> DataFrame:
@@ -14,8 +14,8 @@ def keyed_events(records: DataFrame) -> DataFrame:
     Records without a string id are left out.
     """
     texts = records.withColumn("_text", F.col("value").cast("string"))
-    keyed = with_strings(with_json(texts, "_text", "_json"), "_json", {"event_id": "$.id"})
-    return keyed.drop("_text", "_json").filter(F.col("event_id").isNotNull())
+    keyed = with_strings(texts, "_text", {"event_id": "$.id"}, "_is_object")
+    return keyed.drop("_text", "_is_object").filter(F.col("event_id").isNotNull())
 
 
 def new_events(keyed: DataFrame, arrival: Column, published: DataFrame | None = None) -> DataFrame:

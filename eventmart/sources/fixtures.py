@@ -10,7 +10,10 @@ NOT_JSON, NUMBER_ID, NO_ACTOR, SCALAR_ACTOR, NOT_OBJECT = range(5)
 
 
 def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The table. If it is so small that cores would be idle, its rows are dealt out to all of them."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores, "event_id") if events.rdd.getNumPartitions() < cores else events
 
 
 def _event_json(actor: Column, id_: Column) -> Column:

@@ -49,6 +49,9 @@ ROWS = {
     "time a number": (as_bytes(event(created_at=5)), (*GOOD[:4], None)),
     "time with offset": (as_bytes(event(created_at="2026-01-01T02:00:00+02:00")), GOOD),
     "space around": (b" \n\t" + as_bytes(event()) + b"\r\n ", GOOD),
+    "inner key twice": (b'{"id": "42", "actor": {"login": "a", "login": "b"}}', ("42", None, "b", None, None)),
+    "empty strings": (as_bytes(event(type="", actor={"login": ""})), ("42", "", "", "octo/hello", CREATED)),
+    "escapes": (as_bytes(event(type='a"\\\n\u00e9')), ("42", 'a"\\\n\u00e9', "octo", "octo/hello", CREATED)),
     "key twice": (b'{"id": "1", "id": "42"}', ("42", None, None, None, None)),
     "no letters but ascii": (as_bytes(event(type="Ünï")), ("42", "Ünï", "octo", "octo/hello", CREATED)),
 }
@@ -62,6 +65,10 @@ DEAD = {
     "two events": (as_bytes(event()) + as_bytes(event()), "malformed"),
     "two events and a comma": (as_bytes(event()) + b"," + as_bytes(event()), "malformed"),
     "bracket after the event": (as_bytes(event()) + b"],[{}", "malformed"),
+    "fields after the event": (as_bytes(event()) + b',"x":1', "malformed"),
+    "broken inside": (b'{"id": "42", "payload": {"a": tru}}', "malformed"),
+    "empty object": (b"{}", "id"),
+    "broken array": (b"[1", "malformed"),
     "cut short": (as_bytes(event())[:-1], "malformed"),
     "array": (b"[1]", "not an object"),
     "array of events": (as_bytes([event()]), "not an object"),
