@@ -28,6 +28,7 @@ def copies_of(rows: DataFrame, ids: DataFrame, lowest: str | None, highest: str
     `lowest` and `highest` bound the ids. They reach the Parquet scan, where they skip row groups if
     ids grow with time, and are harmless if not.
     """
-    nulls = rows["event_id"].isNull()
-    in_bounds = nulls if lowest is None else nulls | rows["event_id"].between(lowest, highest)
-    return rows.filter(in_bounds).join(ids, rows["event_id"].eqNullSafe(ids["event_id"]), "left_semi")
+    wanted = ids.select(F.col("event_id").alias("_wanted"))
+    nulls = F.col("event_id").isNull()
+    in_bounds = nulls if lowest is None else nulls | F.col("event_id").between(lowest, highest)
+    return rows.filter(in_bounds).join(wanted, F.col("event_id").eqNullSafe(F.col("_wanted")), "left_semi")

@@ -139,10 +139,10 @@ class DimensionTable:
         raw = read_raw_events(self.spark, self.layout)
 
         ids = raw.filter(F.col("load").isin(loads)).select("event_id").distinct()
-        ids, seen = stage(ids, "batch-ids", low=F.min("event_id"), high=F.max("event_id"))
+        low, high = ids.agg(F.min("event_id"), F.max("event_id")).first()
         timed = F.col("repo_name").isNotNull() & F.col("event_created_at").isNotNull()
         touched = (
-            copies_of(raw, ids, seen["low"], seen["high"])
+            copies_of(raw, ids, low, high)
             .filter(timed)
             .groupBy("repo_name")
             .agg(F.min("event_created_at").alias("since"))

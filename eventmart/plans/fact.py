@@ -88,8 +88,8 @@ class FactTable:
             return self.build()
         raw = read_raw_events(self.spark, self.layout)
         ids = raw.filter(F.col("load").isin(loads)).select("event_id").distinct()
-        ids, seen = stage(ids, "batch-ids", low=F.min("event_id"), high=F.max("event_id"))
-        copies = copies_of(raw, ids, seen["low"], seen["high"])
+        low, high = ids.agg(F.min("event_id"), F.max("event_id")).first()
+        copies = copies_of(raw, ids, low, high)
         return self._refresh(copies.select(_day().alias("day")), loads)
 
     def look_back(self, now: datetime, hours: int = LOOKBACK_HOURS) -> None:

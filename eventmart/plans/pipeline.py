@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from eventmart.operators import quality
 from eventmart.operators.silver import event_facts, silver_events
@@ -13,7 +14,7 @@ from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import FactTable
 from eventmart.session import configure
 from eventmart.sources import files, progress
-from eventmart.sources.bronze import create_tables, read_raw_events
+from eventmart.sources.bronze import create_tables, read_raw_events, write_load
 from eventmart.sources.layout import Layout
 from eventmart.sources.messages import Source
 from eventmart.streaming.ingest import drain
@@ -45,11 +46,26 @@ def update_gold(spark: SparkSession, layout: Layout, mode: str = INCREMENTAL) ->
             table.update(missing)
 
 
+def compact_bronze(spark: SparkSession, layout: Layout, loads: list[str], into: str) -> None:
+    """Write many small loads as one, say once a day, so that files stay few and large.
+
+    Should it die between writing and deleting, some rows are there twice, which silver does not show.
+    """
+    waiting = {load for table in (progress.DIMENSION, progress.FACT) for load in progress.pending(spark, layout, table)}
+    if waiting & set(loads):
+        raise ValueError("gold has not taken in all of these loads")
+    write_load(read_raw_events(spark, layout).filter(F.col("load").isin(loads)), layout, into, rebalance=True)
+    for load in loads:
+        files.delete(spark, f"{layout.raw_events}/load={load}")
+
+
 def register_views(spark: SparkSession, layout: Layout) -> None:
     """Temporary views over the tables, for SQL."""
     raw = read_raw_events(spark, layout).drop("load", "ingested_date")
     raw.createOrReplaceTempView("raw_events")
     silver_events(raw).createOrReplaceTempView("silver_events")
+    # The same rows for queries that do not need the payload, which is then not read.
+    event_facts(raw).createOrReplaceTempView("silver_facts")
     if files.exists(spark, layout.dimension):
         DimensionTable(spark, layout).read().createOrReplaceTempView("dim_repo_scd2")
     if files.exists(spark, layout.fact):

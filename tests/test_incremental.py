@@ -12,10 +12,11 @@ from hypothesis import strategies as st
 
 from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import FactTable
+from eventmart.plans.pipeline import compact_bronze
 from eventmart.schemas import ENTITY_ATTRIBUTES, Attribute
 from eventmart.session import scratch_dir
 from eventmart.sources import files, progress
-from eventmart.sources.bronze import create_tables, write_load
+from eventmart.sources.bronze import create_tables, read_raw_events, write_load
 from eventmart.sources.layout import Layout
 from tests.worlds import frame, hourly, random_rows, raw_row, stored_versions, strict_versions
 
@@ -137,6 +138,22 @@ def test_look_back_rewrites_whole_days(spark):
     tables.check()
 
 
+def test_compaction_changes_no_result(spark):
+    tables = Tables(spark)
+    tables.add([raw_row("1", "r", at(0), at(0)), raw_row("2", "s", at(0), at(30))])
+    tables.add([raw_row("1", "r", at(1), at(2), stars="4")])
+    load = tables.land([raw_row("3", "r", at(3), at(3), stars="5")])
+    with pytest.raises(ValueError, match="not taken in"):
+        compact_bronze(spark, tables.layout, ["load-0", load], "day-1")
+    compact_bronze(spark, tables.layout, ["load-0", "load-2"], "day-1")
+    raw = read_raw_events(spark, tables.layout)
+    assert {r["load"] for r in raw.select("load").distinct().collect()} == {"day-1", load}
+    assert raw.count() == 4
+    tables.dimension.update([load])
+    tables.fact.update([load])
+    tables.check()
+
+
 def test_new_columns_are_appended(spark):
     """Rows from before the change read null; a column that is dropped later stays."""
     tables = Tables(spark)
