@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from eventmart.plans import oracles
+from eventmart.plans import queries as catalog
 from tests.oracle import compare, connect
 
 
@@ -14,12 +16,12 @@ def db(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert catalog.queries().keys() == oracles.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", catalog.queries())
 def test_query(spark, sf_dir, db, name):
-    count, ours, theirs = compare(contract.queries()[name](spark, sf_dir), db, contract.oracle_sql()[name])
+    count, ours, theirs = compare(catalog.queries()[name](spark, sf_dir), db, oracles.oracle_sql()[name])
     assert not ours and not theirs
     assert count > 0
 

@@ -8,13 +8,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from eventmart.operators.decode import bronze_rows, decode
 from eventmart.operators.hourly import hourly_fact
 from eventmart.operators.publish import keyed_events, new_events
 from eventmart.operators.scd2 import dimension
 from eventmart.operators.silver import entity_events, event_facts, silver_events
 from eventmart.plans import marts
+from eventmart.plans import queries as catalog
 from eventmart.plans.dimension import DimensionTable
 from eventmart.session import configure, scratch_dir
 from eventmart.sources import fixtures, progress
@@ -106,7 +106,7 @@ def test_decode_parses_each_message_once_without_a_shuffle(spark, sf_dir):
     assert not nodes(text, "Exchange")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries().keys() - TABLES_ON_DISK))
+@pytest.mark.parametrize("name", sorted(catalog.queries().keys() - TABLES_ON_DISK))
 def test_no_join_without_keys(spark, sf_dir, name):
-    text = plan(contract.queries()[name](spark, sf_dir))
+    text = plan(catalog.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
