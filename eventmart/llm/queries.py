@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontaminate, language, secrets
+from eventmart.llm import decontaminate, jaccard, language, lm, mixing, quality, secrets
 from eventmart.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,30 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = mixing.mix(_documents(spark, sf_dir))
+    return documents.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "first_slot")
+
+
+@_query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(_documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 != 2, keep=["doc_id"])
+    return scored.select("doc_id", *lm.RESULTS.fieldNames())
+
+
+@_query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.apply_policy(quality.ledger(_documents(spark, sf_dir), keep=["doc_id"]))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_letters", "rule_bits",
+    )
+
+
+@_query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jaccard.link(_documents(spark, sf_dir))
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
