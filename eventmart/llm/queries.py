@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontaminate, jaccard, language, lm, mixing, quality, secrets
+from eventmart.llm import decontaminate, jaccard, language, licenses, lm, mixing, quality, secrets, suffixes, surrogates
 from eventmart.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,38 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = jaccard.link(_documents(spark, sf_dir))
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.cut_repeats(_documents(spark, sf_dir))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@_query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(_documents(spark, sf_dir), keep=["doc_id"])
+    first = F.get("licenses", F.lit(0))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        first["license"].alias("license"),
+        F.coalesce(first["score"], F.lit(0.0)).alias("score"),
+        F.array_join(F.transform("licenses", lambda s: s["license"]), ",").alias("licenses"),
+    )
+
+
+# The key of the registered query. A user has a secret one.
+SURROGATE_KEY = "corpus"
+
+
+@_query
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = surrogates.replace_personal_data(_documents(spark, sf_dir), SURROGATE_KEY, keep=["doc_id"])
+    return rows.select("doc_id", "text", "n_entities", F.array_join("entity_kinds", ",").alias("entity_kinds"))
