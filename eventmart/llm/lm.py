@@ -20,6 +20,7 @@ and no token is known.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -216,12 +217,15 @@ _WORDS = T.StructType(
     [T.StructField("bucket", T.IntegerType())]
     + [T.StructField(c, T.BinaryType()) for c in ("documents", "learns", "hash", "document", "times")]
 )
+_PARTS = "piece long, bucket int, documents binary, known binary, weight binary, distinct long, tokens long"
 _SUMS = "key long, known long, weight double"
 
 
-def _word_sums(docs: DataFrame, key: Column, learns: Column, text: str) -> DataFrame:
-    """(key, known, weight) of each document in each bucket of words; rows with a null key have the number of
-    distinct training words as known and of all as weight."""
+def _word_sums(docs: DataFrame, key: Column, learns: Column, text: str) -> tuple[DataFrame, int, int]:
+    """(key, known, weight) of each document that has words, distinct training words, and training words.
+
+    A bucket of words returns one row to each piece of documents, and a piece adds up those of all buckets.
+    """
     buckets = bucket_count(text_bytes(docs, text))
 
     def make():
@@ -259,7 +263,6 @@ def _word_sums(docs: DataFrame, key: Column, learns: Column, text: str) -> DataF
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack(b, "<i8") for b in rows["documents"]]
         first = np.cumsum([0, *map(len, keys)])
-        keys = np.concatenate(keys)
         learns = np.concatenate([unpack(b, "u1") for b in rows["learns"]]) > 0
         words = np.concatenate([unpack(b, "<u8") for b in rows["hash"]])
         blobs = zip(rows["document"], first, strict=False)
@@ -271,16 +274,39 @@ def _word_sums(docs: DataFrame, key: Column, learns: Column, text: str) -> DataF
         seen = np.add.reduceat(np.where(learns[documents], times, 0)[order].astype(np.int64), heads)
         count = np.empty(len(words), np.int64)
         count[order] = np.repeat(seen, sizes)
-        known = np.bincount(documents, np.where(count > 0, times, 0), len(keys))
-        weight = np.bincount(documents, times * np.log10(count + 1.0), len(keys))
-        use = np.flatnonzero(np.bincount(documents, minlength=len(keys)))
-        out = pd.DataFrame({"key": keys[use], "known": known[use].astype(np.int64), "weight": weight[use]})
-        out["key"] = out["key"].astype("Int64")
-        total = pd.DataFrame({"key": pd.array([None], "Int64"), "known": [int((seen > 0).sum())], "weight": [float(seen.sum())]})
-        return pd.concat([out, total])
+        known = np.bincount(documents, np.where(count > 0, times, 0), first[-1])
+        weight = np.bincount(documents, times * np.log10(count + 1.0), first[-1])
+        bucket = int(rows["bucket"].iloc[0])
+        out = [
+            (_piece_of(blob), bucket, blob, pack(known[a:b], "<u4"), pack(weight[a:b], "<f8"), 0, 0)
+            for blob, a, b in zip(rows["documents"], first[:-1], first[1:], strict=True)
+        ]
+        out.append((None, bucket, None, None, None, int((seen > 0).sum()), int(seen.sum())))
+        found = pd.DataFrame(out, columns=[c.split()[0] for c in _PARTS.split(", ")])
+        found["piece"] = pd.array([r[0] for r in out], "Int64")
+        return found
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["bucket", "documents", "weight"])
+        keys = unpack(rows["documents"].iloc[0], "<i8")
+        known = sum(unpack(b, "<u4").astype(np.int64) for b in rows["known"])
+        weight = sum(unpack(b, "<f8") for b in rows["weight"])
+        return pd.DataFrame({"key": keys, "known": known, "weight": weight})
 
     blobs = emit(docs, text, _WORDS, make, {"key": key, "learns": learns})
-    return stage(blobs.groupBy("bucket").applyInPandas(reduce, _SUMS), "word-sums")[0]
+    parts, seen = stage(
+        blobs.groupBy("bucket").applyInPandas(reduce, _PARTS), "words", distinct=F.sum("distinct"), tokens=F.sum("tokens")
+    )
+    sums = parts.filter("piece is not null").groupBy("piece").applyInPandas(add, _SUMS)
+    # A document may be in several pieces if its row is repeated.
+    sums = sums.groupBy(F.col("key").alias("_sum_key_"))
+    sums = sums.agg(F.sum("known").alias("_known_"), F.sum("weight").alias("_weight_"))
+    return sums, int(seen["distinct"] or 0), int(seen["tokens"] or 0)
+
+
+def _piece_of(documents: bytes) -> int:
+    """Names a piece by its documents. Pieces of the same ones are added up, as repeated rows are."""
+    return int.from_bytes(hashlib.blake2b(documents, digest_size=8).digest(), "little", signed=True)
 
 
 RESULTS = T.StructType(
@@ -313,7 +339,7 @@ def score(
     # A null condition teaches nothing and holds nothing out.
     learns = F.coalesce(learn, F.lit(False))
     training = docs.filter(learns)
-    sums = _word_sums(docs, key, learns, text)
+    sums, distinct, tokens = _word_sums(docs, key, learns, text)
     tree = train(training, text, contexts)
     sent = docs.sparkSession.sparkContext.broadcast(tree)
 
@@ -335,13 +361,10 @@ def score(
     scored = map_texts(marked, text, _SCORED, make, [*columns, "_key_", "_held_"])
 
     documents = training.count()
-    totals = sums.filter("key is null").agg(F.sum("known"), F.sum("weight")).first()
-    distinct, tokens = int(totals[0] or 0) + (documents > 0), int(totals[1] or 0) + documents
-    per_document = sums.filter("key is not null").groupBy(F.col("key").alias("_sum_key_"))
-    per_document = per_document.agg(F.sum("known").alias("_known_"), F.sum("weight").alias("_weight_"))
+    distinct, tokens = distinct + (documents > 0), tokens + documents
     # Rows alike in id and text have one key, and their sums are of all of them.
     scored = scored.withColumn("_alike_", F.count(F.lit(1)).over(Window.partitionBy("_key_")))
-    joined = scored.join(per_document, F.col("_key_") == F.col("_sum_key_"), "left")
+    joined = scored.join(sums, F.col("_key_") == F.col("_sum_key_"), "left")
     n_tokens = F.col("_words_") + 1
     known = F.coalesce(F.col("_known_") / F.col("_alike_"), F.lit(0)).cast("long") + int(documents > 0)
     weight = F.coalesce(F.col("_weight_") / F.col("_alike_"), F.lit(0.0)) + math.log10(documents + 1)
