@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text for each bucket.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 
 
 def text_bytes(docs: DataFrame, text: str) -> int:
