@@ -63,15 +63,17 @@ def once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
-# Follows a text while it is parsed, to tell whether the parser took all of it. Any name will do that
-# does not come after an event by chance.
+# Follows a text while it is parsed, to tell whether the parser took all of it. Its value is a digest of the
+# text, which no text can hold.
 _END = "end-of-text"
 
 
 def is_whole_json(text: str | Column) -> Column:
     """Is the whole text one JSON value? The parser alone stops after the first one."""
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
-    return F.coalesce(F.try_variant_get(pair, "$[1]", "string") == _END, F.lit(False))
+    value = F.col(text) if isinstance(text, str) else text
+    mark = F.md5(value)
+    pair = F.try_parse_json(F.concat(F.lit("["), value, F.lit(',"'), mark, F.lit('"]')))
+    return F.coalesce(F.try_variant_get(pair, "$[1]", "string") == mark, F.lit(False))
 
 
 def with_strings(rows: DataFrame, text: str, fields: Mapping[str, str], is_object: str) -> DataFrame:
@@ -84,11 +86,13 @@ def with_strings(rows: DataFrame, text: str, fields: Mapping[str, str], is_objec
     The text is parsed once, and only the keys the paths begin with are kept.
     """
     tops = list(dict.fromkeys(_keys(path)[0] for path in fields.values()))
-    element = ", ".join([*(f"`{top}`: VARIANT" for top in tops), f"`{_END}`: BOOLEAN"])
+    element = ", ".join([*(f"`{top}`: VARIANT" for top in tops), f"`{_END}`: STRING"])
     # An array of the text and a mark: it has two elements, and the mark is the second.
-    pair = F.from_json(F.concat(F.lit("["), F.col(text), F.lit(f',{{"{_END}":true}}]')), f"array<struct<{element}>>")
+    mark = F.md5(F.col(text))
+    marked = F.concat(F.lit("["), F.col(text), F.lit(f',{{"{_END}":"'), mark, F.lit('"}]'))
+    pair = F.from_json(marked, f"array<struct<{element}>>")
     first, second = F.get("_pair", F.lit(0)), F.get("_pair", F.lit(1))
-    is_whole = (F.size("_pair") == 2) & second.getField(_END) & first.isNotNull()
+    is_whole = (F.size("_pair") == 2) & (second.getField(_END) == mark) & first.isNotNull()
 
     def value(path: str) -> Column:
         top, *rest = _keys(path)

@@ -19,6 +19,10 @@ _STRINGS = {
 }
 
 
+# Fixed value: a time begins with a full date (ISO 8601). The parser alone would take a time of day for today's.
+_ISO_DATE = r"^\d{4}-\d{2}-\d{2}([T ]|$)"
+
+
 def decode(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Add the bronze columns and a `reason`, which is null on rows that decode.
 
@@ -27,7 +31,7 @@ def decode(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """
     kept = messages.columns
     texts = messages.withColumn("_text", F.col("value").cast("string"))
-    created_at = F.try_to_timestamp("created_at")
+    created_at = F.when(F.col("created_at").rlike(_ISO_DATE), F.try_to_timestamp("created_at"))
     return with_strings(texts, "_text", _STRINGS, "_is_object").select(
         *kept,
         "event_id",

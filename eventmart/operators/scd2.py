@@ -8,30 +8,35 @@ where the next one opens. Two rules are offered:
 * compatible: every event whose predecessor has no value in the first tracked attribute opens a
   version too, and events at the same time each count.
 
-An ordered window puts an entity into one task. Entities too large for that are counted first and
-take another way, with the same result: their rows are range partitioned on (entity, time), each
-piece is compared within itself, and the pieces are joined up from one summary row per piece.
+An ordered window puts an entity into one task. An entity too large for that is cut into pieces by the
+hour: its rows are compared within each piece, and the pieces are joined up from one summary row per
+piece. Which entities those are is a join with their counts, part of the same plan; the others are one
+piece each and pass through the same windows.
 """
 
 from __future__ import annotations
 
-from math import ceil
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions.keys import version_key
+from eventmart.functions.time import trunc_hour
 from eventmart.schemas import ENTITY_ATTRIBUTES, Attribute, dimension_schema
-from eventmart.session import scratch_dir
 
 # Rows of one entity a single task may hold.
 MAX_ROWS_PER_TASK = 2_000_000
 
+# Pieces are named by their hour. One name is for whole entities, one for rows without a time, which
+# come last.
+_WHOLE, _NO_TIME = datetime(1, 1, 1), datetime(9999, 12, 31)
 
-def hot_entities(rows: DataFrame, max_rows: int) -> dict[str, int]:
-    """Entities with more than `max_rows` rows: at most (all rows / max_rows) of them."""
-    counts = rows.filter(F.col("repo_name").isNotNull()).groupBy("repo_name").agg(F.count("*").alias("n"))
-    return {r["repo_name"]: r["n"] for r in counts.filter(F.col("n") > max_rows).collect()}
+
+def large_entities(rows: DataFrame, max_rows: int) -> DataFrame:
+    """Entities with more than `max_rows` rows."""
+    counts = rows.filter(F.col("repo_name").isNotNull()).groupBy("repo_name").agg(F.count("*").alias("_rows"))
+    return counts.filter(F.col("_rows") > max_rows).select("repo_name", F.lit(True).alias("_is_large"))
 
 
 def _ascending() -> list[Column]:
@@ -50,78 +55,65 @@ def _opens(attributes: tuple[Attribute, ...], strict: bool) -> Column:
 
 
 def _snapshot(attributes: tuple[Attribute, ...]) -> Column:
-    return F.struct(*[a.name for a in attributes if a.tracked])
+    """All attributes, so that every use of the events needs the same columns and shares their shuffle."""
+    return F.struct(*[a.name for a in attributes])
+
+
+def _in_pieces(events: DataFrame, large: DataFrame) -> DataFrame:
+    """Events with the piece of their entity they are in."""
+
+    def named(piece: datetime) -> Column:
+        return F.lit(piece).cast("timestamp_ntz")
+
+    hour = F.coalesce(trunc_hour("event_created_at"), named(_NO_TIME))
+    piece = F.when(F.col("_is_large"), hour).otherwise(named(_WHOLE))
+    return events.join(large, "repo_name", "left").withColumn("_piece", piece)
 
 
-def _whole_entities(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool) -> DataFrame:
-    """One window per entity: all steps share a single shuffle and sort."""
-    timeline = Window.partitionBy("repo_name").orderBy(*_ascending())
+def _compared(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool) -> DataFrame:
+    """The events that open versions, and where each ends."""
+    in_piece = Window.partitionBy("repo_name", "_piece").orderBy(*_ascending())
+    over_pieces = Window.partitionBy("repo_name").orderBy("_piece")
+    # Told by the window, not by the piece, so that no filter on it goes below the shuffle and keeps it from
+    # being shared.
+    in_pieces = F.coalesce(F.max("_is_large").over(in_piece), F.lit(False))
+    events = events.withColumn("_in_pieces", in_pieces).drop("_is_large")
     if strict:
-        following = F.lead("event_created_at").over(timeline)
+        # Events at one time are in one piece.
+        following = F.lead("event_created_at").over(in_piece)
         events = (
             events.withColumn("_following", following)
             .filter(~F.col("_following").eqNullSafe(F.col("event_created_at")))
             .drop("_following")
         )
-    return (
-        events.withColumn("_previous", F.lag(_snapshot(attributes)).over(timeline))
-        .filter(_opens(attributes, strict))
-        .withColumn("valid_to", F.lead("event_created_at").over(timeline))
-        .drop("_previous")
-    )
-
-
-def _split_entities(
-    events: DataFrame, attributes: tuple[Attribute, ...], strict: bool, pieces: int
-) -> DataFrame:
-    """Entities spread over many tasks."""
-    names = [a.name for a in attributes]
-    if strict:
-        last = F.max_by(F.struct("event_id", *names), F.coalesce("event_id", F.lit(""))).alias("_last")
-        events = events.groupBy("repo_name", "event_created_at").agg(last)
-        events = events.select("repo_name", "event_created_at", "_last.*")
-
-    # The piece number comes from sampled range bounds, so it is written down before it is used.
-    spark = events.sparkSession
-    path = scratch_dir(spark, "pieces")
-    (
-        events.repartitionByRange(pieces, F.col("repo_name"), *_ascending())
-        .withColumn("_piece", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    rows = spark.read.parquet(path)
-
-    in_piece = Window.partitionBy("_piece", "repo_name").orderBy(*_ascending())
-    over_pieces = Window.partitionBy("repo_name").orderBy("_piece")
     position = F.struct(F.col("event_created_at").isNull(), "event_created_at", "event_id")
-
     carried = (
-        rows.groupBy("_piece", "repo_name")
+        events.filter("_in_pieces")
+        .groupBy("repo_name", "_piece")
         .agg(F.max_by(_snapshot(attributes), position).alias("_tail"))
         .withColumn("_carried", F.lag("_tail").over(over_pieces))
         .drop("_tail")
     )
     opened = (
-        rows.withColumn("_previous", F.lag(_snapshot(attributes)).over(in_piece))
-        .join(carried, ["_piece", "repo_name"], "left")
+        events.withColumn("_previous", F.lag(_snapshot(attributes)).over(in_piece))
+        .join(carried, ["repo_name", "_piece"], "left")
         .withColumn("_previous", F.coalesce("_previous", "_carried"))
         .filter(_opens(attributes, strict))
         .drop("_previous", "_carried")
     )
     next_piece = (
-        opened.groupBy("_piece", "repo_name")
+        opened.filter("_in_pieces")
+        .groupBy("repo_name", "_piece")
         .agg(F.min("event_created_at").alias("_first"))
         .withColumn("_next", F.lead("_first").over(over_pieces))
         .drop("_first")
     )
+    valid_to = F.when(F.col("_within").isNotNull(), F.col("_within.event_created_at")).otherwise(F.col("_next"))
     return (
         opened.withColumn("_within", F.lead(F.struct("event_created_at")).over(in_piece))
-        .join(next_piece, ["_piece", "repo_name"], "left")
-        .withColumn(
-            "valid_to",
-            F.when(F.col("_within").isNotNull(), F.col("_within.event_created_at")).otherwise(F.col("_next")),
-        )
-        .drop("_within", "_next", "_piece")
+        .join(next_piece, ["repo_name", "_piece"], "left")
+        .withColumn("valid_to", valid_to)
+        .drop("_within", "_next", "_piece", "_in_pieces")
     )
 
 
@@ -131,27 +123,18 @@ def versions(
     strict: bool = True,
     attributes: tuple[Attribute, ...] = ENTITY_ATTRIBUTES,
     sizes: DataFrame | None = None,
-    total: int | None = None,
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Versions with `valid_from` and `valid_to`, from rows made by `entity_events`.
 
     `sizes` holds a `repo_name` per row, for counting rows per entity: `events` itself, or anything
-    cheaper that has at least as many rows per entity. Nothing is counted where `total`, the number
-    of rows in all, is known and small enough.
+    cheaper that has at least as many rows per entity.
     """
     if strict:
         events = events.filter(F.col("event_created_at").isNotNull())
-    small = total is not None and total <= max_rows
-    hot = {} if small else hot_entities(events if sizes is None else sizes, max_rows)
-    if hot:
-        is_hot = F.col("repo_name").isin(list(hot))
-        pieces = max(2, ceil(sum(hot.values()) / max_rows))
-        found = _whole_entities(events.filter(~is_hot), attributes, strict).unionByName(
-            _split_entities(events.filter(is_hot), attributes, strict, pieces)
-        )
-    else:
-        found = _whole_entities(events, attributes, strict)
+    # The entity is null in no row of `events`.
+    large = large_entities(events if sizes is None else sizes, max_rows)
+    found = _compared(_in_pieces(events, large), attributes, strict)
     return found.select(
         "repo_name",
         *[a.name for a in attributes],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.json import at_path, parse_paths, select_paths
@@ -32,6 +32,21 @@ def event_facts(raw: DataFrame) -> DataFrame:
     return latest_copies(raw.select("event_id", *RANKING))
 
 
+def recent_facts(raw: DataFrame, since: Column) -> DataFrame:
+    """Silver facts from a time on, without a dedup of all there is.
+
+    Copies of an event may name other times: first come the ids with any copy in reach, then all copies of
+    those, then the dedup.
+    """
+    recent = F.col("event_created_at") >= since
+    ids = raw.filter(recent & F.col("event_id").isNotNull()).select("event_id").distinct()
+    wanted = ids.select(F.col("event_id").alias("_wanted"))
+    copies = raw.join(wanted, F.col("event_id") == F.col("_wanted"), "left_semi")
+    # Rows without an id count as copies of each other.
+    copies = copies.unionByName(raw.filter("event_id is null"))
+    return event_facts(copies).filter(recent)
+
+
 def entity_events(raw: DataFrame, attributes: tuple[Attribute, ...] = ENTITY_ATTRIBUTES) -> DataFrame:
     """The entity snapshot each silver event carries.
 

@@ -27,7 +27,7 @@ from eventmart.sources.bronze import read_raw_events
 from eventmart.sources.layout import Layout
 from eventmart.sources.progress import DIMENSION as NAME
 from eventmart.sources.progress import EVERYTHING
-from eventmart.sources.staging import stage
+from eventmart.sources.staging import dropped_after, stage
 
 _PARTITION = ["bucket", "valid_month"]
 
@@ -55,11 +55,22 @@ class DimensionTable:
         """
         earlier = progress.columns(self.spark, self.layout, NAME)
         declared = {a.name for a in self.attributes}
-        dropped = [Attribute(n, "", t, tracked=False) for n, t in earlier.items() if n not in declared]
+        dropped = [
+            Attribute(name, column["path"], column["type"], tracked=False)
+            for name, column in earlier.items()
+            if name not in declared
+        ]
         return (*self.attributes, *dropped)
 
     def _note_columns(self, attributes: tuple[Attribute, ...]) -> None:
-        progress.set_columns(self.spark, self.layout, NAME, {a.name: a.type for a in attributes})
+        columns = {a.name: {"type": a.type, "path": a.path} for a in attributes}
+        progress.set_columns(self.spark, self.layout, NAME, columns, self.buckets)
+
+    def _check_buckets(self) -> None:
+        """A table is found, and updated, only by the number of buckets it was built with."""
+        built = progress.buckets(self.spark, self.layout, NAME)
+        if built is not None and built != self.buckets:
+            raise ValueError(f"the table has {built} buckets, not {self.buckets}: pass that number, or build it anew")
 
     def _stored(self) -> DataFrame:
         parts = [T.StructField(p, T.IntegerType()) for p in _PARTITION]
@@ -72,6 +83,7 @@ class DimensionTable:
 
     def read_entity(self, name: str) -> DataFrame:
         """The versions of one entity, from its bucket alone."""
+        self._check_buckets()
         in_bucket = F.col("bucket") == bucket_of(F.lit(name), self.buckets)
         return self._stored().filter(in_bucket & (F.col("repo_name") == name)).drop(*_PARTITION)
 
@@ -114,10 +126,10 @@ class DimensionTable:
         """Build some buckets again from bronze, whatever state they are in."""
         in_buckets = bucket_of("repo_name", self.buckets).isin(buckets)
         raw = read_raw_events(self.spark, self.layout)
-        events = entity_events(raw, self.attributes).filter(in_buckets)
-        rows = dimension(
-            events, self.attributes, sizes=raw.select("repo_name").filter(in_buckets), max_rows=self.max_rows
-        )
+        # Columns of an earlier schema are filled again as well.
+        attributes = self.all_attributes()
+        events = entity_events(raw, attributes).filter(in_buckets)
+        rows = dimension(events, attributes, sizes=raw.select("repo_name").filter(in_buckets), max_rows=self.max_rows)
         for bucket in buckets:
             files.delete(self.spark, f"{self.layout.dimension}/bucket={bucket}")
         self._write(self._placed(rows), "dynamic")
@@ -135,6 +147,11 @@ class DimensionTable:
         """Bring the table up to date with loads that are in bronze and not in the table yet."""
         if not files.exists(self.spark, self.layout.dimension):
             return self.build()
+        self._check_buckets()
+        with dropped_after(self.spark):
+            return self._update(loads)
+
+    def _update(self, loads: list[str]) -> None:
         self.recover()
         raw = read_raw_events(self.spark, self.layout)
 
@@ -153,12 +170,12 @@ class DimensionTable:
             progress.finished(self.spark, self.layout, NAME, loads)
             return None
 
-        events, total = self._events_since(raw, touched, seen["since"])
-        self._replace(touched, events, total, loads)
+        events = self._events_since(raw, touched, seen["since"])
+        self._replace(touched, events, loads)
         return None
 
-    def _events_since(self, raw: DataFrame, touched: DataFrame, since) -> tuple[DataFrame, int]:
-        """Silver events of the touched entities from `since` on, and how many there are.
+    def _events_since(self, raw: DataFrame, touched: DataFrame, since) -> DataFrame:
+        """Silver events of the touched entities from `since` on.
 
         An event may have copies that name other entities or times, so first come the ids with any
         copy in reach, then all copies of those, then the dedup.
@@ -172,10 +189,9 @@ class DimensionTable:
             in_reach(raw).select("event_id").distinct(), "reach-ids", low=F.min("event_id"), high=F.max("event_id")
         )
         copies = copies_of(raw, ids, seen["low"], seen["high"])
-        events, seen = stage(in_reach(entity_events(copies, self.attributes)), "events", total=F.count("*"))
-        return events, seen["total"] or 0
+        return stage(in_reach(entity_events(copies, self.attributes)), "events")[0]
 
-    def _replace(self, touched: DataFrame, events: DataFrame, total: int, loads: list[str]) -> None:
+    def _replace(self, touched: DataFrame, events: DataFrame, loads: list[str]) -> None:
         attributes = self.all_attributes()
         names = [a.name for a in attributes]
         buckets = sorted(r["bucket"] for r in touched.select("bucket").distinct().collect())
@@ -185,7 +201,7 @@ class DimensionTable:
         anchors = before.groupBy("repo_name").agg(
             F.max_by(F.struct("valid_from", *names), "valid_from").alias("anchor")
         )
-        anchors, seen = stage(anchors, "anchors", total=F.count("*"))
+        anchors, _ = stage(anchors, "anchors")
         seeds = anchors.select(
             "repo_name",
             F.col("anchor.valid_from").alias("event_created_at"),
@@ -195,7 +211,6 @@ class DimensionTable:
         fresh = dimension(
             seeds.unionByName(events, allowMissingColumns=True),
             attributes,
-            total=total + (seen["total"] or 0),
             max_rows=self.max_rows,
         )
         fresh, _ = stage(self._placed(fresh), "fresh")

@@ -6,10 +6,11 @@ all events of that day, so late, repeated and moved events give the result of a
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,31 +24,40 @@ from eventmart.sources.bronze import read_raw_events
 from eventmart.sources.layout import Layout
 from eventmart.sources.progress import EVERYTHING
 from eventmart.sources.progress import FACT as NAME
-from eventmart.sources.staging import stage
+from eventmart.sources.staging import dropped_after, stage
 
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 # Fixed value: hours a look-back goes back.
 LOOKBACK_HOURS = 3
-# More days than this are not worth naming one by one: the table is built anew.
-MAX_DAYS = 5_000
 
 
 def _day() -> Column:
     return F.to_date("event_created_at")
 
 
-def _within(days: list[date | None]) -> Column:
-    """Events on these days. The bounds on the timestamp are for the scan."""
-    named = [d for d in days if d is not None]
-    found = F.lit(False)
-    if named:
-        start = datetime.combine(min(named), datetime.min.time())
-        # The last day a timestamp can name has no day after it.
-        found = (F.col("event_created_at") >= F.lit(start)) & _day().isin(named)
-        if max(named) < date.max:
-            end = datetime.combine(max(named) + timedelta(days=1), datetime.min.time())
-            found = found & (F.col("event_created_at") < F.lit(end))
-    return found | F.col("event_created_at").isNull() if None in days else found
+@dataclass(frozen=True)
+class _Days:
+    """Days to be written again, as a staged table, and their bounds for the scan."""
+
+    table: DataFrame
+    path: str
+    low: date | None
+    high: date | None
+    no_day: bool
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        """Rows on these days, those without a day if that is one of them."""
+        time = F.col("event_created_at")
+        bounds = F.lit(False)
+        if self.low is not None:
+            bounds = time >= F.lit(datetime.combine(self.low, datetime.min.time()))
+            # The last day a timestamp can name has no day after it.
+            if self.high < date.max:
+                bounds = bounds & (time < F.lit(datetime.combine(self.high + timedelta(days=1), datetime.min.time())))
+        if self.no_day:
+            bounds = bounds | time.isNull()
+        wanted = self.table.select(F.col("day").alias("_day"))
+        return rows.filter(bounds).join(wanted, _day().eqNullSafe(F.col("_day")), "left_semi")
 
 
 @dataclass(frozen=True)
@@ -104,34 +114,46 @@ class FactTable:
         """Rewrite the days listed in `touched`, and those an earlier run left half written."""
         earlier, scope = progress.interrupted(self.spark, self.layout, NAME)
         loads = sorted({*loads, *earlier})
-        days = [r["day"] for r in touched.distinct().limit(MAX_DAYS + 1).collect()]
-        if EVERYTHING in scope or len(days) > MAX_DAYS:
+        if not all(name != EVERYTHING and files.exists(self.spark, name) for name in scope):
             return self.build(loads)
-        days = list({*days, *(None if d == NO_DAY else date.fromisoformat(d) for d in scope)})
-        if days:
-            rows, found = self._days(days)
-            names = {d: NO_DAY if d is None else d.isoformat() for d in days}
-            progress.started(self.spark, self.layout, NAME, loads, sorted(names.values()))
-            self._write(rows, "dynamic")
-            for day in set(days) - found:
-                files.delete(self.spark, f"{self.layout.fact}/event_date={names[day]}")
+        for path in scope:
+            touched = touched.union(self.spark.read.schema("day date").parquet(path))
+        path = f"{self.layout.days(NAME)}/{uuid.uuid4().hex}"
+        noted = Observation()
+        counts = F.count("*").alias("n"), F.min("day").alias("low"), F.max("day").alias("high"), F.count("day").alias("named")
+        touched.distinct().observe(noted, *counts).write.parquet(path)
+        seen = noted.get
+        table = self.spark.read.schema("day date").parquet(path)
+        if seen["n"]:
+            days = _Days(table, path, seen["low"], seen["high"], seen["named"] < seen["n"])
+            with dropped_after(self.spark):
+                self._rewrite(days, loads)
         progress.finished(self.spark, self.layout, NAME, loads)
+        for path in {path, *scope}:
+            files.delete(self.spark, path)
         return None
 
-    def _days(self, days: list[date | None]) -> tuple[DataFrame, set[date | None]]:
-        """The fact rows of some days, and the days that have any.
+    def _rewrite(self, days: _Days, loads: list[str]) -> None:
+        rows = self._rows(days)
+        found = rows.select(F.to_date("event_hour").alias("found")).distinct()
+        # A dynamic overwrite leaves a day alone that gets no rows; stored ones of those are deleted.
+        stored = self.read().select(F.col("event_date").alias("stored")).distinct()
+        emptied = days.table.join(found, F.col("day").eqNullSafe(F.col("found")), "left_anti")
+        emptied = emptied.join(stored, F.col("day").eqNullSafe(F.col("stored")), "left_semi").collect()
+        progress.started(self.spark, self.layout, NAME, loads, [days.path])
+        self._write(rows, "dynamic")
+        for (day,) in emptied:
+            files.delete(self.spark, f"{self.layout.fact}/event_date={NO_DAY if day is None else day.isoformat()}")
+
+    def _rows(self, days: _Days) -> DataFrame:
+        """The fact rows of some days.
 
         Copies of an event may name other days, so first come the ids with any copy on the days,
         then all copies of those, then the dedup.
         """
         raw = read_raw_events(self.spark, self.layout)
         ids, seen = stage(
-            raw.filter(_within(days)).select("event_id").distinct(),
-            "day-ids",
-            low=F.min("event_id"),
-            high=F.max("event_id"),
+            days.of(raw).select("event_id").distinct(), "day-ids", low=F.min("event_id"), high=F.max("event_id")
         )
-        facts = event_facts(copies_of(raw, ids, seen["low"], seen["high"])).filter(_within(days))
-        rows, _ = stage(hourly_fact(facts), "days")
-        found = rows.select(F.to_date("event_hour").alias("day")).distinct().collect()
-        return rows, {r["day"] for r in found}
+        facts = days.of(event_facts(copies_of(raw, ids, seen["low"], seen["high"])))
+        return stage(hourly_fact(facts), "days")[0]

@@ -5,10 +5,10 @@ from __future__ import annotations
 # -- inputs
 
 
-def _event_json(actor: str, id_: str) -> str:
+def _event_json(actor: str, id_: str, created_at: str = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')") -> str:
     return f"""json_object(
         'actor', {actor},
-        'created_at', strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ'),
+        'created_at', {created_at},
         'id', {id_},
         'payload', json_object(
             'action', event_type, 'ref', NULL,
@@ -61,6 +61,8 @@ originals AS (
             WHEN 2 THEN CAST({_event_json("NULL", _ID)} AS VARCHAR)
             WHEN 3 THEN CAST({_event_json("'someone'", _ID)} AS VARCHAR)
             WHEN 4 THEN '[1]'
+            WHEN 5 THEN CAST({_event_json(_LOGIN, _ID)} AS VARCHAR) || ',{{"end-of-text":true}}]garbage'
+            WHEN 6 THEN CAST({_event_json(_LOGIN, _ID, "'12:30'")} AS VARCHAR)
             ELSE CAST({_event_json(_LOGIN, _ID)} AS VARCHAR)
         END AS value
     FROM source),
@@ -78,6 +80,8 @@ def _string_at(path: str) -> str:
     return f"CASE WHEN json_type(value, '{path}') = 'VARCHAR' THEN json_extract_string(value, '{path}') END"
 
 
+_NO_DATE = f"coalesce(NOT regexp_matches({_string_at('$.created_at')}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}'), false)"
+
 _DECODED = f"""{_MESSAGES},
 raw_events AS (
     SELECT * FROM (
@@ -85,10 +89,10 @@ raw_events AS (
             {_string_at("$.type")} AS event_type,
             {_string_at("$.actor.login")} AS actor_login,
             {_string_at("$.repo.name")} AS repo_name,
-            CAST(replace({_string_at("$.created_at")}, 'Z', '') AS TIMESTAMP) AS event_created_at,
+            TRY_CAST(replace({_string_at("$.created_at")}, 'Z', '') AS TIMESTAMP) AS event_created_at,
             sent_at + INTERVAL 5 SECOND AS ingested_at,
             value AS payload
-        FROM objects) decoded
+        FROM objects WHERE NOT {_NO_DATE}) decoded
     WHERE event_id IS NOT NULL)"""
 
 # -- models, over CTE raw_events
@@ -193,12 +197,14 @@ def oracle_sql() -> dict[str, str]:
         "bronze_decode": _with(_DECODED, f"SELECT {_RAW_COLUMNS} FROM raw_events"),
         "bronze_malformed": _with(
             _MESSAGES,
-            """
+            f"""
 SELECT msg_offset, value, 'malformed' AS reason FROM messages WHERE NOT json_valid(value)
 UNION ALL
 SELECT msg_offset, value, 'not an object' FROM parsed WHERE json_type(value) <> 'OBJECT'
 UNION ALL
-SELECT msg_offset, value, 'id' FROM objects WHERE json_type(value, '$.id') IS DISTINCT FROM 'VARCHAR'""",
+SELECT msg_offset, value, 'id' FROM objects WHERE json_type(value, '$.id') IS DISTINCT FROM 'VARCHAR'
+UNION ALL
+SELECT msg_offset, value, 'timestamp' FROM objects WHERE json_type(value, '$.id') = 'VARCHAR' AND {_NO_DATE}""",
         ),
         "bronze_partition_scan": _with(
             _RAW,
@@ -221,6 +227,12 @@ SELECT event_id, msg_offset, event_json FROM (
     FROM objects WHERE json_type(value, '$.id') = 'VARCHAR') ranked
 WHERE rank = 1
     AND event_id NOT IN (SELECT CAST(event_id AS VARCHAR) FROM events WHERE event_id % 7 = 0)""",
+        ),
+        "stream_publish": _with(
+            _MESSAGES,
+            """
+SELECT DISTINCT json_extract_string(value, '$.id') AS key, value FROM objects
+WHERE json_type(value, '$.id') = 'VARCHAR'""",
         ),
         "silver_typed": _with(f"{_RAW},{_TYPED}", "SELECT * FROM typed"),
         "silver_dedup": _with(f"{_RAW},{_SILVER}", "SELECT * FROM silver"),

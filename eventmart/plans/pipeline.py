@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -16,8 +17,9 @@ from eventmart.session import configure
 from eventmart.sources import files, progress
 from eventmart.sources.bronze import create_tables, read_raw_events, write_load
 from eventmart.sources.layout import Layout
-from eventmart.sources.messages import Source
+from eventmart.sources.messages import Sink, Source
 from eventmart.streaming.ingest import drain
+from eventmart.streaming.publish import publish
 
 FULL, INCREMENTAL = "full", "incremental"
 
@@ -28,8 +30,9 @@ class ChecksFailed(RuntimeError):
 
 @dataclass
 class Result:
-    """What a run did: rows ingested, and one report row per check."""
+    """What a run did: events published, rows ingested, and one report row per check."""
 
+    published: int = 0
     ingested: int = 0
     report: list[Row] = field(default_factory=list)
 
@@ -49,14 +52,46 @@ def update_gold(spark: SparkSession, layout: Layout, mode: str = INCREMENTAL) ->
 def compact_bronze(spark: SparkSession, layout: Layout, loads: list[str], into: str) -> None:
     """Write many small loads as one, say once a day, so that files stay few and large.
 
-    Should it die between writing and deleting, some rows are there twice, which silver does not show.
+    `into` is a new name. Loads are deleted only when all their rows are found in the new one. A note is
+    kept meanwhile: should it die, the next call finishes deleting, or begins again.
     """
+    finish_compaction(spark, layout)
     waiting = {load for table in (progress.DIMENSION, progress.FACT) for load in progress.pending(spark, layout, table)}
     if waiting & set(loads):
         raise ValueError("gold has not taken in all of these loads")
+    if into in loads or files.exists(spark, f"{layout.raw_events}/load={into}"):
+        raise ValueError(f"there is a load named {into} already")
+    missing = [load for load in loads if not files.exists(spark, f"{layout.raw_events}/load={load}")]
+    if missing:
+        raise ValueError(f"no such loads: {missing}")
+    files.write_text(spark, layout.compacting, json.dumps({"loads": loads, "into": into}))
     write_load(read_raw_events(spark, layout).filter(F.col("load").isin(loads)), layout, into, rebalance=True)
-    for load in loads:
-        files.delete(spark, f"{layout.raw_events}/load={load}")
+    finish_compaction(spark, layout)
+
+
+def finish_compaction(spark: SparkSession, layout: Layout) -> None:
+    """Delete the loads a compaction has written again; undo one that did not write all of them."""
+    if not files.exists(spark, layout.compacting):
+        return
+    try:
+        noted = json.loads(files.read_text(spark, layout.compacting))
+    except ValueError:
+        # The note was cut short, so that nothing was written.
+        return files.delete(spark, layout.compacting)
+    loads, into = noted["loads"], f"{layout.raw_events}/load={noted['into']}"
+    raw = read_raw_events(spark, layout)
+    left = [load for load in loads if files.exists(spark, f"{layout.raw_events}/load={load}")]
+    if len(left) == len(loads) and files.exists(spark, into):
+        # None is deleted yet: only then can the counts be compared.
+        counts = raw.filter(F.col("load").isin([*loads, noted["into"]])).groupBy("load").count().collect()
+        rows = {r["load"]: r["count"] for r in counts}
+        if rows.get(noted["into"], 0) != sum(rows.get(load, 0) for load in loads):
+            files.delete(spark, into)
+            return files.delete(spark, layout.compacting)
+    if files.exists(spark, into):
+        for load in left:
+            files.delete(spark, f"{layout.raw_events}/load={load}")
+    return files.delete(spark, layout.compacting)
 
 
 def register_views(spark: SparkSession, layout: Layout) -> None:
@@ -85,19 +120,24 @@ def run_pipeline(
     layout: Layout,
     source: Source | None = None,
     *,
+    events: Source | None = None,
+    sink: Sink | None = None,
     mode: str = INCREMENTAL,
     ingest: bool = True,
     now: datetime | None = None,
 ) -> Result:
-    """Drain the source into bronze, check, update gold, check.
+    """Publish new events, drain the source into bronze, check, update gold, check.
 
-    With `ingest=False` only silver and gold are refreshed. `now` turns on the freshness check of
+    `events` are published to `sink`, from which `source` reads; without them that step is left out. With `ingest=False` only silver and gold are refreshed. `now` turns on the freshness check of
     bronze. Failed checks of severity error stop the run.
     """
     configure(spark)
     result = Result()
     create_tables(spark, layout)
+    finish_compaction(spark, layout)
     if ingest:
+        if events is not None and sink is not None:
+            result.published = publish(spark, events, sink, layout)
         if source is None:
             raise ValueError("a source is needed to ingest")
         result.ingested = drain(spark, source, layout)

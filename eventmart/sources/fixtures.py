@@ -6,22 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Messages of these kinds, by event_id modulo 50, are odd on purpose.
-NOT_JSON, NUMBER_ID, NO_ACTOR, SCALAR_ACTOR, NOT_OBJECT = range(5)
+NOT_JSON, NUMBER_ID, NO_ACTOR, SCALAR_ACTOR, NOT_OBJECT, FORGED_END, NO_DATE = range(7)
 
 
 def driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table. If it is so small that cores would be idle, its rows are dealt out to all of them."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores, "event_id") if events.rdd.getNumPartitions() < cores else events
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _event_json(actor: Column, id_: Column) -> Column:
+def _event_json(actor: Column, id_: Column, created_at: Column | None = None) -> Column:
     """The event as JSON text, keys in order, nulls kept."""
+    if created_at is None:
+        created_at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     k = F.get_json_object("props", "$.k").cast("int")
     event = F.struct(
         actor.alias("actor"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
+        created_at.alias("created_at"),
         id_.alias("id"),
         F.struct(
             F.col("event_type").alias("action"),
@@ -75,7 +74,7 @@ def raw_events(spark: SparkSession, sf_dir: str, skewed: bool = False) -> DataFr
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as messages: one in ten delivered twice, one in ten odd in some way."""
+    """The same events as messages: one in ten delivered twice, seven in fifty odd in some way."""
     events = driver_events(spark, sf_dir)
     id_ = F.col("event_id").cast("string")
     kind = F.col("event_id") % 50
@@ -86,6 +85,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == NO_ACTOR, _event_json(F.lit(None).cast("string"), id_))
         .when(kind == SCALAR_ACTOR, _event_json(F.lit("someone"), id_))
         .when(kind == NOT_OBJECT, F.lit("[1]"))
+        .when(kind == FORGED_END, F.concat(_event_json(login, id_), F.lit(',{"end-of-text":true}]garbage')))
+        .when(kind == NO_DATE, _event_json(login, id_, F.lit("12:30")))
         .otherwise(_event_json(login, id_))
     )
     copies = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))

@@ -39,6 +39,17 @@ class Layout:
     def run_log(self) -> str:
         return self.path("ops", "run_log")
 
+    @property
+    def published(self) -> str:
+        return self.path("ops", "published")
+
+    def days(self, table: str) -> str:
+        return self.path("ops", f"days/{table}")
+
+    @property
+    def compacting(self) -> str:
+        return self.path("ops", "compacting.json")
+
     def pending(self, table: str) -> str:
         return self.path("ops", f"pending/{table}")
 

@@ -21,24 +21,28 @@ FACT = "fct_events_hourly"
 # Scope of a write of the whole table.
 EVERYTHING = "*"
 
-RUN_LOG = "logged_at timestamp, load string, rows_ingested long, dead_letters long"
+RUN_LOG = "logged_at timestamp, load string, rows_ingested long, dead_letters long, rows_published long"
 
 
 def loaded(spark: SparkSession, layout: Layout, load: str, rows: int, dead_letters: int) -> None:
     """Note a load that is in bronze: the gold tables lack it, and the run log counts it."""
     for table in (DIMENSION, FACT):
         files.write_text(spark, f"{layout.pending(table)}/{load}", "")
-    entry = {
-        "logged_at": datetime.now(UTC).isoformat(),
-        "load": load,
-        "rows_ingested": rows,
-        "dead_letters": dead_letters,
-    }
+    _log(spark, layout, load, rows_ingested=rows, dead_letters=dead_letters)
+
+
+def published(spark: SparkSession, layout: Layout, batch: str, rows: int) -> None:
+    """Note a batch of events that was published."""
+    _log(spark, layout, batch, rows_published=rows)
+
+
+def _log(spark: SparkSession, layout: Layout, load: str, **counts: int) -> None:
+    entry = {"logged_at": datetime.now(UTC).isoformat(), "load": load, **counts}
     files.write_text(spark, f"{layout.run_log}/{uuid.uuid4().hex}.json", json.dumps(entry))
 
 
 def run_log(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Loads with their row counts."""
+    """Loads and published batches with their row counts."""
     files.make_directory(spark, layout.run_log)
     return spark.read.schema(RUN_LOG).json(layout.run_log)
 
@@ -76,13 +80,23 @@ def interrupted(spark: SparkSession, layout: Layout, table: str) -> tuple[list[s
     return sorted(loads), sorted(scope, key=str)
 
 
-def columns(spark: SparkSession, layout: Layout, table: str) -> dict[str, str]:
-    """Names and types of the columns earlier writes gave the table."""
+def columns(spark: SparkSession, layout: Layout, table: str) -> dict[str, dict[str, str]]:
+    """Names of the columns earlier writes gave the table, each with its type and JSON path."""
+    return _noted(spark, layout, table).get("columns", {})
+
+
+def buckets(spark: SparkSession, layout: Layout, table: str) -> int | None:
+    """The number of buckets the table was built with."""
+    return _noted(spark, layout, table).get("buckets")
+
+
+def _noted(spark: SparkSession, layout: Layout, table: str) -> dict:
     path = layout.columns(table)
     return json.loads(files.read_text(spark, path)) if files.exists(spark, path) else {}
 
 
-def set_columns(spark: SparkSession, layout: Layout, table: str, wanted: dict[str, str]) -> None:
-    """Note the columns the table has from now on."""
-    if columns(spark, layout, table) != wanted:
-        files.write_text(spark, layout.columns(table), json.dumps(wanted))
+def set_columns(spark: SparkSession, layout: Layout, table: str, wanted: dict[str, dict[str, str]], buckets: int) -> None:
+    """Note the columns and the number of buckets the table has from now on."""
+    noted = {"columns": wanted, "buckets": buckets}
+    if _noted(spark, layout, table) != noted:
+        files.write_text(spark, layout.columns(table), json.dumps(noted))

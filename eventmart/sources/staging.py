@@ -5,17 +5,39 @@ They cut the lineage, survive lost executors, and give sizes and bounds for free
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from eventmart.session import scratch_dir
+from eventmart.sources import files
+
+# Folders staged since the innermost `dropped_after` began.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def dropped_after(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside, when it is done: for jobs that keep no frame on it."""
+    outer, paths = _STAGED.get(), []
+    _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.set(outer)
+        for path in paths:
+            files.delete(spark, path)
 
 
 def stage(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, Any]]:
     """Write `rows`, and return them as read back, with the metrics observed while writing."""
     spark = rows.sparkSession
     path = scratch_dir(spark, name)
+    if (staged := _STAGED.get()) is not None:
+        staged.append(path)
     seen: dict[str, Any] = dict.fromkeys(metrics)
     if metrics:
         observation = Observation()

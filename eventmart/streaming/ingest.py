@@ -23,7 +23,7 @@ from eventmart.sources.messages import CONTINUOUS_INTERVAL, Source
 STREAM = "ingest"
 
 
-def _query_id(spark: SparkSession, checkpoint: str) -> str:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of a streaming query: it stays over restarts, and is new with a new checkpoint."""
     return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
 
@@ -38,15 +38,13 @@ def load_batch(
 ) -> int:
     """Decode messages and write them as one load, bad ones to the dead letter table.
 
-    Returns the number of bronze rows.
+    The messages are read and decoded twice, not kept: a batch may be a whole backlog. Returns the
+    number of bronze rows.
     """
-    decoded = decode(messages, ingested_at).withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
+    decoded = decode(messages, ingested_at).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     good, bad = Observation(), Observation()
-    try:
-        write_load(bronze_rows(decoded).observe(good, F.count("*").alias("n")), layout, load)
-        write_dead_letters(dead_letters(decoded).observe(bad, F.count("*").alias("n")), layout, load)
-    finally:
-        decoded.unpersist()
+    write_load(bronze_rows(decoded).observe(good, F.count("*").alias("n")), layout, load)
+    write_dead_letters(dead_letters(decoded).observe(bad, F.count("*").alias("n")), layout, load)
     rows, dead = good.get.get("n") or 0, bad.get.get("n") or 0
     progress.loaded(spark, layout, load, rows, dead)
     return rows
@@ -66,7 +64,7 @@ def _writer(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if not query:
-            query.append(_query_id(spark, checkpoint))
+            query.append(query_id(spark, checkpoint))
         load = f"{query[0]}-{batch_id:010d}"
         loaded.append(load_batch(spark, layout, batch, load, batch_id, ingested_at))
         if after_load is not None:

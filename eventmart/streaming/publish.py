@@ -1,18 +1,65 @@
-"""Publish a stream of events as keyed messages, each id once."""
+"""Publish events as keyed messages, each id once: as a stream, or as a job that drains the source."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventmart.operators.publish import as_messages, keyed_events
+from eventmart.operators.publish import as_messages, keyed_events, new_events
+from eventmart.session import configure
+from eventmart.sources import files, progress
+from eventmart.sources.layout import Layout
+from eventmart.sources.messages import Sink, Source
+from eventmart.sources.staging import dropped_after, stage
+from eventmart.streaming.ingest import query_id
 
+STREAM = "publish"
 
-def unseen_messages(records: DataFrame, event_time: str = "timestamp", remember: str = "1 hour") -> DataFrame:
-    """Messages for records whose id did not come within `remember`.
 
-    What has been seen is kept as streaming state, and dropped as the watermark passes: memory is
-    bounded by time. `event_time` must be a TIMESTAMP.
+def unseen_messages(records: DataFrame, remember: str = "1 hour") -> DataFrame:
+    """Messages for records whose id did not arrive within `remember`.
+
+    What has been seen is kept as streaming state, and dropped as time passes: memory is bounded by
+    time. The watermark is on arrival, so no record is ever late, whatever time it bears.
     """
-    return as_messages(
-        keyed_events(records.withWatermark(event_time, remember)).dropDuplicatesWithinWatermark(["event_id"])
-    )
+    arrived = keyed_events(records.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember))
+    return as_messages(arrived.dropDuplicatesWithinWatermark(["event_id"]))
+
+
+def published_ids(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Ids that earlier jobs have published."""
+    files.make_directory(spark, layout.published)
+    return spark.read.schema("event_id string, batch string").parquet(layout.published)
+
+
+def publish(spark: SparkSession, source: Source, sink: Sink, layout: Layout) -> int:
+    """Publish what the source has and no job has published, and return how many events that were.
+
+    Each batch's ids are written below its name before its messages are sent, and those of a batch that
+    is run again are not counted as published: an event may be sent twice after a crash, never not at
+    all.
+    """
+    configure(spark)
+    checkpoint = layout.checkpoint(STREAM)
+    name: list[str] = []
+    sent: list[int] = []
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if not name:
+            name.append(query_id(spark, checkpoint))
+        label = f"{name[0]}-{batch_id:010d}"
+        earlier = published_ids(spark, layout).filter(F.col("batch") != label)
+        with dropped_after(spark):
+            fresh, seen = stage(
+                new_events(keyed_events(batch), F.struct("timestamp", "partition", "offset"), earlier), "published", n=F.count("*")
+            )
+            fresh.select("event_id").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+                f"{layout.published}/batch={label}"
+            )
+            sink.write(as_messages(fresh))
+        progress.published(spark, layout, label, seen["n"] or 0)
+        sent.append(seen["n"] or 0)
+
+    stream = source.read_stream(spark).writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return sum(sent)

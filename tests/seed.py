@@ -1,86 +1,73 @@
-"""A small history of three entities over four hours."""
+"""A generated history: measuring stations that report, change their state and are read by keepers."""
 
 from __future__ import annotations
 
 import csv
 import json
+import random
+from datetime import datetime, timedelta
 from pathlib import Path
 
-# Minute after 10:00, event type, entity, language, description, stars.
-HELLO, RUST, LINUX = "octocat/hello-world", "rust-lang/rust", "torvalds/linux"
-RUST_TEXT = "Empowering everyone to build reliable and efficient software."
-LINUX_TEXT = "Linux kernel source tree"
-EVENTS = [
-    (1, "PushEvent", HELLO, "Ruby", "hello", 10),
-    (3, "WatchEvent", HELLO, "Ruby", "hello", 11),
-    (15, "PushEvent", HELLO, "Ruby", "hello world in ruby", 11),
-    (20, "PullRequestEvent", RUST, "Rust", RUST_TEXT, 98000),
-    (22, "PushEvent", RUST, "Rust", RUST_TEXT, 98001),
-    (35, "IssuesEvent", RUST, "Rust", RUST_TEXT, 98002),
-    (40, "ForkEvent", LINUX, "C", LINUX_TEXT, 180000),
-    (45, "WatchEvent", LINUX, "C", LINUX_TEXT, 180001),
-    (50, "IssueCommentEvent", HELLO, "Ruby", "hello world in ruby", 12),
-    (65, "PushEvent", HELLO, "Python", "hello world in ruby", 12),
-    (70, "ReleaseEvent", RUST, "Rust", RUST_TEXT, 98010),
-    (75, "PullRequestReviewEvent", RUST, "Rust", RUST_TEXT, 98010),
-    (80, "PushEvent", LINUX, "C", LINUX_TEXT, 180010),
-    (85, "CreateEvent", HELLO, "Python", "hello world in ruby", 12),
-    (90, "DeleteEvent", HELLO, "Python", "hello world, now in python", 13),
-    (100, "PushEvent", RUST, "Rust", RUST_TEXT, 98015),
-    (105, "WatchEvent", LINUX, "C", LINUX_TEXT, 180020),
-    (115, "PushEvent", HELLO, "Python", "hello world, now in python", 14),
-    (125, "IssuesEvent", RUST, "Rust", RUST_TEXT, 98020),
-    (130, "PushEvent", LINUX, "C", LINUX_TEXT, 180025),
-    (140, "WatchEvent", HELLO, "Python", "hello world, now in python", 15),
-    (150, "PullRequestEvent", RUST, "Rust", RUST_TEXT, 98025),
-    (155, "PushEvent", RUST, "Rust", RUST_TEXT, 98030),
-    (160, "ForkEvent", LINUX, "C", LINUX_TEXT, 180030),
-    (165, "PushEvent", HELLO, "Python", "hello world, now in python", 16),
-    (170, "IssueCommentEvent", RUST, "Rust", RUST_TEXT, 98035),
-    (175, "ReleaseEvent", LINUX, "C", LINUX_TEXT, 180040),
-    (185, "PushEvent", HELLO, "Python", "hello world, now in python", 17),
-    (190, "PullRequestEvent", RUST, "Rust", RUST_TEXT, 98040),
-    (195, "WatchEvent", LINUX, "C", LINUX_TEXT, 180050),
-]
-WITH_REF = ("PushEvent", "PullRequestEvent", "ReleaseEvent")
-# Events that share an actor, by position; all others have one of their own.
-SAME_ACTOR = {3: 1, 10: 1, 18: 1, 28: 1, 9: 2, 11: 4, 12: 5, 15: 14}
-
-
-def _at(minute: int, seconds: int = 0) -> str:
-    return f"2026-09-20T{10 + minute // 60:02d}:{minute % 60:02d}:{seconds:02d}Z"
+BEGIN = datetime(2023, 11, 4, 21, 30)
+STATIONS = ("harbour/tide", "ridge/wind", "valley/rain", "delta/silt")
+KINDS = ("ForkEvent", "GollumEvent", "MemberEvent", "PublicEvent", "WatchEvent")
+STATES = ("dry", "wet", "frozen")
+SIZE = 48
 
 
 def events() -> list[dict]:
-    """The events as messages."""
-    found = []
-    for n, (minute, kind, repo, language, description, stars) in enumerate(EVENTS, 1):
-        branch = {"CreateEvent": "branch", "DeleteEvent": "branch"}.get(kind)
+    """The events as messages, each at a time of its own."""
+    rng = random.Random(20231104)
+    state = {s: [rng.choice(STATES), f"{s} at rest", rng.randint(1, 90)] for s in STATIONS}
+    found, clock = [], BEGIN
+    for n in range(SIZE):
+        clock += timedelta(minutes=rng.randint(1, 11), seconds=rng.randint(0, 59))
+        station = rng.choice(STATIONS)
+        own = state[station]
+        change = rng.random()
+        if change < 0.3:
+            own[2] += rng.randint(1, 5)
+        elif change < 0.45:
+            own[0] = rng.choice(STATES)
+        elif change < 0.55:
+            own[1] = f"{station} after {n} readings"
         found.append(
             {
-                "id": f"e{n:03d}",
-                "type": kind,
-                "actor": {"login": f"user{SAME_ACTOR.get(n, n)}"},
-                "repo": {"id": repo[:2], "name": repo},
-                "created_at": _at(minute),
+                "id": f"reading-{n:02d}",
+                "type": rng.choice(KINDS),
+                "actor": {"login": f"keeper-{rng.randint(1, 9)}"},
+                "repo": {"id": str(STATIONS.index(station)), "name": station},
+                "created_at": clock.strftime("%Y-%m-%dT%H:%M:%SZ"),
                 "payload": {
-                    "action": None if kind in ("ForkEvent", "CreateEvent", "DeleteEvent") else "done",
-                    "ref": "refs/heads/main" if branch or kind in WITH_REF else None,
-                    **({"ref_type": branch} if branch else {}),
-                    "repository": {"language": language, "description": description, "stargazers_count": str(stars)},
+                    "action": rng.choice([None, "read", "reset"]),
+                    "repository": {"language": own[0], "description": own[1], "stargazers_count": str(own[2])},
                 },
-                "public": "true",
+                "public": True,
             }
         )
     return found
 
 
+def created(event: dict) -> datetime:
+    return datetime.strptime(event["created_at"], "%Y-%m-%dT%H:%M:%SZ")
+
+
+def rows() -> list[tuple]:
+    """The events as bronze rows, taken in twenty seconds after they happened."""
+    return [
+        (
+            e["id"], e["type"], e["actor"]["login"], e["repo"]["name"], created(e),
+            created(e) + timedelta(seconds=20), json.dumps(e),
+        )
+        for e in events()
+    ]
+
+
 def write_csv(path: Path) -> str:
-    """The events as a seed file: a header, and JSON quoted with doubled quotes."""
+    """The rows as a seed file: a header, times with a zone, and JSON quoted with doubled quotes."""
     with path.open("w", newline="") as out:
         writer = csv.writer(out)
         writer.writerow("event_id event_type actor_login repo_name event_created_at ingested_at payload".split())
-        for (minute, *_), e in zip(EVENTS, events(), strict=True):
-            row = [e["id"], e["type"], e["actor"]["login"], e["repo"]["name"], e["created_at"], _at(minute, 5)]
-            writer.writerow([*row, json.dumps(e)])
+        for *names, at, taken, text in rows():
+            writer.writerow([*names, f"{at.isoformat()}Z", f"{taken.isoformat()}Z", text])
     return str(path)

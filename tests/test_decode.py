@@ -14,16 +14,11 @@ from eventmart.session import configure
 
 
 def event(**changes) -> dict:
-    base = {
-        "id": "42",
-        "type": "PushEvent",
-        "actor": {"login": "octo"},
-        "repo": {"name": "octo/hello"},
-        "created_at": "2026-01-01T00:00:00Z",
-        "payload": {"action": "opened"},
-        "public": True,
-    }
-    return base | changes
+    """A reading of a station, with some fields changed."""
+    station = {"name": "ridge/wind", "id": "1"}
+    reading = {"repository": {"language": "dry", "stargazers_count": "7"}}
+    base = {"public": False, "payload": reading, "repo": station, "actor": {"login": "keeper"}}
+    return base | {"created_at": "2023-11-04T22:10:05Z", "type": "GollumEvent", "id": "r-7"} | changes
 
 
 def without(key: str) -> dict:
@@ -34,26 +29,26 @@ def as_bytes(value) -> bytes:
     return json.dumps(value).encode()
 
 
-CREATED = datetime(2026, 1, 1)
-GOOD = ("42", "PushEvent", "octo", "octo/hello", CREATED)
+CREATED = datetime(2023, 11, 4, 22, 10, 5)
+GOOD = ("r-7", "GollumEvent", "keeper", "ridge/wind", CREATED)
 
 ROWS = {
     "well formed": (as_bytes(event()), GOOD),
-    "parents null": (as_bytes(event(actor=None, repo=None)), ("42", "PushEvent", None, None, CREATED)),
-    "type null": (as_bytes(event(type=None)), ("42", None, "octo", "octo/hello", CREATED)),
-    "type a number": (as_bytes(event(type=7)), ("42", None, "octo", "octo/hello", CREATED)),
-    "actor a scalar": (as_bytes(event(actor="someone")), ("42", "PushEvent", None, "octo/hello", CREATED)),
-    "actor an array": (as_bytes(event(actor=[{"login": "x"}])), ("42", "PushEvent", None, "octo/hello", CREATED)),
-    "login an object": (as_bytes(event(actor={"login": {}})), ("42", "PushEvent", None, "octo/hello", CREATED)),
+    "parents null": (as_bytes(event(actor=None, repo=None)), ("r-7", "GollumEvent", None, None, CREATED)),
+    "type null": (as_bytes(event(type=None)), ("r-7", None, "keeper", "ridge/wind", CREATED)),
+    "type a number": (as_bytes(event(type=7)), ("r-7", None, "keeper", "ridge/wind", CREATED)),
+    "actor a scalar": (as_bytes(event(actor="someone")), ("r-7", "GollumEvent", None, "ridge/wind", CREATED)),
+    "actor an array": (as_bytes(event(actor=[{"login": "x"}])), ("r-7", "GollumEvent", None, "ridge/wind", CREATED)),
+    "login an object": (as_bytes(event(actor={"login": {}})), ("r-7", "GollumEvent", None, "ridge/wind", CREATED)),
     "no time": (as_bytes(without("created_at")), (*GOOD[:4], None)),
     "time a number": (as_bytes(event(created_at=5)), (*GOOD[:4], None)),
-    "time with offset": (as_bytes(event(created_at="2026-01-01T02:00:00+02:00")), GOOD),
+    "time with offset": (as_bytes(event(created_at="2023-11-05T00:10:05+02:00")), GOOD),
     "space around": (b" \n\t" + as_bytes(event()) + b"\r\n ", GOOD),
-    "inner key twice": (b'{"id": "42", "actor": {"login": "a", "login": "b"}}', ("42", None, "b", None, None)),
-    "empty strings": (as_bytes(event(type="", actor={"login": ""})), ("42", "", "", "octo/hello", CREATED)),
-    "escapes": (as_bytes(event(type='a"\\\n\u00e9')), ("42", 'a"\\\n\u00e9', "octo", "octo/hello", CREATED)),
-    "key twice": (b'{"id": "1", "id": "42"}', ("42", None, None, None, None)),
-    "no letters but ascii": (as_bytes(event(type="Ünï")), ("42", "Ünï", "octo", "octo/hello", CREATED)),
+    "inner key twice": (b'{"id": "r-7", "actor": {"login": "a", "login": "b"}}', ("r-7", None, "b", None, None)),
+    "empty strings": (as_bytes(event(type="", actor={"login": ""})), ("r-7", "", "", "ridge/wind", CREATED)),
+    "escapes": (as_bytes(event(type='a"\\\n\u00e9')), ("r-7", 'a"\\\n\u00e9', "keeper", "ridge/wind", CREATED)),
+    "key twice": (b'{"id": "1", "id": "r-7"}', ("r-7", None, None, None, None)),
+    "no letters but ascii": (as_bytes(event(type="Ünï")), ("r-7", "Ünï", "keeper", "ridge/wind", CREATED)),
 }
 
 DEAD = {
@@ -66,7 +61,7 @@ DEAD = {
     "two events and a comma": (as_bytes(event()) + b"," + as_bytes(event()), "malformed"),
     "bracket after the event": (as_bytes(event()) + b"],[{}", "malformed"),
     "fields after the event": (as_bytes(event()) + b',"x":1', "malformed"),
-    "broken inside": (b'{"id": "42", "payload": {"a": tru}}', "malformed"),
+    "broken inside": (b'{"id": "r-7", "payload": {"a": tru}}', "malformed"),
     "empty object": (b"{}", "id"),
     "broken array": (b"[1", "malformed"),
     "cut short": (as_bytes(event())[:-1], "malformed"),
@@ -79,6 +74,13 @@ DEAD = {
     "null id": (as_bytes(event(id=None)), "id"),
     "no id": (as_bytes(without("id")), "id"),
     "bad time": (as_bytes(event(created_at="nope")), "timestamp"),
+    "time of day": (as_bytes(event(created_at="12:30")), "timestamp"),
+    "year": (as_bytes(event(created_at="2024")), "timestamp"),
+    "month": (as_bytes(event(created_at="2024-05")), "timestamp"),
+    "date and words": (as_bytes(event(created_at="2024-05-01 or so")), "timestamp"),
+    "forged end mark": (as_bytes(event()) + b',{"end-of-text":true}]garbage', "malformed"),
+    "forged text mark": (as_bytes(event()) + b',"end-of-text"]garbage', "malformed"),
+    "forged digest": (as_bytes(event()) + b',{"end-of-text":"d41d8cd98f00b204e9800998ecf8427e"}]', "malformed"),
 }
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import os
 import random
 from collections import Counter
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,7 +14,7 @@ from hypothesis import strategies as st
 
 from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import FactTable
-from eventmart.plans.pipeline import compact_bronze
+from eventmart.plans.pipeline import compact_bronze, finish_compaction
 from eventmart.schemas import ENTITY_ATTRIBUTES, Attribute
 from eventmart.session import scratch_dir
 from eventmart.sources import files, progress
@@ -21,6 +23,8 @@ from eventmart.sources.layout import Layout
 from tests.worlds import frame, hourly, random_rows, raw_row, stored_versions, strict_versions
 
 AT = datetime(2024, 1, 31, 12)
+# Each takes some twenty seconds; more for a release: PROPERTY_EXAMPLES=25.
+EXAMPLES = int(os.environ.get("PROPERTY_EXAMPLES", "2"))
 
 
 def at(hours: float) -> datetime:
@@ -60,7 +64,7 @@ class Tables:
             assert not progress.pending(self.spark, self.layout, name)
 
 
-@settings(max_examples=2, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@settings(max_examples=EXAMPLES, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(seed=st.integers(0, 10**6), batches=st.integers(2, 4), max_rows=st.sampled_from([3, 10**6]))
 def test_any_split_and_order(spark, seed, batches, max_rows):
     """Many small histories at once, their rows dealt out to batches at random."""
@@ -116,7 +120,9 @@ def test_update_repairs_what_a_died_one_left(spark, broken):
     load = tables.land([raw_row(str(i), f"r{i - 4}", at(i + 40), at(i), stars="7") for i in range(8, 12)])
     # The writes of that load died: the notes are there, partitions are gone.
     progress.started(spark, tables.layout, progress.DIMENSION, [load], [0, 1])
-    progress.started(spark, tables.layout, progress.FACT, [load], ["2024-02-02"])
+    days = f"{tables.layout.days(progress.FACT)}/died"
+    spark.createDataFrame([(date(2024, 2, 2),)], "day date").write.parquet(days)
+    progress.started(spark, tables.layout, progress.FACT, [load], [days])
     files.delete(spark, f"{tables.layout.dimension}/bucket=1")
     files.delete(spark, f"{tables.layout.fact}/event_date=2024-02-02")
     if broken == "cut short":
@@ -154,6 +160,79 @@ def test_compaction_changes_no_result(spark):
     tables.check()
 
 
+def test_compaction_refuses_names_in_use_and_loses_no_row(spark):
+    tables = Tables(spark)
+    for n in range(3):
+        tables.add([raw_row(str(n), "r", at(n), at(n))])
+    for loads, into in ((["load-0", "load-1"], "load-0"), (["load-0", "load-1"], "load-2"), (["gone"], "day-1")):
+        with pytest.raises(ValueError, match="load"):
+            compact_bronze(spark, tables.layout, loads, into)
+        assert read_raw_events(spark, tables.layout).count() == 3
+
+
+@pytest.mark.parametrize("written", ["nothing", "some", "all"])
+def test_a_compaction_that_died_is_finished_or_undone(spark, written):
+    tables = Tables(spark)
+    for n in range(3):
+        tables.add([raw_row(str(n), "r", at(n), at(n))])
+    note = json.dumps({"loads": ["load-0", "load-1"], "into": "day-1"})
+    files.write_text(spark, tables.layout.compacting, note)
+    if written != "nothing":
+        kept = tables.rows[:2] if written == "all" else tables.rows[:1]
+        write_load(frame(spark, kept), tables.layout, "day-1")
+    finish_compaction(spark, tables.layout)
+    raw = read_raw_events(spark, tables.layout)
+    assert sorted(r["event_id"] for r in raw.collect()) == ["0", "1", "2"]
+    left = {r["load"] for r in raw.select("load").distinct().collect()}
+    assert left == ({"day-1", "load-2"} if written == "all" else {"load-0", "load-1", "load-2"})
+    assert not files.exists(spark, tables.layout.compacting)
+
+
+def test_another_number_of_buckets_is_refused(spark):
+    tables = Tables(spark, buckets=8)
+    tables.add([raw_row(str(i), f"r{i}", at(i), at(i)) for i in range(6)])
+    other = DimensionTable(spark, tables.layout)
+    load = tables.land([raw_row("9", "r1", at(9), at(9), stars="5")])
+    with pytest.raises(ValueError, match="8 buckets"):
+        other.update([load])
+    with pytest.raises(ValueError, match="8 buckets"):
+        other.read_entity("r1")
+    tables.dimension.update([load])
+    tables.fact.update([load])
+    tables.check()
+
+
+def test_recovery_fills_columns_of_an_earlier_schema(spark):
+    tables = Tables(spark)
+    wider = (*ENTITY_ATTRIBUTES, Attribute("source_id", "$.id", tracked=False))
+    load = tables.land([raw_row(str(i), f"r{i}", at(i), at(i)) for i in range(4)])
+    DimensionTable(spark, tables.layout, wider, buckets=2).update([load])
+    tables.fact.update([load])
+    progress.started(spark, tables.layout, progress.DIMENSION, [], [0, 1])
+    tables.dimension.recover()
+    found = {(r.repo_name, r.source_id) for r in tables.dimension.read().collect()}
+    assert found == {(f"r{i}", str(i)) for i in range(4)}
+
+
+def test_an_update_leaves_no_staged_folder(spark):
+    tables = Tables(spark)
+    tables.add([raw_row("1", "r", at(0), at(0))])
+    shared = os.path.dirname(scratch_dir(spark, "any"))
+    before = set(os.listdir(shared))
+    tables.add([raw_row("2", "r", at(3), at(3), stars="4")])
+    assert set(os.listdir(shared)) == before
+
+
+def test_many_days_in_one_load_stay_an_update(spark, monkeypatch):
+    tables = Tables(spark)
+    tables.add([raw_row("0", "r", at(0), at(0))])
+    monkeypatch.setattr(FactTable, "build", lambda *_: pytest.fail("built anew"))
+    rows = [raw_row(str(n + 1), "r", datetime(2000, 1, 1) + timedelta(days=n), at(1)) for n in range(60)]
+    load = tables.land(rows)
+    tables.fact.update([load])
+    assert tables.fact.read().count() == 61
+
+
 def test_new_columns_are_appended(spark):
     """Rows from before the change read null; a column that is dropped later stays."""
     tables = Tables(spark)

@@ -13,11 +13,14 @@ from eventmart.plans.fact import FactTable
 from eventmart.plans.pipeline import FULL, ChecksFailed, register_views, run_pipeline
 from eventmart.schemas import MESSAGE, RAW_EVENTS
 from eventmart.session import configure, scratch_dir
+from eventmart.sources import files
 from eventmart.sources.layout import Layout
-from eventmart.sources.messages import file_source
+from eventmart.sources.messages import file_sink, file_source
+from tests import seed
 from tests.seed import events
+from tests.worlds import hourly, strict_versions
 
-NOON = datetime(2026, 9, 20, 12)
+NOON = datetime(2023, 11, 5, 12)
 
 
 def send(spark, path, messages):
@@ -44,12 +47,12 @@ def test_run_by_parts_equals_run_in_full(spark):
     messages = events()
     topic = f"{root}/topic"
     # The later half comes first, and some of it again with the rest.
-    send(spark, topic, messages[14:])
+    send(spark, topic, messages[19:])
     result = run_pipeline(spark, by_parts, file_source(topic))
-    assert result.ingested == 16
-    send(spark, topic, messages[:14] + messages[20:22])
+    assert result.ingested == seed.SIZE - 19
+    send(spark, topic, messages[:19] + messages[30:32])
     result = run_pipeline(spark, by_parts, file_source(topic))
-    assert result.ingested == 16
+    assert result.ingested == 21
     assert len(result.report) == 19
     bad = [(r["model"], r["check"], r["failures"], r["status"]) for r in result.report if r["status"] != "pass"]
     assert bad == [("raw_events", "unique", 2, "warn")]
@@ -57,7 +60,8 @@ def test_run_by_parts_equals_run_in_full(spark):
     run_pipeline(spark, in_full, file_source(topic), mode=FULL)
     assert gold(spark, by_parts) == gold(spark, in_full)
     dimension, fact = gold(spark, in_full)
-    assert len(dimension) == 28 and len(fact) == 22
+    versions, hours = len(strict_versions(seed.rows())), len(hourly(seed.rows()))
+    assert (len(dimension), len(fact)) == (versions, hours)
 
     # Refresh without ingest changes nothing.
     assert run_pipeline(spark, by_parts, ingest=False).ingested == 0
@@ -66,8 +70,18 @@ def test_run_by_parts_equals_run_in_full(spark):
     register_views(spark, in_full)
     count = "SELECT count(*) FROM {}"
     tables = ("raw_events", "silver_events", "dim_repo_scd2", "fct_events_hourly")
-    assert [spark.sql(count.format(t)).first()[0] for t in tables] == [32, 30, 28, 22]
-    assert DimensionTable(spark, in_full).read_entity("torvalds/linux").count() == 8
+    assert [spark.sql(count.format(t)).first()[0] for t in tables] == [seed.SIZE + 2, seed.SIZE, versions, hours]
+    own = [v for v in strict_versions(seed.rows()) if v[0] == seed.STATIONS[0]]
+    assert DimensionTable(spark, in_full).read_entity(seed.STATIONS[0]).count() == len(own)
+
+
+def test_publish_is_the_first_step(spark):
+    root = scratch_dir(spark, "pipeline")
+    layout, topic = Layout(f"{root}/lake"), f"{root}/topic"
+    send(spark, f"{root}/events", events()[:5] + events()[:2])
+    files.make_directory(spark, topic)
+    result = run_pipeline(spark, layout, file_source(topic), events=file_source(f"{root}/events"), sink=file_sink(topic))
+    assert (result.published, result.ingested) == (5, 5)
 
 
 def test_failed_check_stops_the_run(spark):

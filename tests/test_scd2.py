@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 from datetime import datetime, timedelta
@@ -9,23 +10,20 @@ from datetime import datetime, timedelta
 import pytest
 
 from eventmart.functions.keys import version_key
-from eventmart.operators.scd2 import change_log, dimension, hot_entities
+from eventmart.operators.scd2 import change_log, dimension, large_entities
 from eventmart.operators.silver import entity_events
+from eventmart.plans import queries as catalog
+from eventmart.sources import fixtures
 from tests.worlds import compatible_versions, frame, random_rows, raw_row, stored_versions, strict_versions
 
-# Entity and time of a version, and the key they give.
-KEYS = {
-    ("octocat/hello-world", datetime(2026, 9, 20, 10, 1)): "1a1e65711227ece6e0bb51068a76030a",
-    ("octocat/hello-world", datetime(2026, 9, 20, 13, 5)): "8ea257b51452c4d8e44446cc4b56f556",
-    ("rust-lang/rust", datetime(2026, 9, 20, 13, 10)): "360f97e3c2ba8694b68e8586ee05ce86",
-    ("torvalds/linux", datetime(2026, 9, 20, 13, 15)): "51b0d72cc5bd05fba9c3e3866ec177b4",
-}
-
-
 def test_version_keys(spark):
-    rows = spark.createDataFrame(list(KEYS), "entity string, at timestamp_ntz")
+    """The MD5 of the entity's name and the time as text."""
+    cases = [("harbour/tide", datetime(2023, 11, 4, 21, 45)), ("ridge/wind", datetime(2024, 2, 29, 0, 0, 7)), ("é", None)]
+    rows = spark.createDataFrame(cases, "entity string, at timestamp_ntz")
     found = {(r.entity, r.at): r.key for r in rows.withColumn("key", version_key("entity", "at")).collect()}
-    assert found == KEYS
+    for entity, at in cases:
+        text = entity + ("" if at is None else at.isoformat(sep=" "))
+        assert found[entity, at] == hashlib.md5(text.encode()).hexdigest()
 
 
 @pytest.mark.parametrize("max_rows", [10**6, 2, 1])
@@ -46,15 +44,34 @@ def test_a_hot_entity_is_split_and_others_are_not(spark):
         for i in range(400)
     ] + [raw_row(f"c{i}", f"cold{i}", start, start) for i in range(20)]
     events = entity_events(frame(spark, rows))
-    assert hot_entities(events, 50) == {"hot": 400}
+    assert [r["repo_name"] for r in large_entities(events, 50).collect()] == ["hot"]
     found = stored_versions(dimension(events, max_rows=50))
     assert Counter(found) == Counter(strict_versions(rows))
 
 
-def test_nothing_is_counted_when_all_rows_fit(spark, monkeypatch):
-    monkeypatch.setattr("eventmart.operators.scd2.hot_entities", lambda *_: pytest.fail("counted"))
-    events = entity_events(frame(spark, [raw_row("1", "r", datetime(2024, 1, 1), datetime(2024, 1, 1))]))
-    assert dimension(events, total=1).count() == 1
+def test_a_large_entity_with_rows_without_a_time(spark):
+    start = datetime(2024, 1, 1)
+    rows = [
+        raw_row(f"h{i}", "hot", None if i % 5 == 0 else start + timedelta(minutes=50 * i), start + timedelta(seconds=i), stars=str(i // 2))
+        for i in range(40)
+    ]
+    events = entity_events(frame(spark, rows))
+    for max_rows in (3, 100):
+        assert Counter(stored_versions(dimension(events, max_rows=max_rows))) == Counter(strict_versions(rows))
+        found = stored_versions(dimension(events, strict=False, max_rows=max_rows))
+        assert Counter(found) == Counter(compatible_versions(rows))
+
+
+def test_building_a_query_starts_no_job(spark, sf_dir):
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("scd2_full", "dq_not_null", "versions_per_repo", "scd2_skewed"):
+        fixtures.driver_events(spark, sf_dir)
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        catalog.queries()[name](spark, sf_dir)
+        jobs = tracker.getJobIdsForGroup(f"build-{name}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        # One job reads the schema of the table.
+        assert len(jobs) <= (2 if name.startswith("dq") else 1), name
 
 
 def test_null_attribute_opens_once_in_strict_and_each_time_in_compatible(spark):

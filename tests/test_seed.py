@@ -1,8 +1,9 @@
-"""A seed file through silver, gold and the serving queries."""
+"""A seed file through silver, gold and the serving queries, against plain Python."""
 
 from __future__ import annotations
 
-from datetime import datetime
+import hashlib
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,86 +14,70 @@ from eventmart.operators.silver import entity_events, event_facts, silver_events
 from eventmart.plans import marts
 from eventmart.schemas import RAW_EVENTS
 from eventmart.sources.seed import read_seed
-from tests.seed import HELLO, LINUX, RUST, write_csv
+from tests import seed
+from tests.worlds import compatible_versions, hourly, stored_versions, strict_versions
 
 
 @pytest.fixture(scope="module")
 def raw(spark, tmp_path_factory):
-    return read_seed(spark, write_csv(tmp_path_factory.mktemp("seed") / "raw_events.csv")).cache()
+    return read_seed(spark, seed.write_csv(tmp_path_factory.mktemp("seed") / "raw_events.csv")).cache()
 
 
-def test_schema_and_times(raw):
+def test_rows_are_read_as_they_were_written(raw):
     assert raw.schema == RAW_EVENTS
-    assert raw.agg(F.min("event_created_at")).first()[0] == datetime(2026, 9, 20, 10, 1)
-    assert raw.agg(F.max("ingested_at")).first()[0] == datetime(2026, 9, 20, 13, 15, 5)
+    assert sorted(tuple(r) for r in raw.collect()) == sorted(seed.rows())
 
 
 def test_silver(raw):
-    counts = silver_events(raw).agg(F.count("*"), *[F.count(c) for c in ("action", "ref", "ref_type", "is_public")])
-    assert tuple(counts.first()) == (30, 26, 18, 2, 30)
-
-
-def test_overall_and_types(raw):
-    facts = event_facts(raw)
-    assert tuple(marts.overall(facts).first()) == (30, 22, 3, 10)
-    types = {r.event_type: r.events for r in marts.event_types(facts).collect()}
-    assert types == {
-        "PushEvent": 11,
-        "WatchEvent": 5,
-        "PullRequestEvent": 3,
-        "ForkEvent": 2,
-        "IssueCommentEvent": 2,
-        "IssuesEvent": 2,
-        "ReleaseEvent": 2,
-        "CreateEvent": 1,
-        "DeleteEvent": 1,
-        "PullRequestReviewEvent": 1,
-    }
-    repos = [(r.repo_name, r.events, r.event_types) for r in marts.top_repos(facts).collect()]
-    assert repos == [(HELLO, 11, 5), (RUST, 11, 6), (LINUX, 8, 4)]
+    counts = silver_events(raw).agg(F.count("*"), *[F.count(c) for c in ("action", "ref", "is_public")])
+    actions = sum(e["payload"]["action"] is not None for e in seed.events())
+    assert tuple(counts.first()) == (seed.SIZE, actions, 0, seed.SIZE)
+
+
+def test_overall_and_counts(raw):
+    events, facts = seed.events(), event_facts(raw)
+    kinds = Counter(e["type"] for e in events)
+    keepers = {e["actor"]["login"] for e in events}
+    by_station = defaultdict(list)
+    for e in events:
+        by_station[e["repo"]["name"]].append(e)
+    assert tuple(marts.overall(facts).first()) == (seed.SIZE, len(keepers), len(by_station), len(kinds))
+    assert [tuple(r) for r in marts.event_types(facts).collect()] == sorted(kinds.items(), key=lambda x: (-x[1], x[0]))
+    expected = [
+        (name, len(own), len({e["actor"]["login"] for e in own}), len({e["type"] for e in own}))
+        for name, own in by_station.items()
+    ]
+    assert [tuple(r) for r in marts.top_repos(facts).collect()] == sorted(expected, key=lambda x: (-x[1], x[0]))
 
 
 def test_hourly_fact(raw):
-    fact = hourly_fact(event_facts(raw)).cache()
-    assert fact.count() == 22
-    per_hour = fact.groupBy("event_hour").agg(F.count("*"), F.sum("event_count")).orderBy("event_hour").collect()
-    assert [tuple(r)[1:] for r in per_hour] == [(6, 9), (6, 9), (7, 9), (3, 3)]
-    assert tuple(fact.agg(F.sum("unique_actors"), F.sum("unique_repos")).first()) == (28, 28)
-    assert marts.hourly_series(fact).count() == 22
-
-
-@pytest.mark.parametrize("strict", [True, False])
-def test_dimension(raw, strict):
-    table = dimension(entity_events(raw), strict=strict).cache()
-    per_repo = {r.repo_name: r.version_count for r in marts.versions_per_repo(table).collect()}
-    assert per_repo == {HELLO: 10, RUST: 10, LINUX: 8}
-    current = {r.repo_name: r.first_seen.strftime("%H:%M") for r in marts.entities_current(table).collect()}
-    assert current == {LINUX: "13:15", RUST: "13:10", HELLO: "13:05"}
-    opened = {r.valid_from.strftime("%H:%M") for r in table.filter(F.col("repo_name") != LINUX).collect()}
-    assert "11:25" not in opened and "11:15" not in opened
-    keys = {r.repo_version_key for r in table.filter("is_current").collect()}
-    assert keys == {
-        "8ea257b51452c4d8e44446cc4b56f556",
-        "360f97e3c2ba8694b68e8586ee05ce86",
-        "51b0d72cc5bd05fba9c3e3866ec177b4",
-    }
-
-
-def test_history(raw):
+    fact = hourly_fact(event_facts(raw))
+    assert {tuple(r) for r in fact.collect()} == hourly(seed.rows())
+    series = [tuple(r) for r in marts.hourly_series(fact).collect()]
+    assert series == sorted((hour, kind, n) for hour, kind, n, _, _ in hourly(seed.rows()))
+
+
+@pytest.mark.parametrize("max_rows", [10**6, 5])
+def test_dimension(raw, max_rows):
+    strict = dimension(entity_events(raw), max_rows=max_rows).cache()
+    assert set(stored_versions(strict)) == strict_versions(seed.rows())
+    for r in strict.collect():
+        text = f"{r.repo_name}{r.valid_from.isoformat(sep=' ')}"
+        assert r.repo_version_key == hashlib.md5(text.encode()).hexdigest()
+        assert r.is_current == (r.valid_to is None)
+    compatible = dimension(entity_events(raw), strict=False, max_rows=max_rows)
+    assert Counter(stored_versions(compatible)) == Counter(compatible_versions(seed.rows()))
+
+
+def test_serving_the_dimension(raw):
     table = dimension(entity_events(raw))
-    history = [
-        (r.valid_from.strftime("%H:%M"), r.language, r.description, r.stars, r.flag)
-        for r in marts.entity_history(table, HELLO).collect()
-    ]
-    assert history == [
-        ("10:01", "Ruby", "hello", 10, ""),
-        ("10:03", "Ruby", "hello", 11, ""),
-        ("10:15", "Ruby", "hello world in ruby", 11, ""),
-        ("10:50", "Ruby", "hello world in ruby", 12, ""),
-        ("11:05", "Python", "hello world in ruby", 12, ""),
-        ("11:30", "Python", "hello world, now in python", 13, ""),
-        ("11:55", "Python", "hello world, now in python", 14, ""),
-        ("12:20", "Python", "hello world, now in python", 15, ""),
-        ("12:45", "Python", "hello world, now in python", 16, ""),
-        ("13:05", "Python", "hello world, now in python", 17, "current"),
-    ]
+    versions = strict_versions(seed.rows())
+    counts = Counter(v[0] for v in versions)
+    assert [tuple(r) for r in marts.versions_per_repo(table).collect()] == sorted(
+        counts.items(), key=lambda x: (-x[1], x[0])
+    )
+    current = sorted((v for v in versions if v[5] is None), key=lambda v: (-v[3], v[0]))
+    assert [tuple(r) for r in marts.entities_current(table).collect()] == [v[:5] for v in current]
+    station = seed.STATIONS[1]
+    history = sorted((v[4], *v[1:4], "" if v[5] else "current") for v in versions if v[0] == station)
+    assert [tuple(r) for r in marts.entity_history(table, station).collect()] == history

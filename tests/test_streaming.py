@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -23,22 +24,17 @@ from eventmart.sources.messages import (
     kafka_source,
 )
 from eventmart.streaming.ingest import drain, load_batch, run_continuously
-from eventmart.streaming.publish import unseen_messages
+from eventmart.streaming.publish import publish, unseen_messages
 
-T0 = datetime(2026, 9, 20, 10, tzinfo=UTC)
+T0 = datetime(2023, 11, 4, 10, tzinfo=UTC)
 
 
-def event(event_id, kind="PushEvent", stars="1", minute=0) -> bytes:
-    return json.dumps(
-        {
-            "id": event_id,
-            "type": kind,
-            "actor": {"login": "octocat"},
-            "repo": {"name": "octocat/hello-world"},
-            "created_at": f"2026-09-20T10:{minute:02d}:00Z",
-            "payload": {"action": "synchronize", "repository": {"language": "x", "stargazers_count": stars}},
-        }
-    ).encode()
+def event(event_id, kind="WatchEvent", stars="1", minute=0) -> bytes:
+    """A reading of one station, some minutes after ten."""
+    state = {"language": "wet", "stargazers_count": stars}
+    reading = {"repo": {"name": "delta/silt"}, "payload": {"repository": state}, "actor": {"login": "keeper-3"}}
+    at = T0 + timedelta(minutes=minute)
+    return json.dumps(reading | {"id": event_id, "type": kind, "created_at": at.isoformat()}).encode()
 
 
 @pytest.fixture
@@ -60,17 +56,22 @@ def ids(spark, layout) -> list[str]:
     return sorted(r["event_id"] for r in read_raw_events(spark, layout).select("event_id").collect())
 
 
-def test_drain_all_then_nothing_then_the_rest(spark, topic):
+def test_what_is_drained_is_not_drained_again(spark, topic):
+    """Each drain takes what has come since the last, in loads of its own; nothing makes no load."""
     path, send, layout = topic
-    send(event("e0"), event("e1"), event("e2"))
-    assert drain(spark, file_source(path), layout) == 3
-    assert ids(spark, layout) == ["e0", "e1", "e2"]
-    assert drain(spark, file_source(path), layout) == 0
-    loads = read_raw_events(spark, layout).select("load").distinct().count()
-    send(event("e3"))
-    assert drain(spark, file_source(path), layout) == 1
-    assert ids(spark, layout) == ["e0", "e1", "e2", "e3"]
-    assert read_raw_events(spark, layout).select("load").distinct().count() == loads + 1
+    seen: list[str] = []
+    for n, size in enumerate((2, 0, 4, 0, 0, 1)):
+        fresh = [f"{n}-{k}" for k in range(size)]
+        if fresh:
+            send(*[event(i) for i in fresh])
+        else:
+            loads = read_raw_events(spark, layout).select("load").distinct().count()
+        assert drain(spark, file_source(path), layout) == size
+        seen += fresh
+        assert ids(spark, layout) == sorted(seen)
+        if not fresh:
+            assert read_raw_events(spark, layout).select("load").distinct().count() == loads
+    assert read_raw_events(spark, layout).select("load").distinct().count() == 3
 
 
 def test_small_batches_take_everything_once(spark, topic):
@@ -166,18 +167,48 @@ def test_stream_publish_sends_each_id_once(spark, topic):
     assert publish() == ["1", "2", "3"]
 
 
-def test_publish_memory_is_bounded_by_time(spark, topic):
+def test_a_late_new_id_is_published_and_a_repeated_one_is_not(spark, topic):
     path, send, layout = topic
-    send(*[event(f"id{n}") for n in range(10_005)])
-    send(event("later"), at=T0 + timedelta(hours=5))
-    send(event("last"), at=T0 + timedelta(hours=10))
+    for n, (key, hours) in enumerate([("a", 5), ("b", 10), ("late", 0), ("a", 11), ("late", 12)]):
+        send(event(key, minute=n), at=T0 + timedelta(hours=hours))
     stream = file_source(path, files_per_batch=1).read_stream(spark)
     sink = file_sink(f"{layout.root}/out")
-    query = sink.write_stream(unseen_messages(stream), f"{layout.root}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
-    kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
-    assert max(kept) >= 10_005 and kept[-1] < 10
-    assert spark.read.parquet(f"{layout.root}/out").count() == 10_007
+    sink.write_stream(unseen_messages(stream), f"{layout.root}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(bytes(r["key"]).decode() for r in spark.read.parquet(f"{layout.root}/out").collect()) == ["a", "b", "late"]
+
+
+def test_publish_memory_is_bounded_by_time(spark, topic):
+    path, send, layout = topic
+    send(*[event(f"id{n}") for n in range(300)])
+    stream = unseen_messages(file_source(path, files_per_batch=1).read_stream(spark), remember="1 second")
+    writer = file_sink(f"{layout.root}/out").write_stream(stream, f"{layout.root}/cp")
+    query = writer.trigger(processingTime="0 seconds").start()
+    try:
+        for n in range(4):
+            query.processAllAvailable()
+            time.sleep(1.5)
+            send(event(f"later{n}"))
+        query.processAllAvailable()
+        kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    finally:
+        query.stop()
+    assert max(kept) >= 300 and kept[-1] < 10
+    assert spark.read.parquet(f"{layout.root}/out").count() == 304
+
+
+def test_publish_job_counts_new_ids_and_logs_them(spark, topic):
+    path, send, layout = topic
+    sink = file_sink(f"{layout.root}/out")
+    send(event("a", stars="1"), event("a", stars="2"), event("b"), event(7), b"junk")
+    assert publish(spark, file_source(path), sink, layout) == 2
+    assert publish(spark, file_source(path), sink, layout) == 0
+    send(event("b"), event("c"), at=T0 - timedelta(days=9))
+    assert publish(spark, file_source(path), sink, layout) == 1
+    sent = {bytes(r["key"]): bytes(r["value"]) for r in spark.read.parquet(f"{layout.root}/out").collect()}
+    assert sorted(sent) == [b"a", b"b", b"c"]
+    assert json.loads(sent[b"a"]) == json.loads(event("a", stars="1"))
+    log = progress.run_log(spark, layout).filter("rows_published is not null")
+    assert sorted(r["rows_published"] for r in log.collect()) == [1, 2]
 
 
 def test_kafka_options():
