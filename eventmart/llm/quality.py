@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventmart.functions.json import once
 from eventmart.llm.arrow import kept_columns
 
 # What separates words, and what counts as a symbol.
@@ -131,6 +132,8 @@ def ledger(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -
         _union(F.col("_positions_")).alias("n_repeat_words"),
         "n_letters",
     )
+    # Kept as one column, so that a filter on the ledger does not compute its measurements again.
+    rows = rows.select(*own, once(F.struct(*MEASURES)).alias("_measured_")).select(*own, "_measured_.*")
     bits = F.lit(0).cast("long")
     for name, fails in RULES.items():
         bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BITS[name])).otherwise(F.lit(0)).cast("long"))

@@ -1,0 +1,133 @@
+"""LM scoring: the tree against a direct computation, the unigram model against brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.llm import lm
+from eventmart.llm.queries import queries
+from tests.llm import brute
+
+
+def kt(zeros: int, ones: int) -> float:
+    return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
+
+
+def direct(texts: list[bytes], contexts: set[tuple[int, bytes]], depth: int):
+    """log10 of a byte given those before it, from the definition: the weighted probability with the byte seen
+    once more over that without, for each of its bits."""
+    seen = defaultdict(lambda: [0, 0])
+
+    def bits(byte):
+        node = 1
+        for k in range(7, -1, -1):
+            yield node, byte >> k & 1
+            node = node * 2 + (byte >> k & 1)
+
+    for text in texts:
+        line = bytes(depth) + text + b"\0"
+        for i in range(depth, len(line)):
+            for node, bit in bits(line[i]):
+                for d in range(depth + 1):
+                    seen[line[i - d : i], node][bit] += 1
+
+    def probability(context, node, extra):
+        """Log of the weighted probability below a context; `extra`: (context of a further bit, the bit)."""
+        z, o = seen.get((context, node), (0, 0))
+        inside = extra is not None and extra[0].endswith(context)
+        more = (1 - extra[1], extra[1]) if inside else (0, 0)
+        own = kt(z + more[0], o + more[1])
+        if len(context) == depth:
+            return own
+        children = [bytes([b]) + context for b in range(256) if (len(context) + 1, bytes([b]) + context) in contexts]
+        rest = [z - sum(seen.get((c, node), (0, 0))[0] for c in children), o - sum(seen.get((c, node), (0, 0))[1] for c in children)]
+        if inside and not any(extra[0].endswith(c) for c in children):
+            rest[extra[1]] += 1
+        below = sum(probability(c, node, extra) for c in children) + kt(*rest)
+        return np.logaddexp(own, below) - math.log(2)
+
+    def log10(context, byte):
+        total = 0.0
+        for node, bit in bits(byte):
+            total += probability(b"", node, (context, bit)) - probability(b"", node, None)
+        return total / math.log(10)
+
+    return log10
+
+
+def test_tree_is_context_tree_weighting(documents):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abé") for _ in range(rng.randint(0, 30))) for _ in range(12)]
+    tree = lm.train(documents(list(enumerate(texts))), contexts=20)
+    # The contexts of the tree, from its table of steps.
+    n = len(tree.table)
+    contexts, todo = {(0, b"")}, [(0, b"")]
+    while todo:
+        k, context = todo.pop()
+        for b in range(256):
+            state = int(tree.step[k, b])
+            if state < n and len(context) < lm.DEPTH:
+                contexts.add((len(context) + 1, bytes([b]) + context))
+                todo.append((state, bytes([b]) + context))
+    assert len(contexts) == 21
+    want = direct([t.encode() for t in texts], contexts, lm.DEPTH)
+    for text in (texts[0], "abba", "", "zé", "aaaaaaaa"):
+        raw = text.encode()
+        data = np.frombuffer(raw, np.uint8)
+        line, at, _ = lm._padded(data, np.array([0, len(raw)]))
+        got = tree.log10(line, at)
+        padded = bytes(lm.DEPTH) + raw + b"\0"
+        for i, value in zip(range(lm.DEPTH, len(padded)), got, strict=True):
+            assert value == pytest.approx(want(padded[i - lm.DEPTH : i], padded[i]), abs=1e-4)
+
+
+def test_probabilities_add_up_to_one(documents):
+    tree = lm.train(documents([(1, "some text to learn from, and some more"), (2, "ünï")]))
+    assert np.allclose((10.0 ** tree.table.astype(np.float64)).sum(axis=1), 1, atol=1e-4)
+
+
+CASES = [(1, "a b a"), (2, None), (3, ""), (4, "A b\tc"), (5, "été x"), (6, "a " * 30_000), (4, "A b\tc"), (11, "q"), (23, "zz a")]
+
+
+def test_edge_cases(documents):
+    unique = list(dict.fromkeys(CASES))
+    frame = documents(unique).selectExpr("*", "1 as key", "'x' as Score")
+    learn = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    want = brute.unigram(unique)
+    for r in lm.score(frame, learn).collect():
+        held, n, known, total, base = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total)
+        assert r["base_score"] == pytest.approx(base) and r["score"] < 0 and r["bits_per_byte"] > 0
+        assert "key" in r and "Score" not in r.asDict()
+
+
+def test_repeats_null_ids_empty_tables(documents):
+    learn = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    rows = lm.score(documents([*CASES, (None, "a b")]), learn).collect()
+    assert len(rows) == len(CASES) + 1
+    twice = [r for r in rows if r["doc_id"] == 4]
+    assert twice[0] == twice[1] and twice[0]["n_tokens"] == 4
+    none = next(r for r in rows if r["doc_id"] is None)
+    assert none["n_tokens"] == 3 and none["held_out"] is False
+    assert lm.score(documents([]), learn).count() == 0
+    alone = lm.score(documents([(1, "abc def")]), F.lit(False)).first()
+    assert (alone["n_known"], alone["train_tokens"], alone["base_score"]) == (0, 0, 0.0)
+    assert alone["bits_per_byte"] == pytest.approx(8, abs=1e-3)
+
+
+def test_query_on_the_table(spark, sf_dir, small):
+    want = brute.unigram(small)
+    rows = queries()["op9_lm_score"](spark, sf_dir).collect()
+    assert len(rows) == len(small)
+    for r in rows:
+        held, n, known, total, base = want[r["doc_id"]]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+    held = [r["bits_per_byte"] for r in rows if r["held_out"]]
+    assert sum(held) / len(held) < 3
