@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eventmart.llm import licenses, mixing, quality
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)
@@ -30,8 +32,8 @@ WITH lists AS (
 ), found AS (
     SELECT doc_id, item_id, i, size FROM windows JOIN phrases USING (size, phrase)
 ), hits AS (
-    SELECT doc_id, count(DISTINCT at) AS n_hit
-    FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM (SELECT DISTINCT doc_id, i, size FROM found))
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM (SELECT DISTINCT doc_id, i, size FROM found))
     GROUP BY doc_id
 ), items AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
@@ -42,3 +44,139 @@ SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM lists LEFT JOIN hits ON hits.doc_id = id LEFT JOIN items ON items.doc_id = id
 WHERE side = 'd'
 """
+
+
+# The rules are plain SQL already; windows of three words that a text has twice or more cover their words.
+_RULE_BITS = " + ".join(
+    f"CASE WHEN {fails} THEN {quality.BITS[name]} ELSE 0 END" for name, fails in quality.RULES.items()
+)
+_ORACLES["op7_quality_rules"] = rf"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, w[i : i + 2] AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM texts WHERE len(w) >= 3)
+), repeated AS (
+    SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM windows JOIN repeated USING (doc_id, g))
+    GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM texts
+), measured AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+        CAST(len(l) AS BIGINT) AS n_lines,
+        coalesce(covered.n, 0) AS n_repeat_words,
+        CAST(length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS BIGINT) AS n_letters
+    FROM texts JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+), ledger AS (
+    SELECT *, CAST({_RULE_BITS} AS BIGINT) AS rule_bits FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    (rule_bits & {quality.BASE.mask}) <> 0 AS base_failed,
+    (rule_bits & {quality.BASE.mask | quality.POLICIES[quality.CURRENT].mask}) = 0 AS kept,
+    n_lines, n_letters, rule_bits
+FROM ledger
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_FORMS = ", ".join(
+    f"({_quoted(name)}, [{', '.join(map(_quoted, licenses.bigrams(form)))}])"
+    for name, forms in licenses.TEMPLATES.items()
+    for form in forms
+)
+_ORACLES["op1_license_scan"] = rf"""
+WITH forms(license, form) AS (VALUES {_FORMS}), texts AS (
+    SELECT doc_id, translate(coalesce(text, ''), '{licenses._UPPER}', '{licenses._LOWER}') AS t FROM documents
+), segments AS (
+    SELECT DISTINCT doc_id, unnest(list_concat([t], string_split(t, chr(10)),
+        regexp_split_to_array(t, '{licenses.SENTENCE_ENDS}'))) AS segment
+    FROM texts
+), lists AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(segment, '{licenses.SEPARATORS}'), lambda x: x <> '') AS w FROM segments
+), sets AS (
+    SELECT doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS own
+    FROM lists WHERE len(w) >= 2
+), scores AS (
+    SELECT doc_id, license, max(len(list_intersect(own, form)) * 2.0 / (len(own) + len(form))) AS score
+    FROM sets JOIN forms ON len(own) BETWEEN len(form) * {licenses.THRESHOLD} / (2 - {licenses.THRESHOLD})
+        AND len(form) * (2 - {licenses.THRESHOLD}) / {licenses.THRESHOLD}
+    GROUP BY doc_id, license
+), found AS (
+    SELECT doc_id, list({{'l': license, 's': CAST(score AS DOUBLE)}} ORDER BY score DESC, license) AS x
+    FROM scores WHERE score >= {licenses.THRESHOLD} GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(len(x), 0) AS BIGINT) AS n_licenses, x[1].l AS license, coalesce(x[1].s, 0.0) AS score,
+    coalesce(array_to_string(list_transform(x, lambda y: y.l), ','), '') AS licenses
+FROM texts LEFT JOIN found USING (doc_id)
+"""
+
+_ORACLES["op8_mix_sources"] = rf"""
+WITH documents_ AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        sha256('|' || doc_id) AS key
+    FROM documents
+), block AS (
+    SELECT greatest({mixing.LEAST_BLOCK}, CAST(ceil(sum(size) / {float(mixing.BLOCKS)}) AS BIGINT)) AS block FROM documents_
+), sizes AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM documents_ GROUP BY source
+), weighed AS (
+    SELECT *, ({list(mixing.WEIGHTS)})[(rank - 1) % {len(mixing.WEIGHTS)} + 1]::DOUBLE AS weight,
+        source_size * {float(mixing.MOST)}::DOUBLE AS cap FROM sizes
+), levels AS (
+    SELECT *, cap / weight AS need,
+        (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+        / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighed
+), targets AS (
+    SELECT *, least(cap, coalesce((SELECT level FROM levels WHERE level <= need ORDER BY need, rank LIMIT 1) * weight, cap))
+        AS target FROM levels
+), wanted AS (
+    SELECT *, CAST(floor(target) AS BIGINT) AS words, CAST(ceil(floor(target) / block) AS BIGINT) AS slots
+    FROM targets, block
+), lows AS (
+    SELECT *, CAST(floor(CAST(coalesce(sum(words) OVER (ORDER BY rank
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+        / greatest(sum(words) OVER (), 1) * {mixing.POINTS}) AS BIGINT) AS low FROM wanted
+), sources AS (
+    SELECT *, coalesce(lead(low) OVER (ORDER BY rank), {mixing.POINTS}) AS high FROM lows
+), hits AS (
+    SELECT slot, rank, slots, row_number() OVER (PARTITION BY rank ORDER BY slot) - 1 AS b
+    FROM (SELECT unnest(range((SELECT CAST(sum(slots) AS BIGINT) FROM sources))) AS slot) s
+    JOIN sources ON slot * {mixing.GOLDEN} % {mixing.POINTS} >= low AND slot * {mixing.GOLDEN} % {mixing.POINTS} < high
+), schedule AS (
+    SELECT slot, rank, b FROM hits WHERE b < slots
+    UNION ALL
+    SELECT (SELECT CAST(sum(slots) AS BIGINT) FROM sources) + rank, rank, unnest(range(given, slots))
+    FROM (SELECT rank, slots, (SELECT count(*) FROM hits WHERE hits.rank = sources.rank) AS given FROM sources)
+    WHERE given < slots
+), tapes AS (
+    SELECT d.*, rank, source_size, target, words, block, coalesce(sum(size) OVER (PARTITION BY rank ORDER BY key, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+    FROM documents_ d JOIN sources ON d.source IS NOT DISTINCT FROM sources.source
+), rounds AS (
+    SELECT doc_id, rank, block, r * source_size + place AS lo, least(r * source_size + place + size, words) AS hi
+    FROM (SELECT *, unnest(range(0, CAST(floor((words - 1) / source_size) AS BIGINT) + 1)) AS r
+          FROM tapes WHERE size > 0 AND words > 0)
+), pieces AS (
+    SELECT doc_id, rank, b, least(hi, (b + 1) * block) - greatest(lo, b * block) AS n
+    FROM (SELECT *, unnest(range(CAST(lo // block AS BIGINT), CAST((hi - 1) // block AS BIGINT) + 1)) AS b
+          FROM rounds WHERE hi > lo)
+), taken AS (
+    SELECT doc_id, CAST(sum(n) AS BIGINT) AS taken, CAST(min(slot) AS BIGINT) AS first_slot
+    FROM pieces JOIN schedule USING (rank, b) GROUP BY doc_id
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot
+FROM tapes LEFT JOIN taken USING (doc_id)
+"""

@@ -12,7 +12,7 @@ KEY = "k"
 TEXTS = [
     "write to Ann.Lee7@mail3.example.com or ann.lee7@MAIL3.example.com",
     "call +1 (551) 555-0826 or +1 551 555 0826, from 10.20.30.40.",
-    "card 4539 1488 0343 6467 and 4952935900253052; ssn 078-05-1120",
+    "card 4539 1488 0343 6467 and 4952935900253051; ssn 078-05-1120",
     "Mr. John Smith met Mrs Jane Smith and Mr Smith; господин Иван Петров, κυρία Ελένη Παππά",
     "nothing here: 12.5 and 3.4.5, version 1.2.3.4.5, a@b, 1234567, 2024-05-06",
     "",
