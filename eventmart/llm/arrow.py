@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bytes of text handled at once. A longer text is a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 Results = dict[str, object]
 
@@ -83,6 +83,7 @@ def map_texts(
                 found = work(piece.column("_text_"), piece)
                 made = [pa.array(found[n], kind) for n, kind in zip(names, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*piece.columns[: len(columns)], *made], [*columns, *names])
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 
@@ -110,6 +111,7 @@ def emit(docs: DataFrame, text: str, schema: T.StructType, make, columns: dict |
                 found = work(piece.column("_text_"), piece)
                 if found is not None:
                     yield batch_of(found)
+            pa.default_memory_pool().release_unused()
         if hasattr(work, "last"):
             found = work.last()
             if found is not None:

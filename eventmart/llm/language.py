@@ -105,7 +105,8 @@ def _dense(texts, rows: int = _ROWS):
 
 def _has_letter(texts) -> np.ndarray:
     data, offsets = utf8(texts)
-    ascii_letter = np.concatenate([[0], np.cumsum((_SEEN[data] != 32) & (data < 128))])
+    ascii_letter = np.zeros(len(data) + 1, np.int32)
+    np.cumsum((_SEEN[data] != 32) & (data < 128), out=ascii_letter[1:])
     found = ascii_letter[offsets[1:]] > ascii_letter[offsets[:-1]]
     for k in np.flatnonzero(~found):
         value = texts[int(k)].as_py()
