@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +18,15 @@ PIECE_BYTES = 2 << 20
 Results = dict[str, object]
 
 
+def release() -> None:
+    """Give freed memory back to the system. Python workers live on between tasks, and share an executor's
+    memory with its JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
+
+
 def kept_columns(frame: DataFrame, results: list[str], keep: list[str] | None = None) -> list[str]:
     """Columns of `frame` that go along: those of `keep` (default all) that no result replaces.
 
@@ -83,7 +94,7 @@ def map_texts(
                 found = work(piece.column("_text_"), piece)
                 made = [pa.array(found[n], kind) for n, kind in zip(names, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*piece.columns[: len(columns)], *made], [*columns, *names])
-            pa.default_memory_pool().release_unused()
+            release()
 
     return source.mapInArrow(run, schema)
 
@@ -111,7 +122,7 @@ def emit(docs: DataFrame, text: str, schema: T.StructType, make, columns: dict |
                 found = work(piece.column("_text_"), piece)
                 if found is not None:
                     yield batch_of(found)
-            pa.default_memory_pool().release_unused()
+            release()
         if hasattr(work, "last"):
             found = work.last()
             if found is not None:
