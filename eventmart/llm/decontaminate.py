@@ -160,17 +160,19 @@ def _search(phrases: Phrases):
     return find
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, size: int):
-    """The items, in blocks of about `size` bytes of text, one at a time."""
+def _items(benchmark: DataFrame, item_id: str, text: str, size: int) -> tuple[DataFrame, int]:
+    """The items that have a text, and in how many blocks of about `size` bytes they are taken."""
     items = benchmark.select(
         F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").cast("string").alias("text")
     ).filter("item is not null and text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // size)
-    for k in range(blocks):
-        # All rows of an item are in one block.
-        own = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k) if blocks > 1 else items
-        yield [(r[0], r[1]) for r in own.collect()]
+    return items, -(-total // size)
+
+
+def _block(items: DataFrame, k: int, blocks: int) -> list[tuple[str, str]]:
+    """One block. All rows of an item are in one."""
+    own = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k) if blocks > 1 else items
+    return [(r[0], r[1]) for r in own.collect()]
 
 
 def find_contamination(
@@ -182,25 +184,26 @@ def find_contamination(
     window: int = WINDOW,
     keep: list[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
+    cut: bool = False,
 ) -> DataFrame:
     """`docs` with the words hit by benchmark phrases, their spans in the text and the items found.
 
     A phrase is `window` consecutive words of an item, or a whole item that is shorter. Columns named
-    like a result are replaced.
+    like a result are replaced. With `cut` there is also the text without its spans, `_cut_`.
     """
     columns = kept_columns(docs, RESULTS.fieldNames(), keep)
-    out = None
-    source, carried = docs, [*dict.fromkeys([*columns, text])]
-    for rows in _blocks(benchmark, item_id, item_text, block_bytes):
-        if out is not None:
-            source = stage(out, "decontaminate")[0]
-        out = _scan(source, text, Phrases.of(rows, window), carried, out is not None)
-    if out is None:
-        out = _scan(docs, text, Phrases.of([], window), carried, False)
-    return out.select(*[F.col(f"`{c}`") for c in columns], *RESULTS.fieldNames())
-
-
-def _scan(docs: DataFrame, text: str, phrases: Phrases, keep: list[str], again: bool) -> DataFrame:
+    carried = list(dict.fromkeys([*columns, text]))
+    items, blocks = _items(benchmark, item_id, item_text, block_bytes)
+    out = docs
+    for k in range(max(blocks, 1)):
+        if k:
+            out = stage(out, "decontaminate")[0]
+        phrases = Phrases.of(_block(items, k, blocks), window)
+        out = _scan(out, text, phrases, carried, again=k > 0, cut=cut and k + 1 >= blocks)
+    return out.select(*[F.col(f"`{c}`") for c in columns], *RESULTS.fieldNames(), *["_cut_"] * cut)
+
+
+def _scan(docs: DataFrame, text: str, phrases: Phrases, keep: list[str], again: bool, cut: bool) -> DataFrame:
     """One block's findings, joined to those of the blocks before."""
     sent = docs.sparkSession.sparkContext.broadcast(phrases)
 
@@ -240,44 +243,38 @@ def _scan(docs: DataFrame, text: str, phrases: Phrases, keep: list[str], again:
                 for d, a, b in zip(whose.tolist(), first.tolist(), end.tolist(), strict=True):
                     spans[d].append({"start": starts[a] - offsets[d], "end": ends[b] - offsets[d]})
             total = np.concatenate([[0], np.cumsum(hit)])
-            return {"n_words": np.diff(at), "n_hit": total[at[1:]] - total[at[:-1]], "hit_spans": spans, "items": items}
+            out = {"n_words": np.diff(at), "n_hit": total[at[1:]] - total[at[:-1]], "hit_spans": spans, "items": items}
+            if cut:
+                out["_cut_"] = texts if not hit.any() else [_cut(t, s) for t, s in zip(texts.to_pylist(), spans, strict=True)]
+            return out
 
         return work
 
     also = {"spans": F.col("hit_spans"), "items": F.col("items")} if again else None
     # A text column of its own is kept for the next block.
-    return map_texts(docs, text, RESULTS, make, keep, also)
+    results = T.StructType([*RESULTS.fields, T.StructField("_cut_", T.StringType())]) if cut else RESULTS
+    return map_texts(docs, text, results, make, keep, also)
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """`docs` without the spans that benchmark phrases cover.
 
     A text that is hit loses those bytes; one that is not stays as it is. A document of which no word
-    is left goes.
+    is left goes. Texts are cut in the pass that finds their last spans.
     """
-    hidden = find_contamination(docs, benchmark, text, **options)
-    schema = T.StructType([T.StructField("_cut_", T.StringType()), T.StructField("_left_", T.BooleanType())])
-
-    def make():
-        def work(texts, batch):
-            spans = batch.column("_also_spans").to_pylist()
-            n_words = batch.column("_also_words").to_numpy()
-            n_hit = batch.column("_also_hit").to_numpy()
-            values = texts.to_pylist()
-            for k, own in enumerate(spans):
-                if own:
-                    raw, kept, end = values[k].encode(), [], 0
-                    for s in own:
-                        kept.append(raw[end : s["start"]])
-                        end = s["end"]
-                    values[k] = b"".join([*kept, raw[end:]]).decode()
-            return {"_cut_": values, "_left_": (n_hit == 0) | (n_hit < n_words)}
-
-        return work
-
-    also = {"spans": F.col("hit_spans"), "words": F.col("n_words"), "hit": F.col("n_hit")}
-    cut = map_texts(hidden, text, schema, make, docs.columns, also).filter("_left_")
-    return cut.select(*[F.col("_cut_").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    found = find_contamination(docs, benchmark, text, cut=True, **options)
+    left = found.filter((F.col("n_hit") == 0) | (F.col("n_hit") < F.col("n_words")))
+    return left.select(*[F.col("_cut_").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+
+
+def _cut(value: str | None, spans: list[dict]) -> str | None:
+    if not spans:
+        return value
+    raw, kept, end = value.encode(), [], 0
+    for s in spans:
+        kept.append(raw[end : s["start"]])
+        end = s["end"]
+    return b"".join([*kept, raw[end:]]).decode()
 
 
 def items_digest(items: list[str]) -> str:
