@@ -7,9 +7,13 @@ data: P(node) = 1/2 KT(node) + 1/2 P(children). A text's score is the log probab
 end mark (byte 0), each given the four before it; bytes before the first are 0.
 
 The counts cover all training documents, and are made by jobs: n-grams are counted in tasks and summed by
-key. The tree's size is a parameter: it holds the `CONTEXTS` most frequent contexts. What is seen at a
-node and not below it goes to one further child, so that the mixture is whole at any size. The model sent
-to tasks is bounded by that parameter (32 MB), whatever the corpus.
+key. Every context seen is kept, as a row of counts in a table that grows with the corpus: buckets of it hold
+all contexts that end in some pairs of bytes, and weigh depths 4 to 2; of what is above, 256 contexts and
+the root, sums are made by a job. Each piece of texts asks the buckets for its distinct n-grams. A bucket
+answers them as they come, so that a task holds one bucket and no more.
+
+`train` gives a tree of bounded size instead: it holds the most frequent contexts, and what is seen at a
+node and not below it goes to one further child. Scores do not use it.
 
 Beside it stands an add-one unigram model of lower-cased words over exact counts of all words.
 
@@ -22,14 +26,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.llm.arrow import emit, kept_columns, map_texts, utf8
+from eventmart.llm.arrow import emit, kept_columns, release, utf8
 from eventmart.llm.buckets import bucket_count, pack, slices, text_bytes, unpack
 from eventmart.llm.words import LOWER, NOT_SPACE, bounds, hashes
 from eventmart.sources.staging import stage
@@ -213,6 +221,259 @@ def train(training: DataFrame, text: str = "text", contexts: int = CONTEXTS) ->
     return ContextTree(nodes, counts)
 
 
+class TopContexts:
+    """The root and the contexts of one byte: what they give to a bit being one, and the weight left for
+    those below, at (byte << 8 | node)."""
+
+    def __init__(self, nodes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
+        z, o, b = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 16)
+        z[nodes], o[nodes], b[nodes] = zeros, ones, below
+        kt = _kt(z, o)
+        stop = _stop(kt, b)
+        weighted = np.logaddexp(kt, b) - math.log(2)
+        z0, o0 = z.reshape(256, 256).sum(axis=0), o.reshape(256, 256).sum(axis=0)
+        stop0 = _stop(_kt(z0, o0), weighted.reshape(256, 256).sum(axis=0))
+        given, left = np.tile(stop0 * (o0 + 0.5) / (z0 + o0 + 1), 256), np.tile(1 - stop0, 256)
+        self.given, self.left = given + left * stop * (o + 0.5) / (z + o + 1), left * (1 - stop)
+
+
+_SMALL = 1 << 12
+_LOG_HALF, _LOG_ONE = _log_gamma(np.arange(_SMALL) + 0.5), _log_gamma(np.arange(_SMALL) + 1.0)
+
+
+def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """`_log_kt` of whole numbers, most of which are small."""
+    total = zeros + ones
+    out = np.empty(len(total))
+    small = total < _SMALL
+    out[small] = _LOG_HALF[zeros[small]] + _LOG_HALF[ones[small]] - _LOG_ONE[total[small]] - math.log(math.pi)
+    out[~small] = _log_kt(zeros[~small].astype(np.float64), ones[~small].astype(np.float64))
+    return out
+
+
+def _stop(kt: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """The weight of a node's own estimate against those below it."""
+    return 1 / (1 + np.exp(np.minimum(below - kt, 700)))
+
+
+def _ordered(keys: np.ndarray) -> np.ndarray:
+    """Keys with the nearest byte of the context highest and the byte to predict lowest."""
+    flipped = keys & np.uint64(255)
+    for d in range(1, DEPTH + 1):
+        flipped |= ((keys >> np.uint64(8 * d)) & np.uint64(255)) << np.uint64(8 * (DEPTH + 1 - d))
+    return flipped.astype(np.int64)
+
+
+class BucketContexts:
+    """All contexts of two to four bytes of a bucket, in ascending ordered keys, bit by bit of the next byte."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.bits, self.top, self.own = keys, [], None, None
+        grams = [(keys, counts)]
+        for _ in range(DEPTH - 2):
+            last, n = grams[-1]
+            grams.append(_summed((last >> 16) << 8 | (last & 255), n) if len(last) else (last, n))
+        rows = []
+        for k in range(8):
+            levels, ids, weighted = [], None, None
+            for own, n in grams:
+                found, zeros, ones = self._nodes(own, n, k)
+                kt = _kt(zeros, ones)
+                if ids is None:
+                    weighted, stop = kt, np.ones(len(found))
+                else:
+                    below = np.bincount(np.searchsorted(found, self._parent(ids)), weighted, len(found))
+                    weighted, stop = np.logaddexp(kt, below) - math.log(2), _stop(kt, below)
+                ids = found
+                levels.append((ids, stop, (ones + 0.5) / (zeros + ones + 1)))
+            self.bits.append(levels[::-1])
+            rows.append((self._parent(ids), zeros, ones, weighted))
+        # What the contexts of one byte sum up.
+        self.above = [np.concatenate(c) for c in zip(*rows, strict=True)]
+
+    @staticmethod
+    def _parent(ids: np.ndarray) -> np.ndarray:
+        return (ids >> 16) << 8 | (ids & 255)
+
+    @staticmethod
+    def _nodes(keys: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context << 8 | node) at the k-th bit, with its zeros and ones."""
+        if not len(keys):
+            return keys, counts, counts
+        byte = keys & 255
+        ids = (keys >> 8) << 8 | 1 << k | byte >> (8 - k)
+        heads = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        total = np.add.reduceat(counts, heads)
+        ones = np.add.reduceat(counts * (byte >> (7 - k) & 1), heads)
+        return ids[heads], total - ones, ones
+
+    def _path(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys))
+        byte = keys & 255
+        for k, levels in enumerate(self.bits):
+            node = 1 << k | byte >> (8 - k)
+            at = (keys >> 8 * DEPTH) << 8 | node
+            one, left = self.top.given[at], self.top.left[at]
+            for d, (ids, stop, p) in enumerate(levels, 2):
+                wanted = (keys >> 8 * (DEPTH + 1 - d)) << 8 | node
+                place = np.searchsorted(ids, wanted)
+                seen = np.flatnonzero(place < len(ids))
+                seen = seen[ids[place[seen]] == wanted[seen]]
+                # Below what was not seen either bit is as likely.
+                share, mean = np.ones(len(keys)), np.full(len(keys), 0.5)
+                share[seen], mean[seen] = stop[place[seen]], p[place[seen]]
+                one, left = one + left * share * mean, left * (1 - share)
+            out += np.log10(np.where(byte >> (7 - k) & 1, one, 1 - one))
+        return out
+
+    def log10(self, keys: np.ndarray, top: TopContexts) -> np.ndarray:
+        """Of the byte of each ordered key, given its context."""
+        if self.top is not top:
+            self.top = top
+            cuts = range(0, len(self.keys), _HELD >> 2)
+            self.own = np.concatenate([np.zeros(0), *[self._path(self.keys[i : i + (_HELD >> 2)]) for i in cuts]])
+        place = np.searchsorted(self.keys, keys)
+        out = np.zeros(len(keys))
+        seen = np.flatnonzero(place < len(self.keys))
+        seen = seen[self.keys[place[seen]] == keys[seen]]
+        out[seen] = self.own[place[seen]]
+        rest = np.ones(len(keys), bool)
+        rest[seen] = False
+        out[rest] = self._path(keys[rest])
+        return out
+
+
+_MODEL = "bucket int, keys binary, counts binary, node int, zeros long, ones long, below long"
+# What is summed by a job is summed in whole numbers, so that its order does not matter.
+_FIXED = 1 << 24
+
+
+def _bucket_of(prefix, buckets: int):
+    """The bucket of a context's nearest two bytes, of an array or a Column."""
+    return (prefix * 40503) % 65536 % buckets
+
+
+def all_contexts(training: DataFrame, text: str, buckets: int) -> tuple[DataFrame, TopContexts]:
+    """(bucket, keys, counts) of every context seen, and those above the buckets."""
+
+    def reduce(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = _ordered(rows["key"].to_numpy().astype(np.uint64))
+        order = np.argsort(keys)
+        keys, counts = keys[order], rows["n"].to_numpy(np.int64)[order]
+        bucket = int(rows["bucket"].iloc[0])
+        node, zeros, ones, below = BucketContexts(keys, counts).above
+        below = np.rint(below * _FIXED).astype(np.int64)
+        above = pd.DataFrame({"node": node, "zeros": zeros, "ones": ones, "below": below}).groupby("node").sum().reset_index()
+        own = pd.DataFrame({"bucket": [bucket], "keys": [pack(keys, "<i8")], "counts": [pack(counts, "<i8")]})
+        release()
+        made = pd.concat([own, above]).reindex(columns=[c.split()[0] for c in _MODEL.split(", ")])
+        return made.astype({c: "Int64" for c in ("bucket", "node", "zeros", "ones", "below")}).replace({np.nan: None})
+
+    prefix = F.shiftright("key", 8).bitwiseAND(F.lit(65535))
+    grams = _ngrams(training, text).withColumn("bucket", _bucket_of(prefix, buckets).cast("int"))
+    model, _ = stage(grams.groupBy("bucket").applyInPandas(reduce, _MODEL), "contexts")
+    # At most one row for each byte and node, whatever the corpus.
+    above = model.filter("node is not null").groupBy("node")
+    above = above.agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).toPandas()
+    top = TopContexts(*[above[c].to_numpy(np.int64) for c in ("node", "zeros", "ones")], above["below"].to_numpy() / _FIXED)
+    return model.filter("keys is not null").select("bucket", "keys", "counts"), top
+
+
+_PIECES = T.StructType(
+    [T.StructField("piece", T.LongType()), T.StructField("bucket", T.IntegerType())]
+    + [T.StructField(c, T.BinaryType()) for c in ("keys", "documents", "offsets", "data")]
+)
+_ANSWERS = T.StructType(
+    [T.StructField("piece", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("logs", T.BinaryType())]
+)
+_SCORES = "_score_key_ long, _words_ long, score double"
+
+
+def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of distinct keys by bucket, and where each bucket begins and the last one ends."""
+    prefix = (keys >> np.uint64(8)).astype(np.int64) & 65535
+    own = _bucket_of(prefix, buckets).astype(np.uint16)
+    order = np.argsort(own, kind="stable")
+    return order, np.searchsorted(own[order], np.arange(buckets + 1))
+
+
+def _byte_scores(docs: DataFrame, key: Column, learns: Column, text: str) -> DataFrame:
+    """(_score_key_, _words_, score) of each document."""
+    # A context's nearest two bytes are in one bucket.
+    buckets = min(bucket_count(text_bytes(docs, text)), 1 << 15)
+    model, top = all_contexts(docs.filter(learns), text, buckets)
+
+    def make():
+        def work(texts, batch):
+            data, offsets = utf8(texts)
+            line, at, _ = _padded(data, offsets)
+            keys = np.unique(_keys(line, at))
+            order, cuts = _by_bucket(keys, buckets)
+            keys = _ordered(keys[order])
+            own = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+            # The rows are staged, so that a piece keeps its name.
+            piece = int.from_bytes(os.urandom(8), "little", signed=True)
+            none = [None] * len(own)
+            documents = pack(batch.column("_also_key").to_numpy(), "<i8")
+            return {
+                "piece": [piece] * (len(own) + 1),
+                "bucket": [*own, None],
+                "keys": [*[pack(keys[cuts[b] : cuts[b + 1]], "<i8") for b in own], None],
+                "documents": [*none, documents],
+                "offsets": [*none, pack(offsets, "<i8")],
+                "data": [*none, zlib.compress(data.tobytes(), 1)],
+            }
+
+        return work
+
+    staged, _ = stage(emit(docs, text, _PIECES, make, {"key": key}), "pieces")
+    asked = staged.filter("bucket is not null").select("bucket", "piece", "keys", F.lit(None).cast("binary").alias("counts"))
+    model = model.select("bucket", F.lit(None).cast("long").alias("piece"), "keys", "counts")
+    # A bucket's contexts come before what is asked of it.
+    dealt = model.unionByName(asked).repartition(buckets, "bucket")
+    dealt = dealt.sortWithinPartitions("bucket", F.col("counts").isNull())
+    sent = docs.sparkSession.sparkContext.broadcast(top)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, current, contexts = sent.value, None, None
+        for batch in batches:
+            for bucket, piece, keys, counts in zip(*batch.columns, strict=True):
+                if bucket.as_py() != current:
+                    none = np.zeros(0, np.int64)
+                    current, contexts = bucket.as_py(), BucketContexts(none, none)
+                own = unpack(keys.as_buffer(), "<i8")
+                if counts.is_valid:
+                    contexts = BucketContexts(own, unpack(counts.as_buffer(), "<i8"))
+                    continue
+                logs = pack(contexts.log10(own, top), "<f4")
+                columns = [pa.array([piece.as_py()], pa.int64()), pa.array([current], pa.int32()), pa.array([logs], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, _ANSWERS.fieldNames())
+        release()
+
+    answers = dealt.mapInArrow(answer, _ANSWERS)
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows[rows["bucket"].isna()].iloc[0]
+        found = rows[rows["bucket"].notna()].sort_values("bucket")
+        offsets = unpack(own["offsets"], "<i8")
+        data = np.frombuffer(zlib.decompress(own["data"]), np.uint8)
+        line, at, first = _padded(data, offsets)
+        keys, place = np.unique(_keys(line, at), return_inverse=True)
+        order, _ = _by_bucket(keys, buckets)
+        logs = np.empty(len(keys))
+        logs[order] = np.concatenate([unpack(b, "<f4") for b in found["logs"]])
+        _, _, words = bounds(data, offsets, NOT_SPACE)
+        made = {"_score_key_": unpack(own["documents"], "<i8"), "_words_": np.diff(words), "score": np.add.reduceat(logs[place], first)}
+        release()
+        return pd.DataFrame(made)
+
+    texts = staged.filter("bucket is null").drop("keys").withColumn("logs", F.lit(None).cast("binary"))
+    both = texts.unionByName(answers, allowMissingColumns=True)
+    scores = both.groupBy("piece").applyInPandas(add, _SCORES)
+    # Rows alike in id and text have one key and one score.
+    return scores.groupBy("_score_key_").agg(F.max("_words_").alias("_words_"), F.max("score").alias("score"))
+
+
 _WORDS = T.StructType(
     [T.StructField("bucket", T.IntegerType())]
     + [T.StructField(c, T.BinaryType()) for c in ("documents", "learns", "hash", "document", "times")]
@@ -320,7 +581,6 @@ RESULTS = T.StructType(
         T.StructField("bits_per_byte", T.DoubleType()),
     ]
 )
-_SCORED = T.StructType([T.StructField("_words_", T.LongType()), *RESULTS.fields[5:]])
 
 
 def score(
@@ -329,7 +589,6 @@ def score(
     id_: str = "doc_id",
     text: str = "text",
     keep: list[str] | None = None,
-    contexts: int = CONTEXTS,
 ) -> DataFrame:
     """`docs` with both models' log10 probabilities of each text. The models learn from rows where `learn`
     is true; `held_out` is where it is false."""
@@ -340,31 +599,16 @@ def score(
     learns = F.coalesce(learn, F.lit(False))
     training = docs.filter(learns)
     sums, distinct, tokens = _word_sums(docs, key, learns, text)
-    tree = train(training, text, contexts)
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
-
-    def make():
-        tree = sent.value
-
-        def work(texts, batch):
-            data, offsets = utf8(texts)
-            _, _, at = bounds(data, offsets, NOT_SPACE)
-            line, places, first = _padded(data, offsets)
-            log = np.add.reduceat(tree.log10(line, places).astype(np.float64), first)
-            size = np.diff(offsets) + 1
-            return {"_words_": np.diff(at), "score": log, "bits_per_byte": -log / math.log10(2) / size}
-
-        return work
-
-    marked = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, text])], key.alias("_key_"),
+    scores = _byte_scores(docs, key, learns, text)
+    size = F.coalesce(F.octet_length(value), F.lit(0)) + 1
+    scored = docs.select(*[F.col(f"`{c}`") for c in columns], key.alias("_key_"), size.alias("_size_"),
                          F.coalesce(~learn, F.lit(False)).alias("_held_"))
-    scored = map_texts(marked, text, _SCORED, make, [*columns, "_key_", "_held_"])
 
     documents = training.count()
     distinct, tokens = distinct + (documents > 0), tokens + documents
     # Rows alike in id and text have one key, and their sums are of all of them.
     scored = scored.withColumn("_alike_", F.count(F.lit(1)).over(Window.partitionBy("_key_")))
-    joined = scored.join(sums, F.col("_key_") == F.col("_sum_key_"), "left")
+    joined = scored.join(scores, F.col("_key_") == F.col("_score_key_")).join(sums, F.col("_key_") == F.col("_sum_key_"), "left")
     n_tokens = F.col("_words_") + 1
     known = F.coalesce(F.col("_known_") / F.col("_alike_"), F.lit(0)).cast("long") + int(documents > 0)
     weight = F.coalesce(F.col("_weight_") / F.col("_alike_"), F.lit(0.0)) + math.log10(documents + 1)
@@ -376,5 +620,5 @@ def score(
         F.lit(tokens).cast("long").alias("train_tokens"),
         (weight - n_tokens * math.log10(tokens + distinct + 1)).alias("base_score"),
         "score",
-        "bits_per_byte",
+        (-F.col("score") / math.log10(2) / F.col("_size_")).alias("bits_per_byte"),
     )

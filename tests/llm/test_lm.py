@@ -131,3 +131,35 @@ def test_query_on_the_table(spark, sf_dir, small):
         assert r["base_score"] == pytest.approx(base, rel=1e-9)
     held = [r["bits_per_byte"] for r in rows if r["held_out"]]
     assert sum(held) / len(held) < 3
+
+
+def test_rare_contexts_count_however_many_there_are(documents):
+    """The score is that of the whole tree, with more contexts than a bounded one holds."""
+    rng = random.Random(7)
+    # Words said three times, so that rare contexts foretell the next byte.
+    word = lambda: "".join(rng.choice("abcdefghijklmnop \u0436\u03b1") for _ in range(12))
+    texts = ["".join(word() * 3 for _ in range(42)) for _ in range(36)]
+    held = ["", texts[0][:50], "zz\u4e2d", "\u0436\u03b1 abc"]
+    rows = list(enumerate([*texts, *held]))
+    every = {(0, b"")}
+    for text in texts:
+        line = bytes(lm.DEPTH) + text.encode() + b"\0"
+        every |= {(d, line[i - d : i]) for i in range(lm.DEPTH, len(line)) for d in range(1, lm.DEPTH + 1)}
+    assert len(every) > lm.CONTEXTS
+    got = {r["doc_id"]: r["score"] for r in lm.score(documents(rows), F.col("doc_id") < len(texts)).collect()}
+    assert len(got) == len(rows)
+    # A tree that holds them all, built from the definition by the bounded model's own code.
+    contexts = sorted((d, int.from_bytes(c, "big")) for d, c in every)
+    number = {c: k for k, c in enumerate(contexts)}
+    counts = np.zeros((len(contexts), 256))
+    for text in texts:
+        line = bytes(lm.DEPTH) + text.encode() + b"\0"
+        for i in range(lm.DEPTH, len(line)):
+            for d in range(lm.DEPTH + 1):
+                counts[number[d, int.from_bytes(line[i - d : i], "big")], line[i]] += 1
+    assert len(contexts) < 1 << 15
+    tree = lm.ContextTree(contexts, counts)
+    for k, text in rows[-6:]:
+        raw = text.encode()
+        line, at, _ = lm._padded(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert got[k] == pytest.approx(tree.log10(line, at).astype(float).sum(), rel=1e-5)
