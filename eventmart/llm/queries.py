@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import decontaminate, jaccard, language, licenses, lm, mixing, quality, secrets, suffixes, surrogates
+from eventmart.llm import alignment, decontaminate, jaccard, language, licenses, lm, mixing, quality, secrets, suffixes, surrogates
 from eventmart.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,13 @@ SURROGATE_KEY = "corpus"
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = surrogates.replace_personal_data(_documents(spark, sf_dir), SURROGATE_KEY, keep=["doc_id"])
     return rows.select("doc_id", "text", "n_entities", F.array_join("entity_kinds", ",").alias("entity_kinds"))
+
+
+# Where the public vocabulary files are.
+TOKENIZERS = "/opt/tokenizers"
+
+
+@_query
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
+    return alignment.align_tokens(_documents(spark, sf_dir), a, b, keep=["doc_id"], digest=True)

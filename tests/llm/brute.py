@@ -159,3 +159,62 @@ def targets(sizes: dict) -> dict:
         out |= {s: 3.0 * sizes[s] for s in above}
         free -= above
     return out
+
+
+def alignment(documents, byte_bpe: str, piece_bpe: str) -> dict:
+    """doc_id: (n_a, n_b, n_groups, n_links, n_best, count_sum, groups)."""
+    import sentencepiece
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    a, b = Tokenizer.from_file(byte_bpe), sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
+    a.encode_special_tokens = True
+    # The characters of the byte-level alphabet, by the byte they stand for.
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    characters = [chr(k) for k in [*range(0x800), *range(0x800, 0xD800, 0x400), 0xE000, 0xF000, *range(0x10000, 0x110000, 0x10000)]]
+    byte_of = {c: b for t in characters for c, b in zip(split.pre_tokenize_str(t)[0][0], t.encode(), strict=True)}
+
+    def ends(tokens):
+        out, at = [], 0
+        for t in tokens:
+            out.append((at, at + len(t)))
+            at += len(t)
+        return out
+
+    found, counts = {}, Counter()
+    for doc_id, text in documents:
+        found[doc_id] = None
+        if not text:
+            continue
+        whole = (" " + text).encode()
+        a_ids, b_ids = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        a_bytes = [bytes(byte_of[c] for c in a.id_to_token(i)) for i in a_ids]
+        b_bytes = [
+            bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("\u2581", " ").encode()
+            for i, p in ((i, b.id_to_piece(i)) for i in b_ids)
+        ]
+        if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
+            continue
+        a_at, b_at = ends(a_bytes), ends(b_bytes)
+        cuts = sorted({e for _, e in a_at} & {e for _, e in b_at})
+        groups, start = [], 0
+        for cut in cuts:
+            inside = lambda at, ids: ",".join(str(i) for i, (s, e) in zip(ids, at, strict=True) if start <= s and e <= cut)  # noqa: B023, E731
+            groups.append(f"{inside(a_at, a_ids)}|{inside(b_at, b_ids)}")
+            start = cut
+        links = [
+            (a_ids[i], b_ids[j]) for i, (s, e) in enumerate(a_at) for j, (u, v) in enumerate(b_at) if max(s, u) < min(e, v)
+        ]
+        counts.update(links)
+        found[doc_id] = (len(a_ids), len(b_ids), groups, links)
+    highest = defaultdict(int)
+    for (_, j), n in counts.items():
+        highest[j] = max(highest[j], n)
+    out = {}
+    for doc_id, own in found.items():
+        if own is None:
+            out[doc_id] = (0, 0, 0, 0, 0, 0, "")
+            continue
+        n_a, n_b, groups, links = own
+        best = sum(counts[p] == highest[p[1]] for p in links)
+        out[doc_id] = (n_a, n_b, len(groups), len(links), best, sum(counts[p] for p in links), ";".join(groups))
+    return out
