@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import alignment, decontaminate, jaccard, language, licenses, lm, mixing, quality, secrets, suffixes, surrogates
+from eventmart.llm import alignment, conversations, decontaminate, jaccard, language, licenses, lm, mixing, quality, secrets, suffixes, surrogates
 from eventmart.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,20 @@ TOKENIZERS = "/opt/tokenizers"
 def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
     return alignment.align_tokens(_documents(spark, sf_dir), a, b, keep=["doc_id"], digest=True)
+
+
+@_query
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found, repaired = conversations.repair(conversations.damage(rows))
+    ids = rows.select(F.col("conv_id").alias("_id")).distinct()
+    found = ids.join(found, F.col("_id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    digests = conversations.digests(repaired)
+    found = found.join(digests, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(
+        F.col("_id").alias("conv_id"),
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )

@@ -218,3 +218,61 @@ def alignment(documents, byte_bpe: str, piece_bpe: str) -> dict:
         best = sum(counts[p] == highest[p[1]] for p in links)
         out[doc_id] = (n_a, n_b, len(groups), len(links), best, sum(counts[p] for p in links), ";".join(groups))
     return out
+
+
+def damaged(rows) -> dict:
+    """conv_id: its damaged (turn, role, text) by turn, nulls first."""
+    out = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        role, text = role if role is not None else " ", text if text is not None else " "
+        kind = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+        own = out[conv_id]
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        own += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return {c: sorted(own, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) for c, own in out.items()}
+
+
+def repaired(rows) -> tuple:
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of (turn, role, text) in order."""
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    faults, seen = [], set()
+    for _, role, text in rows:
+        spoken = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = "blank" if not spoken else "duplicate" if (role, text) in seen else "" if spoken[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        faults.append(fault)
+    illegal = sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+
+    # The best way to go on from each row and string of initials so far, of which only the last counts.
+    good = {"": "su", "s": "u", "u": "a", "a": "u"}
+    best = {state: ((0, "", []) if state in ("", "a") else (10**9, "", [])) for state in good}
+
+    def inserting(found):
+        for _ in range(3):
+            for state in good:
+                for role in good[state].replace("s", ""):
+                    cost, audit, lines = found[role]
+                    full = {"u": "user:", "a": "assistant:"}[role]
+                    found[state] = min(found[state], (cost + 5, "I" + audit, [full, *lines]), key=lambda x: x[:2])
+        return found
+
+    best = inserting(best)
+    for (_, role, text), fault in reversed(list(zip(rows, faults))):
+        here = {}
+        for state in good:
+            cost, audit, lines = best[state]
+            ways = [(cost + 2, "D" + audit, lines)]
+            if fault not in ("blank", "duplicate"):
+                more = 5 if fault == "truncated" else 0
+                for name, letter, price in [(role, "K", 0), ("user", "R", 1), ("assistant", "R", 1)]:
+                    if name[:1] and name[:1] in good[state]:
+                        cost, audit, lines = best[name[:1]]
+                        ways.append((cost + more + price, letter + audit, [f"{name}:{text}", *lines]))
+            here[state] = min(ways, key=lambda w: w[:2])
+        best = inserting(here)
+    cost, audit, lines = best[""]
+    count = Counter(faults)
+    return gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, audit, sha("\n".join(lines))

@@ -1,0 +1,97 @@
+"""Conversation repair: against brute force, over blocks, with hot conversations, and edge cases."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from eventmart.llm import conversations
+from eventmart.llm.queries import queries
+from tests.llm import brute
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
+
+
+def made(rng: random.Random, convs: int, size: int) -> list[tuple]:
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", "u", "superuser", None]
+    texts = ["Hi.", "Yes!", "no end", "", " \n", "Why?  ", None, "A. B", "x. ", "Done.\n", "one.", "two.", "three.", "four."]
+    rows = []
+    for conv in range(convs):
+        for k in range(rng.randint(1, size)):
+            # One row for each turn but for null ones.
+            turn = None if k == 0 and rng.random() < 0.2 else 2 * k + rng.randint(0, 1)
+            rows.append((conv if conv else None, turn, rng.choice(roles[: rng.choice([2, 4, 10])]), rng.choice(texts)))
+    return rows
+
+
+def expected(rows) -> dict:
+    own: dict = {}
+    for conv, turn, role, text in rows:
+        own.setdefault(conv, []).append((turn, " " if role is None else role, " " if text is None else text))
+    return {c: brute.repaired(sorted(r, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))) for c, r in own.items()}
+
+
+def found(spark, rows, parts=3) -> dict:
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+    convs, repaired = conversations.repair(frame)
+    digests = {r[0]: r[1] for r in conversations.digests(repaired).collect()}
+    empty = brute.sha("")
+    return {r["conv_id"]: (*[r[c] for c in COLUMNS], digests.get(r["conv_id"], empty)) for r in convs.collect()}
+
+
+@pytest.mark.parametrize("bits", [14, 5, 2])
+def test_against_brute_force(spark, monkeypatch, bits):
+    """Also with blocks so small that conversations reach over many."""
+    monkeypatch.setattr(conversations, "_BLOCK_BITS", bits)
+    rows = made(random.Random(bits), 120, 9) + made(random.Random(bits + 1), 1, 1)[:0]
+    rows += [(5000, k, "user" if k % 3 else "assistant", f"{k % 40}{'.' if k % 5 else ''}") for k in range(150)]
+    assert found(spark, rows) == expected(rows)
+
+
+def test_a_hot_conversation_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(conversations, "_BLOCK_BITS", 6)
+    rows = [(1, 7, "user", "Same.")] * 500 + [(1, k, "assistant" if k % 2 else "user", f"{k}.") for k in range(10, 400)]
+    rows += [(2, 1, "user", " ")] * 30 + [(3, 1, "system", "s."), (3, 2, "system", "s.")]
+    assert found(spark, rows, 7) == expected(rows)
+
+
+def test_walk_of_a_long_conversation():
+    rng = random.Random(2)
+    rows = [(rng.randint(0, 3), rng.randint(0, 2), 0) for _ in range(5000)]
+    edits, state, cost = conversations.walk(rows, list(conversations._END), 0)
+    assert len(edits) == 5000
+    between = conversations.costs_between(rows)
+    assert cost == min(between[t] + conversations._END[t] for t in range(4))
+    # In two halves, the second from the state after the first.
+    end = conversations.costs_between(rows[2500:])
+    costs = [min(end[4 * s + t] + conversations._END[t] for t in range(4)) for s in range(4)]
+    first, middle, _ = conversations.walk(rows[:2500], costs, 0)
+    second, last, _ = conversations.walk(rows[2500:], list(conversations._END), middle)
+    assert first + second == edits and last == state
+
+
+def test_empty_table_and_other_columns(spark):
+    convs, repaired = conversations.repair(spark.createDataFrame([], SCHEMA))
+    assert convs.count() == 0 and conversations.digests(repaired).count() == 0
+    frame = spark.createDataFrame([("c", 1, "user", "Hi.", 9, "x")], "id string, turn int, role string, text string, at int, conv string")
+    convs, repaired = conversations.repair(frame, conv="id")
+    assert [tuple(r) for r in convs.collect()] == [("c", 0, 0, 0, 0, 0, 2, "D")]
+    assert repaired.collect() == []
+
+
+def test_query_on_the_table(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = [tuple(r) for r in table.collect()]
+    want = {c: brute.repaired(own) for c, own in brute.damaged(rows).items()}
+    got = queries()["op11_repair_conversations"](spark, sf_dir).collect()
+    assert {r["conv_id"]: tuple(r[c] for c in [*COLUMNS, "repaired_sha256"]) for r in got} == want
+    assert len(got) == len(want)
+
+
+def test_damage_of_nulls(spark):
+    rows = [(None, None, None, None), (1, None, "user", "a."), (None, 3, "user", None), *[(k, 0, "user", "a.b") for k in range(60)]]
+    got = sorted(map(str, (tuple(r) for r in conversations.damage(spark.createDataFrame(rows, SCHEMA)).collect())))
+    want = sorted(str((c, *r)) for c, own in brute.damaged(rows).items() for r in own)
+    assert got == want
