@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import alignment, conversations, decontaminate, jaccard, language, licenses, lm, mixing, quality, secrets, suffixes, surrogates
+from eventmart.llm import alignment, conversations, decontaminate, jaccard, language, licenses, lm, mixing, quality, secrets, suffixes, surrogates, toxicity
 from eventmart.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +157,12 @@ def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@_query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    out = language.held_out(F.col("doc_id"), 3, 1)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~out)
+    model = toxicity.train(docs.filter(~out), labels)
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", out.alias("held_out"), "score", "predicted")
