@@ -180,3 +180,89 @@ WITH documents_ AS (
 SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot
 FROM tapes LEFT JOIN taken USING (doc_id)
 """
+
+
+# The checksum bit by bit; least costs from behind the last row backwards, one row a step (rows of a conversation
+# are few here); then the walk forward, one edit a step.
+_ORACLES["op11_repair_conversations"] = r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), drawn AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(k, ''), lambda c: ascii(c)::UBIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+            lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::UBIGINT) ELSE a // 2 END)), 4294967295::UBIGINT) % 20 AS h
+    FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM drawn WHERE h <> 0
+), placed AS (
+    SELECT conv_id, turn, role, text, left(role, 1) AS c,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+        count(*) OVER (PARTITION BY conv_id) AS n,
+        regexp_extract_all(text, '[^\x20\x09-\x0D]') AS spoken
+    FROM damaged
+), faults AS (
+    SELECT * EXCLUDE (spoken), len(spoken) = 0 AS blank, len(spoken) > 0 AND earlier > 0 AS duplicate,
+        len(spoken) > 0 AND earlier = 0 AND spoken[-1] NOT IN ('.', '!', '?') AS truncated,
+        i > 1 AND previous || c NOT IN ('su', 'ua', 'au') AS illegal
+    FROM (SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS previous,
+        count(*) OVER (PARTITION BY conv_id, role, text ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier
+        FROM placed)
+), moves AS (
+    SELECT *, CASE WHEN blank OR duplicate THEN 1000000 WHEN truncated THEN 5 ELSE 0 END AS price FROM faults
+), costs AS (
+    SELECT conv_id, n + 1 AS i, 0 AS v0, 10 AS v1, 5 AS v2, 0 AS v3 FROM moves WHERE i = n
+    UNION ALL
+    SELECT conv_id, i, least(o0, 5 + least(o2, 5 + o3)), least(o1, 5 + least(o2, 5 + o3)), least(o2, 5 + o3), least(o3, 5 + o2)
+    FROM (
+        SELECT m.conv_id, m.i,
+            least(2 + v0, price + 1 + v2, CASE c WHEN 's' THEN price + v1 WHEN 'u' THEN price + v2 ELSE 1000000 END) AS o0,
+            least(2 + v1, price + 1 + v2, CASE c WHEN 'u' THEN price + v2 ELSE 1000000 END) AS o1,
+            least(2 + v2, price + 1 + v3, CASE c WHEN 'a' THEN price + v3 ELSE 1000000 END) AS o2,
+            least(2 + v3, price + 1 + v2, CASE c WHEN 'u' THEN price + v2 ELSE 1000000 END) AS o3
+        FROM costs JOIN moves m ON m.conv_id IS NOT DISTINCT FROM costs.conv_id AND m.i = costs.i - 1
+    )
+), steps AS (
+    SELECT b.conv_id, b.i, b.v0, b.v1, b.v2, b.v3, m.role, m.text, m.c, m.price, a.v0 AS a0, a.v1 AS a1, a.v2 AS a2, a.v3 AS a3
+    FROM costs b
+    LEFT JOIN costs a ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.i = b.i + 1
+    LEFT JOIN moves m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.i = b.i
+), walk AS (
+    SELECT conv_id, 1::BIGINT AS i, 0 AS s, '' AS audit, []::VARCHAR[] AS lines, false AS done FROM costs WHERE i = 1
+    UNION ALL
+    SELECT conv_id, CASE WHEN edit IN ('I', '') THEN i ELSE i + 1 END,
+        CASE edit WHEN 'I' THEN next WHEN 'R' THEN next
+            WHEN 'K' THEN CASE c WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE s END,
+        audit || edit,
+        lines || CASE edit WHEN 'I' THEN [named || ':'] WHEN 'R' THEN [named || ':' || text] WHEN 'K' THEN [role || ':' || text]
+            ELSE [] END,
+        edit = ''
+    FROM (
+        SELECT w.*, role, text, c, CASE s WHEN 2 THEN 3 ELSE 2 END AS next, CASE s WHEN 2 THEN 'assistant' ELSE 'user' END AS named,
+            CASE
+                WHEN 2 + [a0, a1, a2, a3][s + 1] = here THEN 'D'
+                WHEN 5 + CASE s WHEN 2 THEN v3 ELSE v2 END = here THEN 'I'
+                WHEN role IS NULL THEN ''
+                WHEN price + CASE WHEN s = 0 AND c = 's' THEN a1 WHEN s <> 2 AND c = 'u' THEN a2 WHEN s = 2 AND c = 'a' THEN a3
+                    ELSE 1000000 END = here THEN 'K'
+                ELSE 'R' END AS edit
+        FROM (SELECT walk.*, t.* EXCLUDE (conv_id, i), [v0, v1, v2, v3][s + 1] AS here FROM walk
+              JOIN steps t ON t.conv_id IS NOT DISTINCT FROM walk.conv_id AND t.i = walk.i WHERE NOT done) w
+    )
+), totals AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM faults GROUP BY conv_id
+), ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(v0 AS BIGINT), 0) AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM ids
+LEFT JOIN totals ON totals.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN costs ON costs.conv_id IS NOT DISTINCT FROM ids.conv_id AND costs.i = 1
+LEFT JOIN walk ON walk.conv_id IS NOT DISTINCT FROM ids.conv_id AND walk.done
+"""

@@ -7,8 +7,10 @@ import random
 import pytest
 
 from eventmart.llm import conversations
+from eventmart.llm.oracles import oracle_sql
 from eventmart.llm.queries import queries
 from tests.llm import brute
+from tests.oracle import compare, connect
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 COLUMNS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
@@ -95,3 +97,9 @@ def test_damage_of_nulls(spark):
     got = sorted(map(str, (tuple(r) for r in conversations.damage(spark.createDataFrame(rows, SCHEMA)).collect())))
     want = sorted(str((c, *r)) for c, own in brute.damaged(rows).items() for r in own)
     assert got == want
+
+
+def test_oracle(spark, sf_dir):
+    name = "op11_repair_conversations"
+    count, ours, theirs = compare(queries()[name](spark, sf_dir), connect(sf_dir), oracle_sql()[name])
+    assert count > 0 and not ours and not theirs
