@@ -12,6 +12,10 @@ An ordered window puts an entity into one task. An entity too large for that is
 hour: its rows are compared within each piece, and the pieces are joined up from one summary row per
 piece. Which entities those are is a join with their counts, part of the same plan; the others are one
 piece each and pass through the same windows.
+
+That join must not put a large entity into one task either, nor leave its rows placed by the entity alone,
+which would do for the windows as well. So it is on the entity and a salt: however Spark joins, rows reach the
+windows by an exchange of their own, on the entity and its piece.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from eventmart.schemas import ENTITY_ATTRIBUTES, Attribute, dimension_schema
 
 # Rows of one entity a single task may hold.
 MAX_ROWS_PER_TASK = 2_000_000
+# Tasks that the rows of one entity are dealt to where they are joined with the list of large ones.
+SALTS = 64
 
 # Pieces are named by their hour. One name is for whole entities, one for rows without a time, which
 # come last.
@@ -67,7 +73,9 @@ def _in_pieces(events: DataFrame, large: DataFrame) -> DataFrame:
 
     hour = F.coalesce(trunc_hour("event_created_at"), named(_NO_TIME))
     piece = F.when(F.col("_is_large"), hour).otherwise(named(_WHOLE))
-    return events.join(large, "repo_name", "left").withColumn("_piece", piece)
+    salted = events.withColumn("_salt", F.pmod(F.xxhash64("event_id", "event_created_at"), F.lit(SALTS)))
+    listed = large.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(listed, ["repo_name", "_salt"], "left").drop("_salt").withColumn("_piece", piece)
 
 
 def _compared(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool) -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.functions.keys import version_key
+from eventmart.operators import scd2
 from eventmart.operators.scd2 import change_log, dimension, large_entities
 from eventmart.operators.silver import entity_events
 from eventmart.plans import queries as catalog
@@ -49,6 +52,37 @@ def test_a_hot_entity_is_split_and_others_are_not(spark):
     assert Counter(found) == Counter(strict_versions(rows))
 
 
+@pytest.mark.parametrize("strict", [True, False])
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_rows_of_a_hot_entity_are_dealt_to_tasks_by_piece(spark, monkeypatch, strict, broadcast):
+    """Whether or not the list of large entities is broadcast."""
+    start, tasks, hours = datetime(2024, 1, 1), 16, 60
+    rows = [raw_row(f"h{i:05d}", "hot", start + timedelta(minutes=i), start, stars=str(i // 7)) for i in range(60 * hours)]
+    rows += [raw_row(f"c{i}", f"cold{i}", start, start) for i in range(20)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": broadcast, "spark.sql.shuffle.partitions": str(tasks),
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = dimension(entity_events(frame(spark, rows)), strict=strict, max_rows=500)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        # What the events in pieces are sorted for the first window by, and what deals them out for it.
+        lines = text.splitlines()
+        [first] = [i for i in range(len(lines)) if "max(_is_large" in lines[i] and "Window" in lines[i]][-1:]
+        below = [line for line in lines[first:] if "Exchange" in line][0]
+        assert re.search(r"hashpartitioning\(repo_name#\d+, _piece#\d+", below)
+        large = large_entities(entity_events(frame(spark, rows)), 500)
+        pieces = scd2._in_pieces(entity_events(frame(spark, rows)), large).repartition("repo_name", "_piece")
+        counts = [r["count"] for r in pieces.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(counts) > tasks // 2 and max(counts) < len(rows) / 3
+        wanted = strict_versions(rows) if strict else compatible_versions(rows)
+        assert Counter(stored_versions(found)) == Counter(wanted)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_a_large_entity_with_rows_without_a_time(spark):
     start = datetime(2024, 1, 1)
     rows = [
