@@ -22,8 +22,8 @@ from eventmart.operators.dedup import copies_of
 from eventmart.operators.scd2 import MAX_ROWS_PER_TASK, dimension
 from eventmart.operators.silver import entity_events
 from eventmart.schemas import ENTITY_ATTRIBUTES, Attribute, dimension_schema
-from eventmart.sources import files, progress
-from eventmart.sources.bronze import read_raw_events
+from eventmart.sources import copies, files, progress
+from eventmart.sources.bronze import part_of, read_loads, read_parts, read_raw_events
 from eventmart.sources.layout import Layout
 from eventmart.sources.progress import DIMENSION as NAME
 from eventmart.sources.progress import EVERYTHING
@@ -117,8 +117,8 @@ class DimensionTable:
             sizes=raw.select("repo_name"),
             max_rows=self.max_rows,
         )
-        self._note_columns(self.attributes)
         progress.started(self.spark, self.layout, NAME, done, [EVERYTHING])
+        self._note_columns(self.attributes)
         self._write(self._placed(rows), "static")
         progress.finished(self.spark, self.layout, NAME, done)
 
@@ -153,13 +153,9 @@ class DimensionTable:
 
     def _update(self, loads: list[str]) -> None:
         self.recover()
-        raw = read_raw_events(self.spark, self.layout)
-
-        ids = raw.filter(F.col("load").isin(loads)).select("event_id").distinct()
-        low, high = ids.agg(F.min("event_id"), F.max("event_id")).first()
         timed = F.col("repo_name").isNotNull() & F.col("event_created_at").isNotNull()
         touched = (
-            copies_of(raw, ids, low, high)
+            copies.find(read_loads(self.spark, self.layout, loads), self.layout)
             .filter(timed)
             .groupBy("repo_name")
             .agg(F.min("event_created_at").alias("since"))
@@ -170,26 +166,24 @@ class DimensionTable:
             progress.finished(self.spark, self.layout, NAME, loads)
             return None
 
-        events = self._events_since(raw, touched, seen["since"])
+        events = self._events_since(touched, seen["since"])
         self._replace(touched, events, loads)
         return None
 
-    def _events_since(self, raw: DataFrame, touched: DataFrame, since) -> DataFrame:
+    def _events_since(self, touched: DataFrame, since) -> DataFrame:
         """Silver events of the touched entities from `since` on.
 
         An event may have copies that name other entities or times, so first come the ids with any
-        copy in reach, then all copies of those, then the dedup.
+        copy in reach, then all copies of those, then the dedup. The index tells the ids, and the folders of
+        bronze their copies are in, which are the only ones opened.
         """
-
-        def in_reach(rows: DataFrame) -> DataFrame:
-            same = (rows["repo_name"] == touched["repo_name"]) & (rows["event_created_at"] >= touched["since"])
-            return rows.filter(rows["event_created_at"] >= F.lit(since)).join(touched, same, "left_semi")
-
-        ids, seen = stage(
-            in_reach(raw).select("event_id").distinct(), "reach-ids", low=F.min("event_id"), high=F.max("event_id")
-        )
-        copies = copies_of(raw, ids, seen["low"], seen["high"])
-        return stage(in_reach(entity_events(copies, self.attributes)), "events")[0]
+        ids, _ = stage(copies.since(touched, self.layout, since).distinct(), "reach-ids")
+        found, seen = stage(copies.find(ids, self.layout), "copies", low=F.min("event_id"), high=F.max("event_id"))
+        parts = [part_of(r["ingested_date"], r["load"]) for r in found.select("ingested_date", "load").distinct().collect()]
+        raw = copies_of(read_parts(self.spark, self.layout, sorted(parts)), ids, seen["low"], seen["high"])
+        events = entity_events(raw, self.attributes)
+        same = (events["repo_name"] == touched["repo_name"]) & (events["event_created_at"] >= touched["since"])
+        return stage(events.join(touched, same, "left_semi"), "events")[0]
 
     def _replace(self, touched: DataFrame, events: DataFrame, loads: list[str]) -> None:
         attributes = self.all_attributes()
@@ -215,20 +209,19 @@ class DimensionTable:
         )
         fresh, _ = stage(self._placed(fresh), "fresh")
 
-        # Stored versions from the anchor on are replaced, in the partitions that hold any of them.
+        # Stored versions from the anchor on are replaced, in the partitions where any of them changes.
         bounds = touched.join(anchors, "repo_name", "left").select(
             "repo_name", F.coalesce("anchor.valid_from", "since").alias("bound")
         )
         replaced = (stored["repo_name"] == bounds["repo_name"]) & (stored["valid_from"] >= bounds["bound"])
-        parts = (
-            stored.join(bounds, replaced, "left_semi")
-            .select(_partition().alias("part"), F.lit(False).alias("is_fresh"))
-            .union(fresh.select(_partition(), F.lit(True)))
-            .groupBy("part")
-            .agg(F.bool_or("is_fresh").alias("is_fresh"))
-            .collect()
-        )
-        rewritten = stored.filter(_partition().isin([p["part"] for p in parts]))
+        parts = self._changed(stored.join(bounds, replaced, "left_semi"), fresh).collect()
+        if not parts:
+            self._note_columns(attributes)
+            progress.finished(self.spark, self.layout, NAME, loads)
+            return
+        changed = [p["part"] for p in parts]
+        fresh = fresh.filter(_partition().isin(changed))
+        rewritten = stored.filter(_partition().isin(changed))
         replaced = (rewritten["repo_name"] == bounds["repo_name"]) & (rewritten["valid_from"] >= bounds["bound"])
         kept = rewritten.join(bounds, replaced, "left_anti")
 
@@ -239,9 +232,18 @@ class DimensionTable:
             emptied -= {r["part"] for r in still.collect()}
 
         self._note_columns(attributes)
-        progress.started(self.spark, self.layout, NAME, loads, buckets)
+        progress.started(self.spark, self.layout, NAME, loads, sorted({int(p.split("/")[0]) for p in changed}))
         self._write(kept.unionByName(fresh), "dynamic")
         for part in emptied:
             bucket, month = part.split("/")
             files.delete(self.spark, f"{self.layout.dimension}/bucket={bucket}/valid_month={month}")
         progress.finished(self.spark, self.layout, NAME, loads)
+
+    @staticmethod
+    def _changed(old: DataFrame, new: DataFrame) -> DataFrame:
+        """The partitions in which two sets of versions differ, nulls being equal, and whether the new one has rows there."""
+        columns = old.columns
+        rows = old.withColumn("_one", F.lit(-1)).unionByName(new.select(*columns).withColumn("_one", F.lit(1)))
+        differs = rows.groupBy(*columns).agg(F.sum("_one").alias("_one")).filter("_one <> 0").select(_partition().alias("part"))
+        fresh = new.select(_partition().alias("part"), F.lit(True).alias("is_fresh")).distinct()
+        return differs.distinct().join(fresh, "part", "left").withColumn("is_fresh", F.coalesce("is_fresh", F.lit(False)))

@@ -15,7 +15,7 @@ from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import FactTable
 from eventmart.session import configure
 from eventmart.sources import files, progress
-from eventmart.sources.bronze import create_tables, read_raw_events, write_load
+from eventmart.sources.bronze import create_tables, delete_load, has_load, read_loads, read_raw_events, write_load
 from eventmart.sources.layout import Layout
 from eventmart.sources.messages import Sink, Source
 from eventmart.streaming.ingest import drain
@@ -59,13 +59,13 @@ def compact_bronze(spark: SparkSession, layout: Layout, loads: list[str], into:
     waiting = {load for table in (progress.DIMENSION, progress.FACT) for load in progress.pending(spark, layout, table)}
     if waiting & set(loads):
         raise ValueError("gold has not taken in all of these loads")
-    if into in loads or files.exists(spark, f"{layout.raw_events}/load={into}"):
+    if into in loads or has_load(spark, layout, into):
         raise ValueError(f"there is a load named {into} already")
-    missing = [load for load in loads if not files.exists(spark, f"{layout.raw_events}/load={load}")]
+    missing = [load for load in loads if not has_load(spark, layout, load)]
     if missing:
         raise ValueError(f"no such loads: {missing}")
     files.write_text(spark, layout.compacting, json.dumps({"loads": loads, "into": into}))
-    write_load(read_raw_events(spark, layout).filter(F.col("load").isin(loads)), layout, into, rebalance=True)
+    write_load(read_loads(spark, layout, loads), layout, into, rebalance=True)
     finish_compaction(spark, layout)
 
 
@@ -76,21 +76,18 @@ def finish_compaction(spark: SparkSession, layout: Layout) -> None:
     try:
         noted = json.loads(files.read_text(spark, layout.compacting))
     except ValueError:
-        # The note was cut short, so that nothing was written.
+        # The note was cut short: nothing was written, or all of it is checked when tried again.
         return files.delete(spark, layout.compacting)
-    loads, into = noted["loads"], f"{layout.raw_events}/load={noted['into']}"
-    raw = read_raw_events(spark, layout)
-    left = [load for load in loads if files.exists(spark, f"{layout.raw_events}/load={load}")]
-    if len(left) == len(loads) and files.exists(spark, into):
+    loads, into = noted["loads"], noted["into"]
+    if not noted.get("checked"):
         # None is deleted yet: only then can the counts be compared.
-        counts = raw.filter(F.col("load").isin([*loads, noted["into"]])).groupBy("load").count().collect()
-        rows = {r["load"]: r["count"] for r in counts}
-        if rows.get(noted["into"], 0) != sum(rows.get(load, 0) for load in loads):
-            files.delete(spark, into)
+        kept = read_loads(spark, layout, loads).count()
+        if not has_load(spark, layout, into) or read_loads(spark, layout, [into]).count() != kept:
+            delete_load(spark, layout, into)
             return files.delete(spark, layout.compacting)
-    if files.exists(spark, into):
-        for load in left:
-            files.delete(spark, f"{layout.raw_events}/load={load}")
+        files.write_text(spark, layout.compacting, json.dumps(noted | {"checked": True}))
+    for load in loads:
+        delete_load(spark, layout, load)
     return files.delete(spark, layout.compacting)
 
 

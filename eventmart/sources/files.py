@@ -37,6 +37,22 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(target) if status.isFile())
 
 
+def directories_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directories in a directory, sorted; none if it is not there."""
+    files, target = _resolve(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(target) if status.isDirectory())
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or a directory another name, which must not be in use, in the same file system."""
+    files, target = _resolve(spark, to)
+    files.mkdirs(target.getParent())
+    if not files.rename(_resolve(spark, path)[1], target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file, replacing one that is there."""
     files, target = _resolve(spark, path)

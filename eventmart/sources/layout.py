@@ -7,10 +7,16 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths below a root. With a prefix, layers are private to it: `<prefix>_<layer>`."""
+    """Paths below a root. With a prefix, layers are private to it: `<prefix>_<layer>`.
+
+    `copy_buckets` and `published_buckets` say in how many parts the ids of events and of published ones are kept;
+    choose them by size, say 200 MB a part, before the first load.
+    """
 
     root: str
     prefix: str | None = None
+    copy_buckets: int = 64
+    published_buckets: int = 64
 
     def layer(self, name: str) -> str:
         """Name of a layer: verbatim, or prefixed."""
@@ -43,6 +49,20 @@ class Layout:
     def published(self) -> str:
         return self.path("ops", "published")
 
+    def incoming(self, load: str) -> str:
+        return self.path("ops", f"incoming/{load}")
+
+    def load_days(self, load: str) -> str:
+        return self.path("ops", f"loads/{load}.json")
+
+    @property
+    def copies(self) -> str:
+        return self.path("ops", "copies")
+
+    @property
+    def references(self) -> str:
+        return self.path("ops", "references")
+
     def days(self, table: str) -> str:
         return self.path("ops", f"days/{table}")
 

@@ -27,10 +27,15 @@ RUN_LOG = "logged_at timestamp, load string, rows_ingested long, dead_letters lo
 def loaded(spark: SparkSession, layout: Layout, load: str, rows: int, dead_letters: int) -> None:
     """Note a load that is in bronze: the gold tables lack it, and the run log counts it."""
     for table in (DIMENSION, FACT):
-        files.write_text(spark, f"{layout.pending(table)}/{load}", "")
+        wait(spark, layout, table, load)
     _log(spark, layout, load, rows_ingested=rows, dead_letters=dead_letters)
 
 
+def wait(spark: SparkSession, layout: Layout, table: str, load: str) -> None:
+    """Note that a table lacks a load."""
+    files.write_text(spark, f"{layout.pending(table)}/{load}", "")
+
+
 def published(spark: SparkSession, layout: Layout, batch: str, rows: int) -> None:
     """Note a batch of events that was published."""
     _log(spark, layout, batch, rows_published=rows)

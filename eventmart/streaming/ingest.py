@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eventmart.operators.decode import bronze_rows, dead_letters, decode
+from eventmart.operators.decode import decode
 from eventmart.sources import files, progress
-from eventmart.sources.bronze import create_tables, write_dead_letters, write_load
+from eventmart.sources.bronze import create_tables, write_batch
 from eventmart.sources.layout import Layout
 from eventmart.sources.messages import CONTINUOUS_INTERVAL, Source
 
@@ -36,16 +36,15 @@ def load_batch(
     batch_id: int = 0,
     ingested_at: Column | None = None,
 ) -> int:
-    """Decode messages and write them as one load, bad ones to the dead letter table.
+    """Decode messages and write them as one load, bad ones to the dead letter table, in one pass.
 
-    The messages are read and decoded twice, not kept: a batch may be a whole backlog. Returns the
-    number of bronze rows.
+    Returns the number of bronze rows.
     """
     decoded = decode(messages, ingested_at).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    good, bad = Observation(), Observation()
-    write_load(bronze_rows(decoded).observe(good, F.count("*").alias("n")), layout, load)
-    write_dead_letters(dead_letters(decoded).observe(bad, F.count("*").alias("n")), layout, load)
-    rows, dead = good.get.get("n") or 0, bad.get.get("n") or 0
+    seen, is_good = Observation(), F.col("reason").isNull()
+    counts = F.count_if(is_good).alias("rows"), F.count_if(~is_good).alias("dead")
+    write_batch(decoded.observe(seen, *counts), layout, load)
+    rows, dead = seen.get.get("rows") or 0, seen.get.get("dead") or 0
     progress.loaded(spark, layout, load, rows, dead)
     return rows
 
