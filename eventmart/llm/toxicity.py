@@ -233,7 +233,8 @@ def train(
         keys = known.filter(F.col("label") == value).select("key").orderBy("key").limit(SAMPLE)
         highest = keys.agg(F.max("key")).first()[0]
         bound = F.when(F.col("label") == value, F.lit(highest).cast("long")).otherwise(bound)
-    rows = texts.join(known, "id").select("text", "label", (F.col("key") <= bound).alias("sampled"))
+    # Labels grow with the documents, so neither side is sent to all executors, however few there are.
+    rows = texts.join(known.hint("merge"), "id").select("text", "label", (F.col("key") <= bound).alias("sampled"))
     seen, _ = stage(_seen(rows), "toxicity")
     # A document is counted with the labels, not by its columns: an empty text has none.
     totals = {r[0]: r[1] for r in texts.join(known, "id").groupBy("label").count().collect()}
