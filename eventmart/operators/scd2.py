@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from eventmart.functions.keys import version_key
@@ -78,10 +78,15 @@ def _in_pieces(events: DataFrame, large: DataFrame) -> DataFrame:
     return salted.join(listed, ["repo_name", "_salt"], "left").drop("_salt").withColumn("_piece", piece)
 
 
-def _compared(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool) -> DataFrame:
-    """The events that open versions, and where each ends."""
+def _windows() -> tuple[WindowSpec, WindowSpec]:
+    """Over the events of a piece, and over the pieces of an entity."""
     in_piece = Window.partitionBy("repo_name", "_piece").orderBy(*_ascending())
-    over_pieces = Window.partitionBy("repo_name").orderBy("_piece")
+    return in_piece, Window.partitionBy("repo_name").orderBy("_piece")
+
+
+def _opening(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool) -> DataFrame:
+    """The events that open versions."""
+    in_piece, over_pieces = _windows()
     # Told by the window, not by the piece, so that no filter on it goes below the shuffle and keeps it from
     # being shared.
     in_pieces = F.coalesce(F.max("_is_large").over(in_piece), F.lit(False))
@@ -102,13 +107,18 @@ def _compared(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool
         .withColumn("_carried", F.lag("_tail").over(over_pieces))
         .drop("_tail")
     )
-    opened = (
+    return (
         events.withColumn("_previous", F.lag(_snapshot(attributes)).over(in_piece))
         .join(carried, ["repo_name", "_piece"], "left")
         .withColumn("_previous", F.coalesce("_previous", "_carried"))
         .filter(_opens(attributes, strict))
         .drop("_previous", "_carried")
     )
+
+
+def _ended(opened: DataFrame) -> DataFrame:
+    """Versions with where each ends."""
+    in_piece, over_pieces = _windows()
     next_piece = (
         opened.filter("_in_pieces")
         .groupBy("repo_name", "_piece")
@@ -125,6 +135,20 @@ def _compared(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool
     )
 
 
+def _opened(
+    events: DataFrame,
+    strict: bool,
+    attributes: tuple[Attribute, ...],
+    sizes: DataFrame | None,
+    max_rows: int,
+) -> DataFrame:
+    if strict:
+        events = events.filter(F.col("event_created_at").isNotNull())
+    # The entity is null in no row of `events`.
+    large = large_entities(events if sizes is None else sizes, max_rows)
+    return _opening(_in_pieces(events, large), attributes, strict)
+
+
 def versions(
     events: DataFrame,
     *,
@@ -138,22 +162,22 @@ def versions(
     `sizes` holds a `repo_name` per row, for counting rows per entity: `events` itself, or anything
     cheaper that has at least as many rows per entity.
     """
-    if strict:
-        events = events.filter(F.col("event_created_at").isNotNull())
-    # The entity is null in no row of `events`.
-    large = large_entities(events if sizes is None else sizes, max_rows)
-    found = _compared(_in_pieces(events, large), attributes, strict)
-    return found.select(
-        "repo_name",
-        *[a.name for a in attributes],
-        F.col("event_created_at").alias("valid_from"),
-        "valid_to",
-    )
+    names = [a.name for a in attributes]
+    found = _ended(_opened(events, strict, attributes, sizes, max_rows))
+    return found.select("repo_name", *names, F.col("event_created_at").alias("valid_from"), "valid_to")
 
 
-def change_log(events: DataFrame, **options) -> DataFrame:
-    """The events that open versions, without intervals. Options as for `versions`."""
-    return versions(events, **options).drop("valid_to")
+def change_log(
+    events: DataFrame,
+    *,
+    strict: bool = True,
+    attributes: tuple[Attribute, ...] = ENTITY_ATTRIBUTES,
+    sizes: DataFrame | None = None,
+    max_rows: int = MAX_ROWS_PER_TASK,
+) -> DataFrame:
+    """The events that open versions, without looking for where these end. Options as for `versions`."""
+    found = _opened(events, strict, attributes, sizes, max_rows)
+    return found.select("repo_name", *[a.name for a in attributes], F.col("event_created_at").alias("valid_from"))
 
 
 def dimension(events: DataFrame, attributes: tuple[Attribute, ...] = ENTITY_ATTRIBUTES, **options) -> DataFrame:

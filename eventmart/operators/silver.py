@@ -47,6 +47,18 @@ def recent_facts(raw: DataFrame, since: Column) -> DataFrame:
     return event_facts(copies).filter(recent)
 
 
+def copies_about(raw: DataFrame, entity: str) -> DataFrame:
+    """All copies of the events that any copy says to be one of an entity: enough for the entity's history.
+
+    The payload is read of these alone.
+    """
+    ids = raw.filter((F.col("repo_name") == entity) & F.col("event_id").isNotNull()).select("event_id").distinct()
+    wanted = ids.select(F.col("event_id").alias("_wanted"))
+    found = raw.join(wanted, F.col("event_id") == F.col("_wanted"), "left_semi")
+    # Rows without an id count as copies of each other.
+    return found.unionByName(raw.filter("event_id is null"))
+
+
 def entity_events(raw: DataFrame, attributes: tuple[Attribute, ...] = ENTITY_ATTRIBUTES) -> DataFrame:
     """The entity snapshot each silver event carries.
 

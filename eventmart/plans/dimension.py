@@ -1,8 +1,9 @@
 """The versioned dimension as a table: built in full, or brought up to date load by load.
 
-Any sequence of updates gives the table a full build gives. The table is partitioned by a bucket of
-the entity and the month a version opens in, so an update rewrites the recent months of the entities
-it touches, and not the whole history of a busy one.
+Any sequence of updates gives the table a full build gives. The versions in force are a partition of their own for
+each bucket of entities; past ones are partitioned by the bucket and the month they open in. So an update
+rewrites what is in force and the recent months of the entities it touches, not the whole history of a busy one, and
+only where a version changes.
 
 An update works per touched entity from `since`, the earliest time among all copies of the events
 that came in, earlier copies included because a new copy may move an event. The version before that,
@@ -12,6 +13,7 @@ the anchor, tells the attributes in force, so events before `since` need not be
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,8 @@ from eventmart.sources.progress import DIMENSION as NAME
 from eventmart.sources.progress import EVERYTHING
 from eventmart.sources.staging import dropped_after, stage
 
-_PARTITION = ["bucket", "valid_month"]
+_PARTITION = ["state", "bucket", "valid_month"]
+_IN_FORCE, _PAST = "in_force", "past"
 
 
 def _partition() -> Column:
@@ -73,7 +76,8 @@ class DimensionTable:
             raise ValueError(f"the table has {built} buckets, not {self.buckets}: pass that number, or build it anew")
 
     def _stored(self) -> DataFrame:
-        parts = [T.StructField(p, T.IntegerType()) for p in _PARTITION]
+        kinds = {"state": T.StringType()}
+        parts = [T.StructField(p, kinds.get(p, T.IntegerType())) for p in _PARTITION]
         schema = T.StructType(dimension_schema(self.all_attributes()).fields + parts)
         return self.spark.read.schema(schema).parquet(self.layout.dimension)
 
@@ -81,6 +85,14 @@ class DimensionTable:
         """The table. Columns that are newer than a row are null in it."""
         return self._stored().drop(*_PARTITION)
 
+    def read_current(self) -> DataFrame:
+        """The versions in force, from their partitions alone."""
+        return self._stored().filter(F.col("state") == _IN_FORCE).drop(*_PARTITION)
+
+    def high_water(self) -> datetime | None:
+        """The latest time a version opens at, as noted when the table was last written."""
+        return progress.high_water(self.spark, self.layout, NAME)
+
     def read_entity(self, name: str) -> DataFrame:
         """The versions of one entity, from its bucket alone."""
         self._check_buckets()
@@ -91,7 +103,14 @@ class DimensionTable:
 
     def _placed(self, rows: DataFrame) -> DataFrame:
         month = F.year("valid_from") * 100 + F.month("valid_from")
-        return rows.withColumn("bucket", bucket_of("repo_name", self.buckets)).withColumn("valid_month", month)
+        in_force = F.col("valid_to").isNull()
+        return rows.withColumns(
+            {
+                "state": F.when(in_force, _IN_FORCE).otherwise(_PAST),
+                "bucket": bucket_of("repo_name", self.buckets),
+                "valid_month": F.when(in_force, 0).otherwise(month),
+            }
+        )
 
     def _write(self, rows: DataFrame, mode: str) -> None:
         """Overwrite all partitions (static), or those that have rows (dynamic).
@@ -106,6 +125,11 @@ class DimensionTable:
             .parquet(self.layout.dimension)
         )
 
+    def _find_high_water(self) -> None:
+        """Note the latest time a version opens at: that version is in force."""
+        latest = self.read_current().agg(F.max("valid_from")).first()[0]
+        progress.set_high_water(self.spark, self.layout, NAME, latest)
+
     def build(self, loads: list[str] | None = None) -> None:
         """Build the whole table from bronze. `loads` are logged as done."""
         # Listed before bronze is, so that no load is logged as done that was not read.
@@ -120,6 +144,7 @@ class DimensionTable:
         progress.started(self.spark, self.layout, NAME, done, [EVERYTHING])
         self._note_columns(self.attributes)
         self._write(self._placed(rows), "static")
+        self._find_high_water()
         progress.finished(self.spark, self.layout, NAME, done)
 
     def _rebuild_buckets(self, buckets: list[int], loads: list[str]) -> None:
@@ -131,8 +156,10 @@ class DimensionTable:
         events = entity_events(raw, attributes).filter(in_buckets)
         rows = dimension(events, attributes, sizes=raw.select("repo_name").filter(in_buckets), max_rows=self.max_rows)
         for bucket in buckets:
-            files.delete(self.spark, f"{self.layout.dimension}/bucket={bucket}")
+            for state in (_IN_FORCE, _PAST):
+                files.delete(self.spark, f"{self.layout.dimension}/state={state}/bucket={bucket}")
         self._write(self._placed(rows), "dynamic")
+        self._find_high_water()
         progress.finished(self.spark, self.layout, NAME, loads)
 
     def recover(self) -> None:
@@ -161,34 +188,37 @@ class DimensionTable:
             .agg(F.min("event_created_at").alias("since"))
             .withColumn("bucket", bucket_of("repo_name", self.buckets))
         )
-        touched, seen = stage(touched, "touched", since=F.min("since"))
+        own = F.collect_set(copies.bucket("repo_name", self.spark, self.layout))
+        touched, seen = stage(touched, "touched", since=F.min("since"), index=own, buckets=F.collect_set("bucket"))
         if seen["since"] is None:
             progress.finished(self.spark, self.layout, NAME, loads)
             return None
 
-        events = self._events_since(touched, seen["since"])
-        self._replace(touched, events, loads)
+        events = self._events_since(touched, seen["since"], seen["index"])
+        self._replace(touched, sorted(seen["buckets"]), events, loads)
         return None
 
-    def _events_since(self, touched: DataFrame, since) -> DataFrame:
+    def _events_since(self, touched: DataFrame, since: datetime, buckets: list[int]) -> DataFrame:
         """Silver events of the touched entities from `since` on.
 
         An event may have copies that name other entities or times, so first come the ids with any
         copy in reach, then all copies of those, then the dedup. The index tells the ids, and the folders of
         bronze their copies are in, which are the only ones opened.
         """
-        ids, _ = stage(copies.since(touched, self.layout, since).distinct(), "reach-ids")
-        found, seen = stage(copies.find(ids, self.layout), "copies", low=F.min("event_id"), high=F.max("event_id"))
-        parts = [part_of(r["ingested_date"], r["load"]) for r in found.select("ingested_date", "load").distinct().collect()]
+        ids, _ = stage(copies.since(touched, self.layout, since, buckets).distinct(), "reach-ids")
+        # As many as there are folders at most.
+        places = F.collect_set(F.struct("ingested_date", "load"))
+        found = copies.find(ids, self.layout)
+        _, seen = stage(found, "copies", low=F.min("event_id"), high=F.max("event_id"), places=places)
+        parts = [part_of(p["ingested_date"], p["load"]) for p in seen["places"]]
         raw = copies_of(read_parts(self.spark, self.layout, sorted(parts)), ids, seen["low"], seen["high"])
         events = entity_events(raw, self.attributes)
         same = (events["repo_name"] == touched["repo_name"]) & (events["event_created_at"] >= touched["since"])
         return stage(events.join(touched, same, "left_semi"), "events")[0]
 
-    def _replace(self, touched: DataFrame, events: DataFrame, loads: list[str]) -> None:
+    def _replace(self, touched: DataFrame, buckets: list[int], events: DataFrame, loads: list[str]) -> None:
         attributes = self.all_attributes()
         names = [a.name for a in attributes]
-        buckets = sorted(r["bucket"] for r in touched.select("bucket").distinct().collect())
         stored = self._stored().filter(F.col("bucket").isin(buckets))
 
         before = stored.join(touched.select("repo_name", "since"), "repo_name").filter("valid_from < since")
@@ -207,18 +237,23 @@ class DimensionTable:
             attributes,
             max_rows=self.max_rows,
         )
-        fresh, _ = stage(self._placed(fresh), "fresh")
+        fresh, newest = stage(self._placed(fresh), "fresh", at=F.max("valid_from"))
 
         # Stored versions from the anchor on are replaced, in the partitions where any of them changes.
         bounds = touched.join(anchors, "repo_name", "left").select(
             "repo_name", F.coalesce("anchor.valid_from", "since").alias("bound")
         )
         replaced = (stored["repo_name"] == bounds["repo_name"]) & (stored["valid_from"] >= bounds["bound"])
-        parts = self._changed(stored.join(bounds, replaced, "left_semi"), fresh).collect()
+        old = stored.join(bounds, replaced, "left_semi")
+        parts = self._changed(old, fresh).collect()
         if not parts:
             self._note_columns(attributes)
             progress.finished(self.spark, self.layout, NAME, loads)
             return
+        mark, opened = self.high_water(), newest["at"]
+        is_newest = opened is not None and (mark is None or opened >= mark)
+        # Only where the newest version may be gone is it asked whether it is.
+        gone = not is_newest and old.agg(F.max("valid_from")).first()[0] == mark
         changed = [p["part"] for p in parts]
         fresh = fresh.filter(_partition().isin(changed))
         rewritten = stored.filter(_partition().isin(changed))
@@ -232,11 +267,15 @@ class DimensionTable:
             emptied -= {r["part"] for r in still.collect()}
 
         self._note_columns(attributes)
-        progress.started(self.spark, self.layout, NAME, loads, sorted({int(p.split("/")[0]) for p in changed}))
+        progress.started(self.spark, self.layout, NAME, loads, sorted({int(p.split("/")[1]) for p in changed}))
         self._write(kept.unionByName(fresh), "dynamic")
         for part in emptied:
-            bucket, month = part.split("/")
-            files.delete(self.spark, f"{self.layout.dimension}/bucket={bucket}/valid_month={month}")
+            named = "/".join(f"{p}={v}" for p, v in zip(_PARTITION, part.split("/"), strict=True))
+            files.delete(self.spark, f"{self.layout.dimension}/{named}")
+        if is_newest:
+            progress.set_high_water(self.spark, self.layout, NAME, opened)
+        elif gone:
+            self._find_high_water()
         progress.finished(self.spark, self.layout, NAME, loads)
 
     @staticmethod

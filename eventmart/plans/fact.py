@@ -122,7 +122,7 @@ class FactTable:
 
     def compact(self, days: list[date | None]) -> None:
         """Put the parts of some days together as one each, say once a day for the days before."""
-        path = self._note_days(self.spark.createDataFrame([(d,) for d in days], "day date"))
+        path = progress.note_days(self.layout, NAME, self.spark.createDataFrame([(d,) for d in days], "day date"))
         part = os.path.basename(path)
         staged, _ = stage(_summed(self._references(days)).drop("event_date"), "references")
         progress.started(self.spark, self.layout, NAME, [], [path])
@@ -138,8 +138,10 @@ class FactTable:
         """Build the whole table from bronze. `loads` are logged as done."""
         # Listed before bronze is, so that no load is logged as done that was not read.
         done = loads if loads is not None else progress.pending(self.spark, self.layout, NAME)
-        later = [load for load in progress.pending(self.spark, self.layout, NAME) if load not in done]
-        raw = read_raw_events(self.spark, self.layout).filter(~F.col("load").isin(later))
+        raw = read_raw_events(self.spark, self.layout)
+        # Its files are listed by now, so a load that comes later is not read.
+        later = [load for load in self._out() if load not in done]
+        raw = raw.filter(~F.col("load").isin(later))
         progress.started(self.spark, self.layout, NAME, done, [EVERYTHING])
         files.delete(self.spark, self.layout.references)
         self._write_references(references(event_facts(raw), F.lit(1)), uuid.uuid4().hex)
@@ -157,18 +159,25 @@ class FactTable:
             pending = progress.pending(self.spark, self.layout, NAME)
             wanted = sorted({load for load in loads if load in pending} | set(died))
             if wanted:
-                self._merge(wanted, [load for load in pending if load not in wanted])
+                self._merge(wanted)
         return None
 
-    def _merge(self, loads: list[str], later: list[str]) -> None:
-        """Take some loads in; `later` are those in bronze that stay out."""
+    def _out(self) -> list[str]:
+        """Loads that the table has not taken in; on its way before pending, as a load goes from the one to the other."""
+        arriving = progress.arriving(self.spark, self.layout)
+        return sorted({*arriving, *progress.pending(self.spark, self.layout, NAME)})
+
+    def _merge(self, loads: list[str]) -> None:
+        """Take some loads in."""
         found, _ = stage(copies.find(read_loads(self.spark, self.layout, loads), self.layout), "copies")
+        # Listed when the copies have been read: whatever load they are of is known by then.
+        later = [load for load in self._out() if load not in loads]
         after = event_facts(found.filter(~F.col("load").isin(later)))
         before = event_facts(found.filter(~F.col("load").isin([*later, *loads])))
         changes = references(after.withColumn("_n", F.lit(1)).unionByName(before.withColumn("_n", F.lit(-1))), F.col("_n"))
         changes, _ = stage(changes, "changes")
         keys, _ = stage(changes.select("event_hour", "event_type").distinct(), "keys")
-        path = self._note_days(keys.select(F.to_date("event_hour").alias("day")))
+        path = progress.note_days(self.layout, NAME, keys.select(F.to_date("event_hour")))
         days = [r["day"] for r in self.spark.read.schema("day date").parquet(path).collect()]
         if days:
             progress.started(self.spark, self.layout, NAME, loads, [path])
@@ -204,19 +213,13 @@ class FactTable:
         raw = read_raw_events(self.spark, self.layout)
         recent = raw.filter(F.col("event_created_at") >= F.lit(since)).select(_day().alias("day"))
         stored = self.read().filter(F.col("event_date") >= F.lit(since.date())).select("event_date")
-        path = self._note_days(recent.union(stored))
+        path = progress.note_days(self.layout, NAME, recent.union(stored))
         progress.started(self.spark, self.layout, NAME, [], [path])
         self._recover()
         return None
 
     # -- recovery
 
-    def _note_days(self, days: DataFrame) -> str:
-        """Write the distinct days of a frame to a folder, whose name is returned."""
-        path = f"{self.layout.days(NAME)}/{uuid.uuid4().hex}"
-        days.toDF("day").distinct().coalesce(1).write.parquet(path)
-        return path
-
     def _recover(self) -> list[str] | None:
         """Make the days that an earlier run died over anew from bronze, as if it had not begun.
 
@@ -228,9 +231,8 @@ class FactTable:
         if scope:
             noted = self.spark.read.schema("day date").parquet(*scope).distinct()
             days = [r["day"] for r in noted.collect()]
-            out = sorted({*loads, *progress.pending(self.spark, self.layout, NAME)})
             with dropped_after(self.spark):
-                self._rebuild(_Days.of_list(days, noted), days, out)
+                self._rebuild(_Days.of_list(days, noted), days, set(loads))
         # The loads stay pending; only now may the notes go.
         for load in loads:
             progress.wait(self.spark, self.layout, NAME, load)
@@ -239,13 +241,14 @@ class FactTable:
             files.delete(self.spark, path)
         return loads
 
-    def _rebuild(self, days: _Days, listed: list[date | None], out: list[str]) -> None:
-        """Days made anew from bronze without some loads.
+    def _rebuild(self, days: _Days, listed: list[date | None], loads: set[str]) -> None:
+        """Days made anew from bronze, without these loads and others that are not taken in.
 
         Copies of an event may name other days, so first come the ids with any copy on the days,
         then all copies of those, then the dedup.
         """
-        raw = read_raw_events(self.spark, self.layout).filter(~F.col("load").isin(out))
+        raw = read_raw_events(self.spark, self.layout)
+        raw = raw.filter(~F.col("load").isin(sorted({*loads, *self._out()})))
         ids, seen = stage(
             days.of(raw).select("event_id").distinct(), "day-ids", low=F.min("event_id"), high=F.max("event_id")
         )

@@ -7,10 +7,11 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from eventmart.operators import quality
 from eventmart.operators.silver import event_facts, silver_events
+from eventmart.plans.checks import CheckLedger
 from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import FactTable
 from eventmart.session import configure
@@ -49,6 +50,22 @@ def update_gold(spark: SparkSession, layout: Layout, mode: str = INCREMENTAL) ->
             table.update(missing)
 
 
+def refresh_gold(spark: SparkSession, layout: Layout, interval: str = "5 minutes") -> StreamingQuery:
+    """Bring gold up to date at an interval of its own, until the query is stopped.
+
+    Ingest only marks loads as pending; each time, all that are pending are taken in as one update, however
+    many there are. Nothing is done where there are none. It must be the only writer of the gold tables.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def run(tick: DataFrame, number: int) -> None:
+        if files.directories_in(spark, layout.raw_events):
+            update_gold(spark, layout)
+
+    writer = ticks.writeStream.option("checkpointLocation", layout.checkpoint("gold")).foreachBatch(run)
+    return writer.trigger(processingTime=interval).start()
+
+
 def compact_bronze(spark: SparkSession, layout: Layout, loads: list[str], into: str) -> None:
     """Write many small loads as one, say once a day, so that files stay few and large.
 
@@ -64,6 +81,11 @@ def compact_bronze(spark: SparkSession, layout: Layout, loads: list[str], into:
     missing = [load for load in loads if not has_load(spark, layout, load)]
     if missing:
         raise ValueError(f"no such loads: {missing}")
+    if files.exists(spark, layout.ledger):
+        CheckLedger(spark, layout).update()
+    else:
+        # Nothing is counted yet, so that no load need be counted by itself.
+        progress.finished(spark, layout, progress.CHECKS, loads)
     files.write_text(spark, layout.compacting, json.dumps({"loads": loads, "into": into}))
     write_load(read_loads(spark, layout, loads), layout, into, rebalance=True)
     finish_compaction(spark, layout)
@@ -125,6 +147,8 @@ def run_pipeline(
 ) -> Result:
     """Publish new events, drain the source into bronze, check, update gold, check.
 
+    An incremental run checks bronze and silver by the loads that are new.
+
     `events` are published to `sink`, from which `source` reads; without them that step is left out. With `ingest=False` only silver and gold are refreshed. `now` turns on the freshness check of
     bronze. Failed checks of severity error stop the run.
     """
@@ -139,12 +163,9 @@ def run_pipeline(
             raise ValueError("a source is needed to ingest")
         result.ingested = drain(spark, source, layout)
 
-    raw = read_raw_events(spark, layout)
-    reports = [quality.run_checks(raw, quality.BRONZE)]
-    if now is not None:
-        reports.append(quality.freshness(raw, quality.BRONZE, "ingested_at", now))
-    _check(result, *reports)
-    _check(result, quality.run_checks(event_facts(raw), quality.SILVER))
+    ledger = CheckLedger(spark, layout)
+    ledger.build() if mode == FULL else ledger.update()
+    _check(result, ledger.report(now))
 
     update_gold(spark, layout, mode)
     _check(

@@ -17,14 +17,14 @@ from eventmart.operators.decode import bronze_rows, dead_letters, decode
 from eventmart.operators.hourly import hourly_fact
 from eventmart.operators.publish import as_messages, keyed_events, new_events
 from eventmart.operators.scd2 import change_log, dimension
-from eventmart.operators.silver import entity_events, event_facts, recent_facts, silver_events, typed_events
+from eventmart.operators.silver import copies_about, entity_events, event_facts, recent_facts, silver_events, typed_events
 from eventmart.plans import marts
 from eventmart.plans.dimension import DimensionTable
 from eventmart.plans.fact import LOOKBACK_HOURS, FactTable
 from eventmart.schemas import RAW_EVENTS
 from eventmart.session import configure, scratch_dir
 from eventmart.sources import fixtures, progress
-from eventmart.sources.bronze import create_tables, read_raw_events, write_load
+from eventmart.sources.bronze import create_tables, read_days, write_load
 from eventmart.sources.layout import Layout
 from eventmart.sources.messages import file_sink, file_source
 from eventmart.streaming.ingest import drain
@@ -40,6 +40,8 @@ SCAN_DAY = datetime(2024, 1, 10)
 ENTITY = "repo/3"
 ACCEPTED = ("click", "view", "purchase", "signup")
 BATCHES = 3
+# Parts of the index in tables as small as these.
+COPY_BUCKETS = 4
 # Rows a task may hold in the queries on skewed events.
 LARGE = 100
 
@@ -85,10 +87,9 @@ def bronze_malformed(spark, sf_dir):
 
 @_query
 def bronze_partition_scan(spark, sf_dir):
-    layout = Layout(scratch_dir(spark, "bronze"))
+    layout = Layout(scratch_dir(spark, "bronze"), copy_buckets=COPY_BUCKETS)
     write_load(_raw(spark, sf_dir), layout, "seed", rebalance=True)
-    one_day = F.col("ingested_date") == F.lit(SCAN_DAY.date())
-    rows = read_raw_events(spark, layout).filter(one_day & (F.col("event_type") == "click"))
+    rows = read_days(spark, layout, [SCAN_DAY.date()]).filter(F.col("event_type") == "click")
     return rows.select(*RAW_EVENTS.fieldNames())
 
 
@@ -111,7 +112,7 @@ def publish_dedup(spark, sf_dir):
 def stream_publish(spark, sf_dir):
     """Published by two jobs: the second finds messages the first has sent, and new ones."""
     root = scratch_dir(spark, "publish")
-    layout, sink = Layout(root), file_sink(f"{root}/out")
+    layout, sink = Layout(root, published_buckets=COPY_BUCKETS), file_sink(f"{root}/out")
     messages = fixtures.messages(spark, sf_dir)
     early = F.pmod(F.xxhash64("offset"), F.lit(2)) == 0
     for rows in (messages.filter(early), messages.filter(~early)):
@@ -179,7 +180,8 @@ def highwater_filter(spark, sf_dir):
     """Events newer than the newest version of a dimension that saw the first half of the month."""
     raw = _raw(spark, sf_dir)
     first_half = raw.filter(F.col("event_created_at") < F.lit(SPLIT_AT))
-    mark = _dimension(first_half).agg(
+    opened = change_log(entity_events(first_half), sizes=first_half.select("repo_name"))
+    mark = opened.agg(
         F.coalesce(F.max("valid_from"), F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")).alias("mark")
     )
     events = event_facts(raw).filter(F.col("repo_name").isNotNull())
@@ -205,7 +207,7 @@ def hourly_lookback(spark, sf_dir):
 
 def _batches(spark: SparkSession, sf_dir: str, name: str) -> tuple[Layout, list[DataFrame]]:
     """The raw events in batches, out of order, copies of an event in different ones."""
-    layout = Layout(scratch_dir(spark, name))
+    layout = Layout(scratch_dir(spark, name), copy_buckets=COPY_BUCKETS)
     create_tables(spark, layout)
     raw = _raw(spark, sf_dir)
     number = F.pmod(F.xxhash64("event_id", "ingested_at"), F.lit(BATCHES))
@@ -238,16 +240,26 @@ def hourly_incremental(spark, sf_dir):
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str, table_of) -> DataFrame:
-    """Messages written as files, read as a stream in batches, each taken on to a gold table."""
+    """Messages written as files, read as a stream in batches; gold takes in what is pending when half are there, and at the end."""
     root = scratch_dir(spark, name)
-    layout = Layout(root)
+    layout = Layout(root, copy_buckets=COPY_BUCKETS)
     messages = fixtures.messages(spark, sf_dir)
     slices = F.pmod(F.xxhash64("key"), F.lit(BATCHES))
     messages.withColumn("slice", slices).write.partitionBy("slice").parquet(f"{root}/messages")
     files = len(spark.read.parquet(f"{root}/messages").inputFiles())
     table = table_of(layout)
     source = file_source(f"{root}/messages/slice=*", files_per_batch=ceil(files / BATCHES))
-    drain(spark, source, layout, after_load=lambda load: table.update([load]))
+    waiting: list[str] = []
+
+    def refresh(load: str) -> None:
+        waiting.append(load)
+        if len(waiting) > BATCHES // 2:
+            table.update(waiting)
+            waiting.clear()
+
+    drain(spark, source, layout, after_load=refresh)
+    if waiting:
+        table.update(waiting)
     return table.read()
 
 
@@ -291,7 +303,8 @@ def entities_current(spark, sf_dir):
 
 @_query
 def entity_history(spark, sf_dir):
-    return marts.entity_history(scd2_full(spark, sf_dir), ENTITY)
+    """The history of one entity, from its own events."""
+    return marts.entity_history(_dimension(copies_about(_raw(spark, sf_dir), ENTITY)), ENTITY)
 
 
 @_query

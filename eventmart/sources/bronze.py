@@ -4,6 +4,9 @@ A load is written once, to a folder of its own outside the tables, good rows by
 folders are moved to `ingested_date=<day>/load=<id>`, and a note says which days it has. So readers that know the
 days or the loads they want open nothing else. Writing a load again replaces it, so a replayed batch adds no
 rows. Each load also adds its part to the index of copies.
+
+While a load is written a marker says so, since tables that merge changes must not count a part of it. One that
+is replaced after the hourly fact took it in makes the fact compute the days it is about anew.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.schemas import DEAD_LETTER, RAW_EVENTS
-from eventmart.sources import copies, files
+from eventmart.sources import copies, files, progress
 from eventmart.sources.layout import Layout
 
 _LOAD = [T.StructField("load", T.StringType())]
@@ -47,7 +50,10 @@ def write_load(rows: DataFrame, layout: Layout, load: str, *, rebalance: bool =
 
 
 def write_batch(decoded: DataFrame, layout: Layout, load: str) -> None:
-    """Write decoded messages as one load, in one pass: those with a `reason` to the dead letter table."""
+    """Write decoded messages as one load, in one pass: those with a `reason` to the dead letter table.
+
+    The gold tables lack the load from then on.
+    """
     is_good = F.col("reason").isNull()
 
     def only(condition: Column, names: list[str]) -> list[Column]:
@@ -59,10 +65,10 @@ def write_batch(decoded: DataFrame, layout: Layout, load: str) -> None:
         F.when(is_good, F.to_date("ingested_at")).alias("ingested_date"),
         F.when(is_good, _GOOD).otherwise(_BAD).alias("kind"),
     )
-    _write(rows, layout, load)
+    _write(rows, layout, load, pending=True)
 
 
-def _write(rows: DataFrame, layout: Layout, load: str) -> None:
+def _write(rows: DataFrame, layout: Layout, load: str, pending: bool = False) -> None:
     (
         rows.sortWithinPartitions("kind", "ingested_date", "event_type", "repo_name")
         .write.mode("overwrite")
@@ -70,12 +76,21 @@ def _write(rows: DataFrame, layout: Layout, load: str) -> None:
         .partitionBy("kind", "ingested_date")
         .parquet(layout.incoming(load))
     )
-    _take_in(rows.sparkSession, layout, load)
+    _take_in(rows.sparkSession, layout, load, pending)
 
 
-def _take_in(spark: SparkSession, layout: Layout, load: str) -> None:
+def _take_in(spark: SparkSession, layout: Layout, load: str, pending: bool) -> None:
     """Move what was written for a load into the tables, in place of an earlier try."""
-    written = layout.incoming(load)
+    written, arriving = layout.incoming(load), f"{layout.arriving}/{load}"
+    again = has_load(spark, layout, load)
+    if again and load not in progress.pending(spark, layout, progress.FACT):
+        # The fact has counted it. The days of all copies of its events are told before it is replaced.
+        days = copies.find(read_loads(spark, layout, [load]), layout).select(F.to_date("event_created_at"))
+        path = progress.note_days(layout, progress.FACT, days)
+        progress.started(spark, layout, progress.FACT, [], [path])
+    if again and load not in progress.pending(spark, layout, progress.CHECKS):
+        progress.started(spark, layout, progress.CHECKS, [], [progress.EVERYTHING])
+    files.write_text(spark, arriving, "")
     days = files.directories_in(spark, f"{written}/kind={_GOOD}")
     earlier = days_of(spark, layout, load)
     # Noted before the first is moved, so that whatever comes of it is found and replaced.
@@ -88,9 +103,16 @@ def _take_in(spark: SparkSession, layout: Layout, load: str) -> None:
     files.delete(spark, f"{layout.dead_letter}/load={load}")
     if files.exists(spark, dead):
         files.move(spark, dead, f"{layout.dead_letter}/load={load}")
+    if again:
+        copies.remove(spark, layout, load)
     copies.add(read_loads(spark, layout, [load]), layout, load)
     _note_days(spark, layout, load, days)
     files.delete(spark, written)
+    if pending:
+        for table in progress.TABLES:
+            progress.wait(spark, layout, table, load)
+    # Last, so that at any time it is known to be on its way, or pending.
+    files.delete(spark, arriving)
 
 
 def _note_days(spark: SparkSession, layout: Layout, load: str, days: list[str]) -> None:
@@ -135,7 +157,9 @@ def read_parts(spark: SparkSession, layout: Layout, parts: list[str]) -> DataFra
 
 def read_loads(spark: SparkSession, layout: Layout, loads: list[str]) -> DataFrame:
     """The rows of some loads."""
-    return read_parts(spark, layout, [f"{day}/load={load}" for load in loads for day in days_of(spark, layout, load)])
+    parts = [f"{day}/load={load}" for load in loads for day in days_of(spark, layout, load)]
+    # One that is being replaced may lack some of its folders.
+    return read_parts(spark, layout, [p for p in parts if files.exists(spark, f"{layout.raw_events}/{p}")])
 
 
 def read_days(spark: SparkSession, layout: Layout, days: list) -> DataFrame:

@@ -98,26 +98,30 @@ def find(rows: DataFrame, layout: Layout) -> DataFrame:
     """All copies of the events whose ids `rows` has, with the day and load each is in."""
     spark = rows.sparkSession
     ids = rows.select("event_id").distinct().withColumn("bucket", bucket_of("event_id", _buckets(spark, layout)))
-    ids, seen = stage(ids, "ids", low=F.min("event_id"), high=F.max("event_id"))
     # One number for each bucket at most.
-    wanted = [f"kind={_BY_ID}/bucket={r['bucket']}" for r in ids.select("bucket").distinct().collect()]
+    ids, seen = stage(ids, "ids", low=F.min("event_id"), high=F.max("event_id"), buckets=F.collect_set("bucket"))
+    wanted = [f"kind={_BY_ID}/bucket={b}" for b in sorted(seen["buckets"])]
     folders = [f for f in wanted if files.exists(spark, f"{layout.copies}/{f}")]
     return copies_of(_read(spark, layout, folders), ids, seen["low"], seen["high"]).drop("kind", "bucket", "month")
 
 
-def since(touched: DataFrame, layout: Layout, earliest: datetime) -> DataFrame:
+def bucket(entity: str, spark: SparkSession, layout: Layout) -> Column:
+    """The bucket of the index that an entity's events are in."""
+    return bucket_of(entity, _buckets(spark, layout))
+
+
+def since(touched: DataFrame, layout: Layout, earliest: datetime, buckets: list[int]) -> DataFrame:
     """The ids of events that any copy says to be one of a touched entity, at or after its time `since`.
 
-    `touched` has one row for each entity; `earliest` is the first of their times.
+    `touched` has one row for each entity; `earliest` is the first of their times, `buckets` theirs in the index.
     """
     spark = touched.sparkSession
-    numbered = touched.select("repo_name", "since", bucket_of("repo_name", _buckets(spark, layout)).alias("_bucket"))
     folders = []
-    for row in numbered.select("_bucket").distinct().collect():
-        bucket = f"kind={_BY_ENTITY}/bucket={row['_bucket']}"
-        months = files.directories_in(spark, f"{layout.copies}/{bucket}")
-        folders += [f"{bucket}/{m}" for m in months if int(m.removeprefix("month=")) >= earliest.year * 100 + earliest.month]
+    for number in sorted(buckets):
+        folder = f"kind={_BY_ENTITY}/bucket={number}"
+        months = files.directories_in(spark, f"{layout.copies}/{folder}")
+        folders += [f"{folder}/{m}" for m in months if int(m.removeprefix("month=")) >= earliest.year * 100 + earliest.month]
     events = _read(spark, layout, folders).filter(F.col("event_created_at") >= F.lit(earliest))
-    wanted = numbered.select(F.col("repo_name").alias("_name"), "since")
+    wanted = touched.select(F.col("repo_name").alias("_name"), "since")
     same = (F.col("repo_name") == F.col("_name")) & (F.col("event_created_at") >= F.col("since"))
     return events.join(wanted, same, "left_semi").select("event_id")

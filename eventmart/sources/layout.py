@@ -52,6 +52,10 @@ class Layout:
     def incoming(self, load: str) -> str:
         return self.path("ops", f"incoming/{load}")
 
+    @property
+    def arriving(self) -> str:
+        return self.path("ops", "arriving")
+
     def load_days(self, load: str) -> str:
         return self.path("ops", f"loads/{load}.json")
 
@@ -63,6 +67,10 @@ class Layout:
     def references(self) -> str:
         return self.path("ops", "references")
 
+    @property
+    def ledger(self) -> str:
+        return self.path("ops", "check_ledger")
+
     def days(self, table: str) -> str:
         return self.path("ops", f"days/{table}")
 

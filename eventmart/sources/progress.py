@@ -18,6 +18,9 @@ from eventmart.sources.layout import Layout
 
 DIMENSION = "dim_repo_scd2"
 FACT = "fct_events_hourly"
+CHECKS = "checks"
+# What takes in loads one by one.
+TABLES = (DIMENSION, FACT, CHECKS)
 # Scope of a write of the whole table.
 EVERYTHING = "*"
 
@@ -26,7 +29,7 @@ RUN_LOG = "logged_at timestamp, load string, rows_ingested long, dead_letters lo
 
 def loaded(spark: SparkSession, layout: Layout, load: str, rows: int, dead_letters: int) -> None:
     """Note a load that is in bronze: the gold tables lack it, and the run log counts it."""
-    for table in (DIMENSION, FACT):
+    for table in TABLES:
         wait(spark, layout, table, load)
     _log(spark, layout, load, rows_ingested=rows, dead_letters=dead_letters)
 
@@ -57,6 +60,18 @@ def pending(spark: SparkSession, layout: Layout, table: str) -> list[str]:
     return files.names_in(spark, layout.pending(table))
 
 
+def arriving(spark: SparkSession, layout: Layout) -> list[str]:
+    """Loads that are being written, or were when a run died."""
+    return files.names_in(spark, layout.arriving)
+
+
+def note_days(layout: Layout, table: str, days: DataFrame) -> str:
+    """Write the distinct days of a frame to a folder, whose name can be the scope of a write."""
+    path = f"{layout.days(table)}/{uuid.uuid4().hex}"
+    days.toDF("day").distinct().coalesce(1).write.parquet(path)
+    return path
+
+
 def started(spark: SparkSession, layout: Layout, table: str, loads: list[str], scope: list) -> None:
     """Note that partitions in `scope` are about to be overwritten for these loads."""
     text = json.dumps({"loads": loads, "scope": scope})
@@ -95,6 +110,17 @@ def buckets(spark: SparkSession, layout: Layout, table: str) -> int | None:
     return _noted(spark, layout, table).get("buckets")
 
 
+def high_water(spark: SparkSession, layout: Layout, table: str) -> datetime | None:
+    """The largest time in the table when it was last written."""
+    path = f"{layout.columns(table)}-high-water"
+    text = files.read_text(spark, path) if files.exists(spark, path) else ""
+    return datetime.fromisoformat(text) if text else None
+
+
+def set_high_water(spark: SparkSession, layout: Layout, table: str, time: datetime | None) -> None:
+    files.write_text(spark, f"{layout.columns(table)}-high-water", time.isoformat() if time else "")
+
+
 def _noted(spark: SparkSession, layout: Layout, table: str) -> dict:
     path = layout.columns(table)
     return json.loads(files.read_text(spark, path)) if files.exists(spark, path) else {}

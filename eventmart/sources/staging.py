@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from eventmart.session import scratch_dir
@@ -32,6 +33,14 @@ def dropped_after(spark: SparkSession) -> Iterator[None]:
             files.delete(spark, path)
 
 
+def observed(observation: Observation) -> dict[str, Any]:
+    """What was observed while writing; nothing where Spark found out that there is nothing to write."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def stage(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, Any]]:
     """Write `rows`, and return them as read back, with the metrics observed while writing."""
     spark = rows.sparkSession
@@ -39,10 +48,11 @@ def stage(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dic
     if (staged := _STAGED.get()) is not None:
         staged.append(path)
     seen: dict[str, Any] = dict.fromkeys(metrics)
-    if metrics:
-        observation = Observation()
-        rows.observe(observation, *[c.alias(k) for k, c in metrics.items()]).write.parquet(path)
-        seen |= observation.get
-    else:
+    named = [c.alias(k) for k, c in metrics.items()]
+    if not named:
         rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path), seen
+        return spark.read.schema(rows.schema).parquet(path), seen
+    observation = Observation()
+    rows.observe(observation, *named).write.parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    return staged, seen | (observed(observation) or staged.agg(*named).first().asDict())

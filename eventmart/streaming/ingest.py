@@ -19,6 +19,7 @@ from eventmart.sources import files, progress
 from eventmart.sources.bronze import create_tables, write_batch
 from eventmart.sources.layout import Layout
 from eventmart.sources.messages import CONTINUOUS_INTERVAL, Source
+from eventmart.sources.staging import observed
 
 STREAM = "ingest"
 
@@ -44,7 +45,8 @@ def load_batch(
     seen, is_good = Observation(), F.col("reason").isNull()
     counts = F.count_if(is_good).alias("rows"), F.count_if(~is_good).alias("dead")
     write_batch(decoded.observe(seen, *counts), layout, load)
-    rows, dead = seen.get.get("rows") or 0, seen.get.get("dead") or 0
+    found = observed(seen)
+    rows, dead = found.get("rows") or 0, found.get("dead") or 0
     progress.loaded(spark, layout, load, rows, dead)
     return rows
 

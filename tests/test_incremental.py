@@ -36,7 +36,7 @@ class Tables:
 
     def __init__(self, spark, max_rows=10**6, buckets=2):
         self.spark = spark
-        self.layout = Layout(scratch_dir(spark, "tables"))
+        self.layout = Layout(scratch_dir(spark, "tables"), copy_buckets=2)
         self.dimension = DimensionTable(spark, self.layout, buckets=buckets, max_rows=max_rows)
         self.fact = FactTable(spark, self.layout)
         self.rows: list[tuple] = []
@@ -58,6 +58,10 @@ class Tables:
     def check(self) -> None:
         stored = stored_versions(self.dimension.read())
         assert Counter(stored) == Counter(strict_versions(self.rows))
+        opened = [v[4] for v in stored]
+        assert self.dimension.high_water() == max(opened, default=None)
+        current = stored_versions(self.dimension.read_current())
+        assert Counter(current) == Counter(v for v in stored if v[5] is None)
         stored = [tuple(r) for r in self.fact.read().drop("event_date").collect()]
         assert Counter(stored) == Counter(hourly(self.rows))
         for name in (progress.DIMENSION, progress.FACT):
@@ -107,7 +111,7 @@ def test_rows_without_entity_or_time_or_id(spark):
 def test_old_versions_of_a_busy_entity_are_not_rewritten(spark):
     tables = Tables(spark, buckets=1)
     tables.add([raw_row(str(i), "r", at(24 * 20 * i), at(0), stars=str(i)) for i in range(6)])
-    path = tables.layout.dimension + "/bucket=0/valid_month=202401"
+    path = tables.layout.dimension + "/state=past/bucket=0/valid_month=202401"
     before = files.names_in(spark, path)
     tables.add([raw_row("9", "r", at(24 * 110), at(1), stars="77")])
     assert files.names_in(spark, path) == before
@@ -123,7 +127,8 @@ def test_update_repairs_what_a_died_one_left(spark, broken):
     days = f"{tables.layout.days(progress.FACT)}/died"
     spark.createDataFrame([(date(2024, 2, 2),)], "day date").write.parquet(days)
     progress.started(spark, tables.layout, progress.FACT, [load], [days])
-    files.delete(spark, f"{tables.layout.dimension}/bucket=1")
+    files.delete(spark, f"{tables.layout.dimension}/state=past/bucket=1")
+    files.delete(spark, f"{tables.layout.dimension}/state=in_force/bucket=1")
     files.delete(spark, f"{tables.layout.fact}/event_date=2024-02-02")
     if broken == "cut short":
         for name in (progress.DIMENSION, progress.FACT):

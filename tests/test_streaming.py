@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from eventmart.operators.publish import as_messages, keyed_events, new_events
 from eventmart.plans.dimension import DimensionTable
+from eventmart.plans.fact import FactTable
+from eventmart.plans.pipeline import refresh_gold
 from eventmart.schemas import MESSAGE
 from eventmart.session import configure, scratch_dir
 from eventmart.sources import progress
@@ -49,7 +51,7 @@ def topic(spark):
         sent.extend(values)
         spark.createDataFrame(rows, MESSAGE).coalesce(1).write.mode("append").parquet(f"{root}/in")
 
-    return f"{root}/in", send, Layout(f"{root}/lake")
+    return f"{root}/in", send, Layout(f"{root}/lake", copy_buckets=2, published_buckets=4)
 
 
 def ids(spark, layout) -> list[str]:
@@ -140,6 +142,24 @@ def test_continuous_query_loads_until_stopped(spark, topic):
     assert ids(spark, layout) == ["e0", "e1"]
 
 
+def test_gold_is_refreshed_at_an_interval_of_its_own(spark, topic):
+    """All loads that are pending are taken in as one update."""
+    path, send, layout = topic
+    for n in range(3):
+        send(event(f"e{n}", stars=str(n), minute=n))
+    drain(spark, file_source(path, files_per_batch=1), layout)
+    assert len(progress.pending(spark, layout, progress.DIMENSION)) == 3
+    query = refresh_gold(spark, layout, interval="1 second")
+    try:
+        end = time.time() + 120
+        while time.time() < end and any(progress.pending(spark, layout, t) for t in (progress.DIMENSION, progress.FACT)):
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert DimensionTable(spark, layout).read().count() == 3
+    assert FactTable(spark, layout).read().agg(F.sum("event_count")).first()[0] == 3
+
+
 def test_batch_publish_first_arrival_of_string_ids_not_published_before(spark):
     configure(spark)
     values = [event("a", stars="1"), event("a", stars="2"), event(7), event(None), event("b"), event("c"), b"junk"]
