@@ -11,7 +11,8 @@ Words are compared by 64-bit hashes.
 
 Defined cases: a null text has no words; an item without words matches nothing; rows with the same id
 are documents of their own; rows of the benchmark with the same id are one item with all their phrases;
-an item without an id is left out; an empty benchmark finds nothing.
+the phrases of an item without an id are searched as well, and it is in no list of items; an empty benchmark
+finds nothing.
 """
 
 from __future__ import annotations
@@ -60,20 +61,22 @@ class Phrases:
     items: list[str]
 
     @classmethod
-    def of(cls, rows: list[tuple[str, str]], window: int) -> Phrases:
+    def of(cls, rows: list[tuple[str | None, str]], window: int) -> Phrases:
         data, offsets = utf8(pa.array([text for _, text in rows], pa.large_string()))
         data = LOWER[data]
         starts, ends, at = bounds(data, offsets, ALPHANUMERIC)
         words = hashes(data, starts, ends)
         vocabulary = np.unique(words)
         symbols = np.searchsorted(vocabulary, words) + 2
-        items = sorted({item for item, _ in rows})
+        items = sorted({item for item, _ in rows if item is not None})
         number = {item: k for k, item in enumerate(items)}
         found: dict[tuple[int, ...], set[int]] = {}
         for k, (item, _) in enumerate(rows):
             own = symbols[at[k] : at[k + 1]]
             for i in range(max(1, len(own) - window + 1) if len(own) else 0):
-                found.setdefault(tuple(own[i : i + window].tolist()), set()).add(number[item])
+                owners = found.setdefault(tuple(own[i : i + window].tolist()), set())
+                if item is not None:
+                    owners.add(number[item])
         lengths = np.array([len(p) for p in found], np.int64)
         patterns = np.zeros((len(found), window), np.int64)
         for k, p in enumerate(found):
@@ -154,8 +157,9 @@ def _search(phrases: Phrases):
         document, phrase = pairs // len(counts), pairs % len(counts)
         n = owner_at[phrase + 1] - owner_at[phrase]
         own = np.repeat(owner_at[phrase], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        pairs = np.unique(np.repeat(document, n) * len(phrases.items) + owners[own])
-        return np.cumsum(hit)[:-1] > 0, pairs // len(phrases.items), pairs % len(phrases.items)
+        many = max(len(phrases.items), 1)
+        pairs = np.unique(np.repeat(document, n) * many + owners[own])
+        return np.cumsum(hit)[:-1] > 0, pairs // many, pairs % many
 
     return find
 
@@ -164,12 +168,12 @@ def _items(benchmark: DataFrame, item_id: str, text: str, size: int) -> tuple[Da
     """The items that have a text, and in how many blocks of about `size` bytes they are taken."""
     items = benchmark.select(
         F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{text}`").cast("string").alias("text")
-    ).filter("item is not null and text is not null")
+    ).filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return items, -(-total // size)
 
 
-def _block(items: DataFrame, k: int, blocks: int) -> list[tuple[str, str]]:
+def _block(items: DataFrame, k: int, blocks: int) -> list[tuple[str | None, str]]:
     """One block. All rows of an item are in one."""
     own = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k) if blocks > 1 else items
     return [(r[0], r[1]) for r in own.collect()]
@@ -205,10 +209,12 @@ def find_contamination(
 
 def _scan(docs: DataFrame, text: str, phrases: Phrases, keep: list[str], again: bool, cut: bool) -> DataFrame:
     """One block's findings, joined to those of the blocks before."""
-    sent = docs.sparkSession.sparkContext.broadcast(phrases)
+    # Plain arrays, so that executors need no copy of the package.
+    own = (phrases.vocabulary, phrases.patterns, phrases.lengths, phrases.owner_rows, phrases.owners, phrases.items)
+    sent = docs.sparkSession.sparkContext.broadcast(own)
 
     def make():
-        phrases = sent.value
+        phrases = Phrases(*sent.value)
         find = _search(phrases)
 
         def work(texts, batch):

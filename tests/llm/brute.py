@@ -44,7 +44,7 @@ def contamination(documents, benchmark, window: int = 10) -> dict:
     for item, text in benchmark:
         words = ALNUM_WORDS.findall(lower(text))
         for i in range(max(1, len(words) - window + 1) if words else 0):
-            phrases[tuple(words[i : i + window])].add(str(item))
+            phrases[tuple(words[i : i + window])] |= {str(item)} if item is not None else set()
     sizes = {len(p) for p in phrases}
     out = {}
     for doc_id, text in documents:
@@ -52,7 +52,7 @@ def contamination(documents, benchmark, window: int = 10) -> dict:
         for n in sizes:
             for i in range(len(words) - n + 1):
                 own = phrases.get(tuple(words[i : i + n]))
-                if own:
+                if own is not None:
                     items |= own
                     hit |= set(range(i, i + n))
         out[doc_id] = (len(words), len(hit), sorted(items))

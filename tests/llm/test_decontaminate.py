@@ -92,3 +92,15 @@ def test_empty_tables_repeats_and_clashing_columns(spark, documents):
     found = find_contamination(twice, benchmark)
     assert found.columns == ["doc_id", "text", "lang", "source", "extra", "n_words", "n_hit", "hit_spans", "items"]
     assert found.count() == 5 and found.filter("doc_id is null").first()["n_hit"] == 2
+
+
+def test_an_item_without_an_id_is_searched(spark, documents):
+    words = [f"w{k}" for k in range(12)]
+    docs = [(1, " ".join(words[:11])), (2, "nothing of it"), (3, " ".join(words))]
+    items = [(None, " ".join(words[:10])), ("a", " ".join(words[2:12])), (None, None)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    for block in (1 << 20, 8):
+        found = find_contamination(documents(docs), benchmark, block_bytes=block).collect()
+        assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in found} == brute.contamination(docs, items[:2])
+    alone = find_contamination(documents(docs), benchmark.filter("item_id is null")).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in alone} == {1: (10, []), 2: (0, []), 3: (10, [])}
