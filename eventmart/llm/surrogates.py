@@ -7,8 +7,13 @@ made from a keyed hash: letters become letters of their script and case, digits
 valid or invalid, names keep the title's gender and their script, hosts end in the reserved `.example`.
 
 No two entities of a kind share a surrogate and none gets what another entity really is: colliding ones
-are made again with the next number, round by round, until none collides. The rounds are joins on tables
-in the shared folder. All of it is DataFrame functions; only rows with mentions are joined to surrogates.
+are made again with the next number, round by round, until none collides. Where many entities have one shape
+there may be more of them than surrogates of it, so after every `LENGTHENED` rounds those that still collide grow
+by a letter or digit; addresses of hosts and card numbers, of which there are enough, keep their length. The rounds
+are joins on tables in the shared folder. All of it is DataFrame functions; only rows with mentions are joined to surrogates.
+
+Known limits: a name is its words, so that `Mr. John Smith` and `Mr. Smith` are two entities, and a name without a
+title is not found.
 
 Defined cases: a null text stays null; repeated rows are rewritten alike; without mentions a text is
 returned as it is.
@@ -30,7 +35,9 @@ SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ -]\d{4})(?!\w)"
 _HE = r"Mr|Herr|Herrn|Monsieur|Señor|Sr|Signor|господин|κύριος"
 _SHE = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Signora|госпожа|κυρία"
-NAME = rf"(?<!\w)(?:{_HE}|{_SHE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
+# One to three words, each with inner capitals, apostrophes and hyphens.
+_WORD = r"\p{Lu}\p{L}*+(?:['’-]\p{L}++)*+"
+NAME = rf"(?<!\w)(?:{_HE}|{_SHE})\.? {_WORD}(?: {_WORD}){{0,2}}"
 KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "ssn": SSN, "phone": PHONE, "name": NAME}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 
@@ -52,6 +59,8 @@ NAMES = {
 }
 
 RESULTS = ["n_entities", "entity_kinds"]
+# Rounds after which colliding surrogates grow by a character.
+LENGTHENED = 4
 
 
 def kind_of(value: Column) -> Column:
@@ -120,7 +129,12 @@ def _ip(hashed: Column) -> Column:
     return F.concat_ws(".", *[o.cast("string") for o in octets])
 
 
-def _name(entity: Column, hashed: Column) -> Column:
+def _more(hashed: Column, longer: Column, letters: str) -> Column:
+    """Some characters more, from a part of the hash of its own."""
+    return F.translate(F.substr(F.sha2(hashed, 256), F.lit(1), longer), _HEX, letters)
+
+
+def _name(entity: Column, hashed: Column, longer: Column) -> Column:
     script = F.when(entity.rlike(r"\p{IsCyrillic}"), "cyrillic").when(entity.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
     gender = F.substring(entity, 1, 1)
     given = F.lit("")
@@ -129,7 +143,10 @@ def _name(entity: Column, hashed: Column) -> Column:
         own = F.get(F.array(*[F.lit(n) for n in names.split()]), pick)
         given = F.when((script == s) & (gender == g), own).otherwise(given)
     last = F.regexp_extract(entity, r"(\S+)$", 1)
-    family = F.initcap(_same_shape(last, hashed))
+    more = F.lit("")
+    for name, letters in (("latin", _LATIN), ("cyrillic", _CYRILLIC), ("greek", _GREEK)):
+        more = F.when(script == name, _more(hashed, longer, letters)).otherwise(more)
+    family = F.initcap(F.concat(_same_shape(last, hashed), more))
     # A name of one word is a family name.
     return F.when(entity.rlike(r"^\S+ \S+ \S+"), F.concat_ws(" ", given, family)).otherwise(family)
 
@@ -140,16 +157,17 @@ def _keyed(key: str, *values: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), inner), 256)
 
 
-def surrogate_of(kind: Column, entity: Column, hashed: Column) -> Column:
-    """The replacement of an entity in its plain form."""
+def surrogate_of(kind: Column, entity: Column, hashed: Column, longer: Column) -> Column:
+    """The replacement of an entity in its plain form, by some characters longer than the entity."""
     host = F.regexp_replace(F.regexp_extract(entity, "@(.*)$", 1), r"\.[^.]+$", "")
-    email = F.concat(_same_shape(F.regexp_extract(entity, "^([^@]*)", 1), hashed), F.lit("@"), _same_shape(host, F.reverse(hashed)), F.lit(".example"))
+    local = F.concat(_same_shape(F.regexp_extract(entity, "^([^@]*)", 1), hashed), _more(hashed, longer, _LATIN))
+    email = F.concat(local, F.lit("@"), _same_shape(host, F.reverse(hashed)), F.lit(".example"))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", _ip(hashed))
         .when(kind == "card", _card(entity, hashed))
-        .when(kind == "name", _name(entity, hashed))
-        .otherwise(_same_shape(entity, hashed))
+        .when(kind == "name", _name(entity, hashed, longer))
+        .otherwise(F.concat(_same_shape(entity, hashed), _more(hashed, longer, "0123456789012345")))
     )
 
 
@@ -162,7 +180,11 @@ def _formatted(kind: Column, value: Column, surrogate: Column) -> Column:
         at = F.length(_digits(F.substr(value, F.lit(1), i + 1)))
         return F.when(c.rlike(r"\d") & (at > country), F.substr(surrogate, at, F.lit(1))).otherwise(c)
 
-    number = F.array_join(F.transform(F.split(value, _EACH), one), "")
+    # What a surrogate has more digits is written at the end.
+    number = F.concat(
+        F.array_join(F.transform(F.split(value, _EACH), one), ""),
+        F.substr(surrogate, F.length(_digits(value)) + 1, F.length(surrogate)),
+    )
     title = F.regexp_extract(value, r"^(\S+ )", 1)
     upper = value == F.upper(value)
     return (
@@ -176,14 +198,16 @@ def _formatted(kind: Column, value: Column, surrogate: Column) -> Column:
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """(kind, entity, surrogate) for distinct (kind, entity): one to one in a kind, and never an entity.
 
-    Of entities with one surrogate the first keeps it; the others try their next one.
+    Of entities with one surrogate the first keeps it; the others try their next one, which in time is longer, so
+    that there is always an end.
     """
     real = entities.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("real"))
     tried = entities.withColumn("attempt", F.lit(0))
     while True:
         hashed = _keyed(key, F.col("kind"), F.col("entity"), F.col("attempt").cast("string"))
         made = tried.withColumn("hashed", hashed)
-        made = made.withColumn("surrogate", surrogate_of(F.col("kind"), F.col("entity"), F.col("hashed"))).drop("hashed")
+        longer = F.floor(F.col("attempt") / LENGTHENED).cast("int")
+        made = made.withColumn("surrogate", surrogate_of(F.col("kind"), F.col("entity"), F.col("hashed"), longer)).drop("hashed")
         order = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "entity"))
         made = made.withColumn("at", order).join(real, ["kind", "surrogate"], "left")
         made = made.withColumn("again", (F.col("at") > 1) | F.col("real").isNotNull()).drop("at", "real")
