@@ -29,6 +29,7 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -432,10 +433,12 @@ def _byte_scores(docs: DataFrame, key: Column, learns: Column, text: str) -> Dat
     # A bucket's contexts come before what is asked of it.
     dealt = model.unionByName(asked).repartition(buckets, "bucket")
     dealt = dealt.sortWithinPartitions("bucket", F.col("counts").isNull())
-    sent = docs.sparkSession.sparkContext.broadcast(top)
+    # Plain arrays, so that executors need no copy of the package.
+    sent = docs.sparkSession.sparkContext.broadcast((top.given, top.left))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, current, contexts = sent.value, None, None
+        given, left = sent.value
+        top, current, contexts = SimpleNamespace(given=given, left=left), None, None
         for batch in batches:
             for bucket, piece, keys, counts in zip(*batch.columns, strict=True):
                 if bucket.as_py() != current:
