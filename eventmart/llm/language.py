@@ -257,10 +257,12 @@ def _unpack(batches):
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """`docs` with the predicted language, the cosine to its nearest centroid, and whether it is rejected."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays, so that executors need no copy of the package.
+    own = None if model is None else (model.languages, model.centroids, model.idf, model.least)
+    sent = docs.sparkSession.sparkContext.broadcast(own)
 
     def make():
-        model = sent.value
+        model = None if sent.value is None else Model(*sent.value)
 
         def work(texts, batch):
             n = len(texts)
