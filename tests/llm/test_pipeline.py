@@ -109,4 +109,4 @@ def test_edge_cases_go_through_all_stages(spark, documents, tmp_path):
 
 
 def test_queries_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries()) == list(range(1, 14))
