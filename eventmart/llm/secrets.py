@@ -6,8 +6,12 @@ zlib or gzip data. Layers go on the worklist until nothing new appears; a layer
 before is not taken again, so that cycles end. Each layer is scanned with the same patterns, and findings
 are mapped to the characters of the original text they come from.
 
+Base64 may be wrapped in lines and may stand behind other characters of its alphabet, as in a path: a run that
+is not Base64 as a whole is searched for packed data behind each separator, then for text at each of the four
+alignments. Content is UTF-8, UTF-16 or Latin-1.
+
 Defined cases: a null text is empty; repeated rows are scanned each on its own; Base64 is decoded only where
-the result is printable text, or compressed data of such. Packed data that would grow beyond
+three quarters of the result are printable text, or compressed data of such. Packed data that would grow beyond
 `MAX_UNPACKED` bytes is left packed (a guard against bombs, not a limit on texts) and counted in
 `n_left_packed`.
 """
@@ -15,7 +19,6 @@ the result is printable text, or compressed data of such. Packed data that would
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -44,8 +47,16 @@ MAX_UNPACKED = 64 << 20
 
 _ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}")
-# The shortest secret has 12 characters, which are 16 in Base64.
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# The shortest secret has 12 characters, which are 16 in Base64. More lines may follow.
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{2,})*={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_SEPARATED = re.compile(r"(?<=[/_-])[A-Za-z0-9+]")
+# Text within decoded bytes: one byte a character, or two.
+_STRETCH = re.compile(
+    rb"(?:[\t\n\r\x20-\x7E]\x00){12,}|(?:\x00[\t\n\r\x20-\x7E]){12,}|[\t\n\r\x20-\x7E]{12,}"
+)
+_PLAIN = bytes([9, 10, 13, *range(32, 127)])
+_STANDARD = str.maketrans("-_", "+/")
 
 _BASE64_BYTES = np.zeros(256, bool)
 _BASE64_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-"]] = True
@@ -83,21 +94,44 @@ def scan_text(text: str) -> list[Found]:
     return found + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
+def _mostly_text(text: str) -> bool:
+    """Are three quarters of the characters printable?"""
+    raw = text.encode("utf-8")
+    if (len(raw) - len(raw.translate(None, _PLAIN))) * 4 >= len(text) * 3:
+        return True
+    return not text.isascii() and sum(c.isprintable() or c in "\t\n\r" for c in text) * 4 >= len(text) * 3
+
+
 def _printable(raw: bytes) -> str | None:
+    """The text of bytes, None if they are no text for the most part."""
+    if not raw:
+        return None
+    zeros = raw.count(0)
+    if zeros * 4 >= len(raw) and len(raw) % 2 == 0:
+        code = "utf-16-le" if raw[1::2].count(0) * 2 >= zeros else "utf-16-be"
+    else:
+        code = "utf-8"
     try:
-        text = raw.decode("utf-8")
+        text = raw.decode(code)
+        return text if _mostly_text(text) else None
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        # Any bytes are Latin-1, so that only plain characters speak for it.
+        plain = len(raw) - len(raw.translate(None, _PLAIN))
+        return raw.decode("latin-1") if plain * 4 >= len(raw) * 3 else None
 
 
 class _TooLarge(Exception):
     pass
 
 
+def _is_packed(raw: bytes) -> bool:
+    """Do these bytes begin like zlib or gzip data?"""
+    return raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and int.from_bytes(raw[:2]) % 31 == 0)
+
+
 def _unpack(raw: bytes) -> bytes | None:
     """The content of zlib or gzip data, None if it is neither."""
-    if not (raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and int.from_bytes(raw[:2]) % 31 == 0)):
+    if not _is_packed(raw):
         return None
     machine = zlib.decompressobj(47)
     try:
@@ -109,32 +143,33 @@ def _unpack(raw: bytes) -> bytes | None:
         return None
 
 
-def _url(run: str) -> str | None:
-    return _printable(unquote_to_bytes(run))
+Pieces = list[tuple[int, int, str]]  # start and end in the run, and what stands there decoded
+
+
+def _url(run: str) -> Pieces:
+    raw = unquote_to_bytes(run)
+    try:
+        return [(0, len(run), raw.decode("utf-8"))]
+    except UnicodeDecodeError:
+        return [(0, len(run), raw.decode("latin-1"))]
 
 
-def _unicode(run: str) -> str | None:
-    if run.startswith("\\u{"):
-        code = int(run[3:-1], 16)
-        return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
-    if run.startswith("\\u"):
+def _unicode(run: str) -> Pieces:
+    if run.startswith("\\u") and not run.startswith("\\u{"):
         units = b"".join(int(run[i + 2 : i + 6], 16).to_bytes(2) for i in range(0, len(run), 6))
         try:
-            return units.decode("utf-16-be")
+            return [(0, len(run), units.decode("utf-16-be"))]
         except UnicodeDecodeError:
-            return None
-    code = int(run[2:], 16)
-    return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
+            return []
+    code = int(run[3:-1] if run.startswith("\\u{") else run[2:], 16)
+    return [(0, len(run), chr(code))] if code < 0x110000 and not 0xD800 <= code < 0xE000 else []
 
 
-def _base64(run: str) -> str | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+def _content(body: str) -> str | None:
+    """The text that Base64 without its padding holds, packed or not."""
     if len(body) % 4 == 1:
         return None
-    try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
+    raw = base64.b64decode(body + "=" * (-len(body) % 4))
     unpacked = _unpack(raw)
     # Packed data may itself be packed.
     while unpacked is not None:
@@ -142,29 +177,123 @@ def _base64(run: str) -> str | None:
     return _printable(raw)
 
 
+def _packed_from(body: str, begin: int) -> tuple[int, str] | None:
+    """Packed data that begins here, however it goes on: where it ends, and its text. Read until it fails."""
+    if not _is_packed(base64.b64decode(body[begin : begin + 4].ljust(4, "A"))):
+        return None
+    machine, out, size, step = zlib.decompressobj(47), [], 0, 1 << 14
+    try:
+        for at in range(begin, len(body), step):
+            part = body[at : at + step]
+            part = part[: len(part) - 1] if len(part) % 4 == 1 else part
+            out.append(machine.decompress(base64.b64decode(part + "=" * (-len(part) % 4)), MAX_UNPACKED + 1 - size))
+            size += len(out[-1])
+            if not size:
+                # A header that goes on for so long is none.
+                return None
+            if size > MAX_UNPACKED:
+                raise _TooLarge
+            if machine.eof:
+                raw = b"".join(out)
+                unpacked = _unpack(raw)
+                while unpacked is not None:
+                    raw, unpacked = unpacked, _unpack(unpacked)
+                text = _printable(raw)
+                # What follows the data is no part of it.
+                end = min(len(body), at + -(-(len(part) * 3 // 4 - len(machine.unused_data)) * 4 // 3))
+                return None if text is None else (end, text)
+    except zlib.error:
+        pass
+    return None
+
+
+def _within(run: str, body: str) -> Pieces:
+    """Base64 within a run of its alphabet that is none as a whole. `body` is the run in the standard alphabet."""
+    found, end = [], 0
+    for m in _SEPARATED.finditer(run):
+        if m.start() >= end:
+            own = _packed_from(body, m.start())
+            if own is not None:
+                end = own[0]
+                found.append((m.start(), end, own[1]))
+    if found:
+        return found
+    for shift in range(4):
+        size = (len(body) - shift) // 4 * 4
+        tail = len(body) - shift - size
+        part = body[shift:] if tail != 1 else body[shift : shift + size]
+        raw = base64.b64decode(part + "=" * (-len(part) % 4))
+        for m in _STRETCH.finditer(raw):
+            a, b = m.span()
+            # The characters that hold these bytes.
+            found.append((shift + a * 4 // 3, min(len(body), shift - (-b * 4 // 3)), m.group().replace(b"\0", b"").decode("ascii")))
+    # The longest count where several alignments give text in the same place.
+    taken, mark = [], bytearray(len(body))
+    for a, b, own in sorted(found, key=lambda x: (x[0] - x[1], x[0])):
+        if mark.find(1, a, b) < 0:
+            mark[a:b] = b"\1" * (b - a)
+            taken.append((a, b, own))
+    return sorted(taken)
+
+
+def _wrapped(lines: list[tuple[int, int]], k: int) -> int:
+    """How many lines from here on belong together: one of 16 characters or more, then lines of its length,
+    then one that may be shorter."""
+    width, n = lines[k][1] - lines[k][0], 1
+    while width >= 16 and k + n < len(lines) and lines[k + n - 1][1] - lines[k + n - 1][0] == width:
+        if lines[k + n][1] - lines[k + n][0] > width:
+            break
+        n += 1
+    return n
+
+
+def _base64(run: str) -> Pieces:
+    text = run.translate(_STANDARD)
+    lines = [m.span() for m in _LINE.finditer(run)]
+    found: Pieces = []
+    k = 0
+    while k < len(lines):
+        n = _wrapped(lines, k)
+        block, k = lines[k : k + n], k + n
+        new = _content("".join(text[a:b] for a, b in block)) if n > 1 else None
+        if new is not None:
+            found.append((block[0][0], len(run) if k == len(lines) else block[-1][1], new))
+            continue
+        # No text together: each by itself.
+        for a, b in block:
+            if b - a >= 16:
+                new = _content(text[a:b])
+                if new is not None:
+                    found.append((a, len(run) if b == lines[-1][1] else b, new))
+                else:
+                    found += [(a + x, a + y, own) for x, y, own in _within(run[a:b], text[a:b])]
+    return found
+
+
 _DECODERS = ((_ESCAPES, _url), (_UNICODE, _unicode), (_BASE64, _base64))
 
 
 def _decode(layer: str, pattern: re.Pattern, decode, starts: np.ndarray, ends: np.ndarray):
     """The layer with what could be decoded in place, and the origin of each of its characters.
 
-    A decoded run is one piece: each of its characters comes from the whole run. Returns None if
+    Each character of what is decoded comes from the whole piece that held it. Returns None if
     nothing was decoded, and how many runs were left packed.
     """
     parts, origin_starts, origin_ends, end, packed = [], [], [], 0, 0
     for m in pattern.finditer(layer):
         try:
-            new = decode(m.group())
+            pieces = decode(m.group())
         except _TooLarge:
             packed += 1
             continue
-        if new is None or new == m.group():
-            continue
-        a, b = m.span()
-        parts += [layer[end:a], new]
-        origin_starts += [starts[end:a], np.full(len(new), starts[a])]
-        origin_ends += [ends[end:a], np.full(len(new), ends[b - 1])]
-        end = b
+        for x, y, new in pieces:
+            a, b = m.start() + x, m.start() + y
+            if new == layer[a:b]:
+                continue
+            parts += [layer[end:a], new]
+            origin_starts += [starts[end:a], np.full(len(new), starts[a])]
+            origin_ends += [ends[end:a], np.full(len(new), ends[b - 1])]
+            end = b
     if not parts:
         return None, packed
     return ("".join([*parts, layer[end:]]), np.concatenate([*origin_starts, starts[end:]]),
@@ -227,8 +356,10 @@ def suspects(texts) -> np.ndarray:
     marks.append(starts[long[digits >= 24]])
     raw = data.tobytes()
     for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+        run = raw[a:b].decode("ascii")
         try:
-            if _base64(raw[a:b].decode("ascii")) is not None:
+            # Packed data may go on in the next line.
+            if _is_packed(base64.b64decode(run[:4].translate(_STANDARD))) or _base64(run):
                 marks.append(np.array([a]))
         except _TooLarge:
             marks.append(np.array([a]))

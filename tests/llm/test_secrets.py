@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import base64
 import gzip
+import random
+import textwrap
+import time
 import zlib
 from urllib.parse import quote
 
@@ -32,6 +35,18 @@ LAYERS = {
     "zlib": b64(zlib.compress(SECRET.encode() * 9)),
     "gzip": b64(gzip.compress(SECRET.encode())),
     "url safe, not padded": base64.urlsafe_b64encode(b"password=>>>???aaa~~~").decode().rstrip("="),
+    "base64 with a no-break space": b64(f"\u00a0{SECRET}".encode()),
+    "base64 of Latin-1": b64(f"caf\u00e9 {SECRET}".encode("latin-1")),
+    "base64 of UTF-16": b64(SECRET.encode("utf-16-le")),
+    "base64 of big-endian UTF-16": b64(SECRET.encode("utf-16-be")),
+    "base64 in a path": f"https://h.example/q/{b64(SECRET.encode())}",
+    "base64 of UTF-16 in a path": f"https://h.example/quote/{b64(SECRET.encode('utf-16-le'))}",
+    "gzip in a path": f"https://h.example/q/{b64(gzip.compress(SECRET.encode())).rstrip('=')}",
+    "base64 in lines": "\n".join(textwrap.wrap(b64(f"{'a line of text. ' * 9}{SECRET}".encode()), 64)),
+    "base64 in lines cut within the secret": "\r\n".join(textwrap.wrap(b64(b"0123456789" * 4 + SECRET.encode()), 64)),
+    "gzip in lines": "\n".join(textwrap.wrap(b64(gzip.compress(SECRET.encode())), 20)),
+    "percent with zero": "".join(f"%{b:02x}" for b in f"\0{SECRET}".encode()),
+    "percent of Latin-1": "".join(f"%{b:02x}" for b in f"\u00e9{SECRET}".encode("latin-1")),
     "percent of base64": quote(b64(SECRET.encode()), safe="") + "%3D",
 }
 
@@ -55,6 +70,21 @@ def test_cycles_end_and_prose_has_one_layer():
     assert secrets.scan("thationtionedshtherewith and nothing else")[1] == 1
 
 
+def test_random_runs_have_no_layers():
+    dice = random.Random(3)
+    runs = [b64(dice.randbytes(dice.randint(12, 90))) for _ in range(2000)]
+    assert sum(secrets.scan(run)[1] > 1 for run in runs) <= 4
+    words = ["/".join("".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)) for _ in range(2000)]
+    assert sum(secrets.scan(w)[1] > 1 for w in words) <= 4
+
+
+@pytest.mark.parametrize("unit", ["YWFh/", "eJ-", "H4sI/", "abcdefghijklmnopqrst\n", "/", "abcdefghijklmnop_%41"])
+def test_very_long_runs_take_time_in_proportion(unit):
+    began = time.time()
+    secrets.scan(unit * 40_000 + SECRET)
+    assert time.time() - began < 10
+
+
 def test_base_spans_stay_when_layers_add_some():
     text = f"password: hunter2hunter2 AKIA{'Z9' * 8} {'0af' * 9} {LAYERS['base64']}"
     spans, _, _ = secrets.scan(text)
