@@ -2,8 +2,10 @@
 
 Segments are the whole text, its lines and its sentences, in lower case, cut into words. A segment with `a`
 distinct bigrams can reach the threshold t with a template of `b` only if a * t / (2 - t) <= b <=
-a * (2 - t) / t; only templates within these bounds are compared. The templates are few and fixed, so they
-are literals of the plan: all of it is DataFrame functions on the row, without a shuffle.
+a * (2 - t) / t; only templates within these bounds are compared. A segment that reaches it shares at least
+b * t / (2 - t) bigrams, so that it has one of a few words or bigrams (`marks`): texts and segments with none of these
+are never cut into words. The templates are few and fixed, so they are literals of the plan: all of it is
+DataFrame functions on the row, without a shuffle.
 
 Defined cases: a null or empty text, and one without two words in a row, matches nothing; of templates that
 match equally well, the first by name counts; repeated rows are scanned each on its own.
@@ -11,8 +13,10 @@ match equally well, the first by name counts; repeated rows are scanned each on
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +24,8 @@ from pyspark.sql import functions as F
 from eventmart.llm.arrow import kept_columns
 
 THRESHOLD = 0.8
+# Words from this length on are looked for by themselves.
+LONG_WORD = 4
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -134,6 +140,44 @@ def _bounds(size: int, threshold: float) -> tuple[float, float]:
     return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
 
 
+def marks(forms: Sequence[Sequence[str]], threshold: float) -> list[str]:
+    """Long words and, where these do not do, bigrams, one of which is in every segment that reaches the threshold
+    with one of the forms.
+
+    Such a segment has at least `b * t / (2 - t)` bigrams of a form, so that marks which lie in more of its
+    bigrams than it may lack cannot all be missing.
+    """
+    found: list[str] = []
+
+    def covered(form: Sequence[str]) -> set[str]:
+        return {b for b in form if any(m == b or any(m in w for w in b.split(" ")) for m in found)}
+
+    for form in sorted(forms, key=len, reverse=True):
+        # An error of the division must not ask for too little.
+        may_lack = len(form) - max(1, math.ceil(len(form) * threshold / (2 - threshold) - 1e-9))
+        long = {w for b in form for w in b.split(" ") if len(w) >= LONG_WORD}
+        for mark in [*sorted(long, key=lambda w: (-len(w), w)), *sorted(form, key=lambda b: (-len(b), b))]:
+            before = covered(form)
+            if len(before) > may_lack:
+                break
+            found.append(mark)
+            if len(covered(form)) == len(before):
+                found.pop()
+    # A word that holds another one is not needed.
+    return [m for m in found if not any(v != m and any(v in w for w in m.split(" ")) for v in found)]
+
+
+def _marked(value: Column, needed: Sequence[str]) -> Column:
+    """Has a text in lower case one of the marks? What is cheap is asked first."""
+
+    def one(mark: str) -> Column:
+        own = mark.split(" ")
+        found = reduce(lambda a, b: a & b, [F.contains(value, F.lit(w)) for w in own])
+        return found & F.rlike(value, F.lit(SEPARATORS.join(own))) if len(own) > 1 else found
+
+    return reduce(lambda a, b: a | b, [one(m) for m in needed])
+
+
 def find_licenses(
     docs: DataFrame,
     text: str = "text",
@@ -147,14 +191,21 @@ def find_licenses(
     least = min(_bounds(len(b), threshold)[0] for _, b in forms)
     most = max(_bounds(len(b), threshold)[1] for _, b in forms)
 
-    value = F.translate(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), _UPPER, _LOWER)
+    needed = marks([form for _, form in forms], threshold)
+    # `lower` is cheaper than `translate`, and treats what the marks are made of alike.
+    source = docs.select(
+        *[F.col(f"`{c}`").alias(f"_{k}_") for k, c in enumerate(columns)],
+        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text_"),
+    ).select("*", F.lower("_text_").alias("_lower_"))
+    value = F.translate("_text_", _UPPER, _LOWER)
     segments = F.concat(F.array(value), F.split(value, r"\n"), F.split(value, SENTENCE_ENDS))
     # A segment has fewer bigrams than characters, so that short ones fall out at once.
-    segments = F.array_distinct(F.filter(segments, lambda s: F.length(s) > int(least)))
+    segments = F.array_distinct(F.filter(segments, lambda s: (F.length(s) > int(least)) & _marked(s, needed)))
     # Step by step, so that no list is made again for each of its elements.
     sets = F.transform(F.transform(segments, _segment_words), _distinct_bigrams)
     sets = F.filter(sets, lambda b: F.size(b).between(least, most))
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], sets.alias("_sets_"))
+    sets = F.when(_marked(F.col("_lower_"), needed), sets).otherwise(F.array().cast("array<array<string>>"))
+    rows = source.select(*[F.col(f"_{k}_").alias(c) for k, c in enumerate(columns)], sets.alias("_sets_"))
 
     def score(name: str, form: list[str]) -> Column:
         low, high = _bounds(len(form), threshold)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -9,6 +10,7 @@ import pytest
 from eventmart.llm import licenses
 
 MIT = licenses.TEMPLATES["MIT"][2]
+MARKS = licenses.marks([licenses.bigrams(f) for forms in licenses.TEMPLATES.values() for f in forms], licenses.THRESHOLD)
 
 
 def plain(text, threshold=licenses.THRESHOLD):
@@ -48,3 +50,25 @@ def test_cases(documents):
 def test_some_are_found():
     assert [x[0] for x in plain(CASES[3])] == ["MIT"] and plain(CASES[11]) == []
     assert plain(CASES[6])[0] == ("MIT", 1.0)
+
+
+def test_marks_are_in_every_text_that_matches():
+    dice = random.Random(5)
+    for forms in licenses.TEMPLATES.values():
+        for form in forms:
+            own = licenses.words(form)
+            for _ in range(300):
+                # As many words gone or replaced as may be, in blocks and single.
+                some = list(own)
+                for _ in range(dice.randint(1, max(1, len(some) // 4))):
+                    at = dice.randrange(len(some))
+                    some[at : at + dice.randint(1, 3)] = dice.choice([[], ["zq"]])
+                    some = some or ["zq"]
+                text = " ".join(some)
+                if plain(text):
+                    assert any(m in text for m in MARKS), text
+
+
+def test_marks_with_other_thresholds():
+    for threshold in (0.3, 0.5, 0.95, 1.0):
+        assert licenses.marks([["a b", "b c"], ["x y"]], threshold)
