@@ -11,7 +11,8 @@ where the next one opens. Two rules are offered:
 An ordered window puts an entity into one task. An entity too large for that is cut into pieces by the
 hour: its rows are compared within each piece, and the pieces are joined up from one summary row per
 piece. Which entities those are is a join with their counts, part of the same plan; the others are one
-piece each and pass through the same windows.
+piece each and pass through the same windows. A caller that knows of no large one says so with `max_rows=None`:
+then there is one shuffle of the events, on the entity, and no join.
 
 That join must not put a large entity into one task either, nor leave its rows placed by the entity alone,
 which would do for the windows as well. So it is on the entity and a salt: however Spark joins, rows reach the
@@ -84,6 +85,14 @@ def _windows() -> tuple[WindowSpec, WindowSpec]:
     return in_piece, Window.partitionBy("repo_name").orderBy("_piece")
 
 
+def _last_at_each_time(events: DataFrame, window: WindowSpec) -> DataFrame:
+    return (
+        events.withColumn("_following", F.lead("event_created_at").over(window))
+        .filter(~F.col("_following").eqNullSafe(F.col("event_created_at")))
+        .drop("_following")
+    )
+
+
 def _opening(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool) -> DataFrame:
     """The events that open versions."""
     in_piece, over_pieces = _windows()
@@ -93,12 +102,7 @@ def _opening(events: DataFrame, attributes: tuple[Attribute, ...], strict: bool)
     events = events.withColumn("_in_pieces", in_pieces).drop("_is_large")
     if strict:
         # Events at one time are in one piece.
-        following = F.lead("event_created_at").over(in_piece)
-        events = (
-            events.withColumn("_following", following)
-            .filter(~F.col("_following").eqNullSafe(F.col("event_created_at")))
-            .drop("_following")
-        )
+        events = _last_at_each_time(events, in_piece)
     position = F.struct(F.col("event_created_at").isNull(), "event_created_at", "event_id")
     carried = (
         events.filter("_in_pieces")
@@ -135,15 +139,25 @@ def _ended(opened: DataFrame) -> DataFrame:
     )
 
 
+def _over_entity() -> WindowSpec:
+    """Over all events of an entity."""
+    return Window.partitionBy("repo_name").orderBy(*_ascending())
+
+
 def _opened(
     events: DataFrame,
     strict: bool,
     attributes: tuple[Attribute, ...],
     sizes: DataFrame | None,
-    max_rows: int,
+    max_rows: int | None,
 ) -> DataFrame:
     if strict:
         events = events.filter(F.col("event_created_at").isNotNull())
+    if max_rows is None:
+        if strict:
+            events = _last_at_each_time(events, _over_entity())
+        previous = F.lag(_snapshot(attributes)).over(_over_entity())
+        return events.withColumn("_previous", previous).filter(_opens(attributes, strict)).drop("_previous")
     # The entity is null in no row of `events`.
     large = large_entities(events if sizes is None else sizes, max_rows)
     return _opening(_in_pieces(events, large), attributes, strict)
@@ -155,15 +169,19 @@ def versions(
     strict: bool = True,
     attributes: tuple[Attribute, ...] = ENTITY_ATTRIBUTES,
     sizes: DataFrame | None = None,
-    max_rows: int = MAX_ROWS_PER_TASK,
+    max_rows: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Versions with `valid_from` and `valid_to`, from rows made by `entity_events`.
 
     `sizes` holds a `repo_name` per row, for counting rows per entity: `events` itself, or anything
-    cheaper that has at least as many rows per entity.
+    cheaper that has at least as many rows per entity. With `max_rows` None no entity is large.
     """
     names = [a.name for a in attributes]
-    found = _ended(_opened(events, strict, attributes, sizes, max_rows))
+    opened = _opened(events, strict, attributes, sizes, max_rows)
+    if max_rows is None:
+        found = opened.withColumn("valid_to", F.lead("event_created_at").over(_over_entity()))
+    else:
+        found = _ended(opened)
     return found.select("repo_name", *names, F.col("event_created_at").alias("valid_from"), "valid_to")
 
 
@@ -173,7 +191,7 @@ def change_log(
     strict: bool = True,
     attributes: tuple[Attribute, ...] = ENTITY_ATTRIBUTES,
     sizes: DataFrame | None = None,
-    max_rows: int = MAX_ROWS_PER_TASK,
+    max_rows: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """The events that open versions, without looking for where these end. Options as for `versions`."""
     found = _opened(events, strict, attributes, sizes, max_rows)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.json import at_path, parse_paths, select_paths
-from eventmart.operators.dedup import PAYLOAD_HASH, RANKING, latest_copies
+from eventmart.operators.dedup import PAYLOAD_HASH, RANKING, latest_copies, latest_copies_of
 from eventmart.schemas import ENTITY_ATTRIBUTES, SILVER_FIELDS, Attribute
 
 _COLUMNS = ("event_id", "event_type", "actor_login", "repo_name", "event_created_at", "ingested_at")
@@ -64,19 +64,29 @@ def entity_events(raw: DataFrame, attributes: tuple[Attribute, ...] = ENTITY_ATT
 
     The payload is parsed and hashed before the dedup, so only the snapshot is shuffled.
     """
-    narrow = raw.select(
+    return _about_entities(latest_copies(_snapshots(raw, attributes)), attributes)
+
+
+def entity_events_of(
+    raw: DataFrame, ids: DataFrame, lowest: str | None, highest: str | None, attributes: tuple[Attribute, ...]
+) -> DataFrame:
+    """`entity_events` of the events in `ids`, which holds each id once, with the bounds of these."""
+    return _about_entities(latest_copies_of(_snapshots(raw, attributes), ids, lowest, highest), attributes)
+
+
+def _snapshots(raw: DataFrame, attributes: tuple[Attribute, ...]) -> DataFrame:
+    return raw.select(
         "event_id",
         *RANKING,
         F.xxhash64("payload").alias(PAYLOAD_HASH),
         parse_paths("payload", [a.path for a in attributes]).alias("_snapshot"),
     )
-    return (
-        latest_copies(narrow)
-        .filter(F.col("repo_name").isNotNull())
-        .select(
-            "repo_name",
-            "event_created_at",
-            "event_id",
-            *[at_path("_snapshot", a.path).try_cast(a.type).alias(a.name) for a in attributes],
-        )
+
+
+def _about_entities(latest: DataFrame, attributes: tuple[Attribute, ...]) -> DataFrame:
+    return latest.filter(F.col("repo_name").isNotNull()).select(
+        "repo_name",
+        "event_created_at",
+        "event_id",
+        *[at_path("_snapshot", a.path).try_cast(a.type).alias(a.name) for a in attributes],
     )

@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.functions.keys import bucket_of
-from eventmart.operators.dedup import copies_of
-from eventmart.operators.scd2 import MAX_ROWS_PER_TASK, dimension
-from eventmart.operators.silver import entity_events
+from eventmart.operators.scd2 import MAX_ROWS_PER_TASK, dimension, large_entities
+from eventmart.operators.silver import entity_events, entity_events_of
 from eventmart.schemas import ENTITY_ATTRIBUTES, Attribute, dimension_schema
 from eventmart.sources import copies, files, progress
 from eventmart.sources.bronze import part_of, read_loads, read_parts, read_raw_events
@@ -130,17 +129,17 @@ class DimensionTable:
         latest = self.read_current().agg(F.max("valid_from")).first()[0]
         progress.set_high_water(self.spark, self.layout, NAME, latest)
 
+    def _versions(self, events: DataFrame, attributes: tuple[Attribute, ...], sizes: DataFrame) -> DataFrame:
+        """The dimension over some events. Whether any entity is large is asked first: few tables have one."""
+        none_large = large_entities(sizes, self.max_rows).isEmpty()
+        return dimension(events, attributes, sizes=sizes, max_rows=None if none_large else self.max_rows)
+
     def build(self, loads: list[str] | None = None) -> None:
         """Build the whole table from bronze. `loads` are logged as done."""
         # Listed before bronze is, so that no load is logged as done that was not read.
         done = loads if loads is not None else progress.pending(self.spark, self.layout, NAME)
         raw = read_raw_events(self.spark, self.layout)
-        rows = dimension(
-            entity_events(raw, self.attributes),
-            self.attributes,
-            sizes=raw.select("repo_name"),
-            max_rows=self.max_rows,
-        )
+        rows = self._versions(entity_events(raw, self.attributes), self.attributes, raw.select("repo_name"))
         progress.started(self.spark, self.layout, NAME, done, [EVERYTHING])
         self._note_columns(self.attributes)
         self._write(self._placed(rows), "static")
@@ -154,7 +153,7 @@ class DimensionTable:
         # Columns of an earlier schema are filled again as well.
         attributes = self.all_attributes()
         events = entity_events(raw, attributes).filter(in_buckets)
-        rows = dimension(events, attributes, sizes=raw.select("repo_name").filter(in_buckets), max_rows=self.max_rows)
+        rows = self._versions(events, attributes, raw.select("repo_name").filter(in_buckets))
         for bucket in buckets:
             for state in (_IN_FORCE, _PAST):
                 files.delete(self.spark, f"{self.layout.dimension}/state={state}/bucket={bucket}")
@@ -205,14 +204,13 @@ class DimensionTable:
         copy in reach, then all copies of those, then the dedup. The index tells the ids, and the folders of
         bronze their copies are in, which are the only ones opened.
         """
-        ids, _ = stage(copies.since(touched, self.layout, since, buckets).distinct(), "reach-ids")
+        ids, seen = copies.ids_of(copies.since(touched, self.layout, since, buckets), self.layout)
         # As many as there are folders at most.
         places = F.collect_set(F.struct("ingested_date", "load"))
-        found = copies.find(ids, self.layout)
-        _, seen = stage(found, "copies", low=F.min("event_id"), high=F.max("event_id"), places=places)
-        parts = [part_of(p["ingested_date"], p["load"]) for p in seen["places"]]
-        raw = copies_of(read_parts(self.spark, self.layout, sorted(parts)), ids, seen["low"], seen["high"])
-        events = entity_events(raw, self.attributes)
+        found = copies.find_ids(ids, seen, self.layout).agg(places).first()[0]
+        parts = [part_of(p["ingested_date"], p["load"]) for p in found]
+        raw = read_parts(self.spark, self.layout, sorted(parts))
+        events = entity_events_of(raw, ids, seen["low"], seen["high"], self.attributes)
         same = (events["repo_name"] == touched["repo_name"]) & (events["event_created_at"] >= touched["since"])
         return stage(events.join(touched, same, "left_semi"), "events")[0]
 
@@ -232,17 +230,16 @@ class DimensionTable:
             F.lit("").alias("event_id"),
             *[f"anchor.{n}" for n in names],
         )
-        fresh = dimension(
-            seeds.unionByName(events, allowMissingColumns=True),
-            attributes,
-            max_rows=self.max_rows,
-        )
+        events = seeds.unionByName(events, allowMissingColumns=True)
+        fresh = self._versions(events, attributes, events.select("repo_name"))
         fresh, newest = stage(self._placed(fresh), "fresh", at=F.max("valid_from"))
 
         # Stored versions from the anchor on are replaced, in the partitions where any of them changes.
         bounds = touched.join(anchors, "repo_name", "left").select(
             "repo_name", F.coalesce("anchor.valid_from", "since").alias("bound")
         )
+        # Staged, so that its size is known where it is joined, and the stored versions are not shuffled for a small one.
+        bounds, _ = stage(bounds, "bounds")
         replaced = (stored["repo_name"] == bounds["repo_name"]) & (stored["valid_from"] >= bounds["bound"])
         old = stored.join(bounds, replaced, "left_semi")
         parts = self._changed(old, fresh).collect()
@@ -280,9 +277,21 @@ class DimensionTable:
 
     @staticmethod
     def _changed(old: DataFrame, new: DataFrame) -> DataFrame:
-        """The partitions in which two sets of versions differ, nulls being equal, and whether the new one has rows there."""
-        columns = old.columns
-        rows = old.withColumn("_one", F.lit(-1)).unionByName(new.select(*columns).withColumn("_one", F.lit(1)))
-        differs = rows.groupBy(*columns).agg(F.sum("_one").alias("_one")).filter("_one <> 0").select(_partition().alias("part"))
-        fresh = new.select(_partition().alias("part"), F.lit(True).alias("is_fresh")).distinct()
-        return differs.distinct().join(fresh, "part", "left").withColumn("is_fresh", F.coalesce("is_fresh", F.lit(False)))
+        """The partitions in which two sets of versions differ, nulls being equal, and whether the new one has rows there.
+
+        Told by the number of versions and the sums of two hashes of them, 128 bits in all, which tasks add up: no
+        version is shuffled.
+        """
+        # A hash passes over nulls, so it takes in where they are.
+        values = [value for c in old.columns for value in (F.col(c), F.col(c).isNull())]
+        hashes = {"_first": F.xxhash64(*values), "_second": F.xxhash64(F.lit(1), *values)}
+
+        def told(rows: DataFrame, sign: int) -> DataFrame:
+            sums = [(F.lit(sign) * column.cast("decimal(20,0)")).alias(name) for name, column in hashes.items()]
+            return rows.select(_partition().alias("part"), F.lit(sign).alias("_one"), *sums)
+
+        sums = told(old, -1).unionByName(told(new, 1)).groupBy("part").agg(
+            *[F.sum(name).alias(name) for name in ("_one", *hashes)], (F.max("_one") == 1).alias("is_fresh")
+        )
+        differs = (F.col("_one") != 0) | (F.col("_first") != 0) | (F.col("_second") != 0)
+        return sums.filter(differs).select("part", "is_fresh")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,10 +97,19 @@ def _read(spark: SparkSession, layout: Layout, folders: list[str]) -> DataFrame:
 
 def find(rows: DataFrame, layout: Layout) -> DataFrame:
     """All copies of the events whose ids `rows` has, with the day and load each is in."""
-    spark = rows.sparkSession
-    ids = rows.select("event_id").distinct().withColumn("bucket", bucket_of("event_id", _buckets(spark, layout)))
+    return find_ids(*ids_of(rows, layout), layout)
+
+
+def ids_of(rows: DataFrame, layout: Layout) -> tuple[DataFrame, dict[str, Any]]:
+    """The ids `rows` has, each once and staged, with the lowest and highest and their buckets."""
+    ids = rows.select("event_id").distinct().withColumn("bucket", bucket_of("event_id", _buckets(rows.sparkSession, layout)))
     # One number for each bucket at most.
-    ids, seen = stage(ids, "ids", low=F.min("event_id"), high=F.max("event_id"), buckets=F.collect_set("bucket"))
+    return stage(ids, "ids", low=F.min("event_id"), high=F.max("event_id"), buckets=F.collect_set("bucket"))
+
+
+def find_ids(ids: DataFrame, seen: dict[str, Any], layout: Layout) -> DataFrame:
+    """All copies of the events in what `ids_of` gave."""
+    spark = ids.sparkSession
     wanted = [f"kind={_BY_ID}/bucket={b}" for b in sorted(seen["buckets"])]
     folders = [f for f in wanted if files.exists(spark, f"{layout.copies}/{f}")]
     return copies_of(_read(spark, layout, folders), ids, seen["low"], seen["high"]).drop("kind", "bucket", "month")

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.operators import quality
 from eventmart.operators.silver import event_facts
@@ -265,3 +266,71 @@ def test_published_ids_are_read_by_bucket(spark, topic, monkeypatch):  # noqa: F
     assert sorted(r["event_id"] for r in own(spark, layout).collect()) == ids
     send(event("e5"), event("g"))
     assert publishing.publish(spark, file_source(path), out, layout) == 1
+
+
+def test_an_update_shuffles_snapshots_once_and_no_stored_version(lake, monkeypatch):
+    """As where tables are too large for a broadcast: what a staged frame's plan, or the comparison's, shuffles."""
+    plans, own, changed = {}, dimension.stage, dimension.DimensionTable._changed
+
+    def plan(rows):
+        return rows._jdf.queryExecution().executedPlan().toString().splitlines()
+
+    def recorded(rows, name, **metrics):
+        plans[name] = plan(rows)
+        return own(rows, name, **metrics)
+
+    def compared(old, new):
+        # As they are read, without the join that picks them.
+        plans["changed"] = plan(changed(new, new))
+        return changed(old, new)
+
+    monkeypatch.setattr(dimension, "stage", recorded)
+    monkeypatch.setattr(dimension.DimensionTable, "_changed", staticmethod(compared))
+    rows = [raw_row(None, "own", at(24 * 3 + 1), at(24 * 9), stars="5"), raw_row("late", "own", at(24), at(24 * 9), stars="6")]
+    write_load(frame(lake.spark, rows), lake.layout, "late")
+    progress.loaded(lake.spark, lake.layout, "late", 2, 0)
+    lake.rows += rows
+    threshold = lake.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    lake.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lake.dimension.update(["late"])
+    finally:
+        lake.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    lake.fact.update(["late"])
+    lake.check()
+
+    def exchanges(name):
+        return [line.split("Exchange ")[1] for line in plans[name] if "Exchange " in line]
+
+    # The copies and the ids for the join, then both sides of the join with the touched entities; none for the window.
+    assert [e.split("#")[0] for e in exchanges("events")] == [
+        "hashpartitioning(repo_name", "hashpartitioning(_id", "hashpartitioning(_id", "hashpartitioning(repo_name"]
+    # Payloads are parsed below that shuffle.
+    lines = plans["events"]
+    parsed = max(i for i, line in enumerate(lines) if "from_json" in line)
+    assert [i for i, line in enumerate(lines) if "Exchange hashpartitioning(_id" in line][0] < parsed
+    assert [e.split("#")[0] for e in exchanges("fresh")] == ["hashpartitioning(repo_name"]
+    assert [e.split("#")[0] for e in exchanges("changed")] == ["hashpartitioning(part"]
+
+
+def test_partitions_that_differ_are_told_by_nulls_and_microseconds_as_well(spark, lake):
+    table = lake.dimension
+    stored = table._stored().filter("repo_name = 'own'")
+    assert stored.count() == 5 and table._changed(stored, stored).collect() == []
+    parts = {r["part"] for r in stored.select(dimension._partition().alias("part")).collect()}
+    moved = {
+        "repo_description": "cast(null as string)",
+        "repo_language": "repo_description",
+        "valid_from": "valid_from + interval 1 microsecond",
+        "stargazers_count": "stargazers_count + 1",
+    }
+    for column, value in moved.items():
+        other = stored.withColumn(column, F.expr(value))
+        assert {r["part"] for r in table._changed(stored, other).collect()} == parts, column
+    # The same values where others are null.
+    left = stored.withColumn("repo_language", F.lit(None).cast("string")).withColumn("repo_description", F.lit("a"))
+    right = stored.withColumn("repo_language", F.lit("a")).withColumn("repo_description", F.lit(None).cast("string"))
+    assert {r["part"] for r in table._changed(left, right).collect()} == parts
+    none = stored.limit(0)
+    assert {(r["part"], r["is_fresh"]) for r in table._changed(stored, none).collect()} == {(p, False) for p in parts}
+    assert {(r["part"], r["is_fresh"]) for r in table._changed(none, stored).collect()} == {(p, True) for p in parts}

@@ -40,6 +40,16 @@ def test_random_histories(spark, seed, max_rows):
     assert Counter(compatible) == Counter(compatible_versions(rows))
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_without_large_entities_there_is_one_shuffle_of_the_events(spark, strict):
+    rows = random_rows(random.Random(3), worlds=40, events=14)
+    events = spark.createDataFrame(entity_events(frame(spark, rows)).collect(), entity_events(frame(spark, rows)).schema)
+    found = dimension(events, strict=strict, max_rows=None)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    wanted = strict_versions(rows) if strict else compatible_versions(rows)
+    assert Counter(stored_versions(found)) == Counter(wanted)
+
+
 def test_a_hot_entity_is_split_and_others_are_not(spark):
     start = datetime(2024, 1, 1)
     rows = [
