@@ -24,7 +24,6 @@ and no token is known.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import os
 import zlib
@@ -34,7 +33,7 @@ from types import SimpleNamespace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -381,13 +380,53 @@ def all_contexts(training: DataFrame, text: str, buckets: int) -> tuple[DataFram
 
 
 _PIECES = T.StructType(
-    [T.StructField("piece", T.LongType()), T.StructField("bucket", T.IntegerType())]
-    + [T.StructField(c, T.BinaryType()) for c in ("keys", "documents", "offsets", "data")]
+    [T.StructField("piece", T.LongType())]
+    + [T.StructField(c, T.BinaryType()) for c in ("documents", "learns", "offsets", "data")]
 )
-_ANSWERS = T.StructType(
-    [T.StructField("piece", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("logs", T.BinaryType())]
-)
-_SCORES = "_score_key_ long, _words_ long, score double"
+
+
+def _pieces(docs: DataFrame, key: Column, learns: Column, text: str) -> DataFrame:
+    """The texts in packed pieces, staged, so that a piece keeps its name in all that is made of it."""
+
+    def make():
+        def work(texts, batch):
+            data, offsets = utf8(texts)
+            return {
+                "piece": [int.from_bytes(os.urandom(8), "little", signed=True)],
+                "documents": [pack(batch.column("_also_key").to_numpy(), "<i8")],
+                "learns": [pack(batch.column("_also_learns").to_numpy(zero_copy_only=False), "u1")],
+                "offsets": [pack(offsets, "<i8")],
+                "data": [zlib.compress(data.tobytes(), 1)],
+            }
+
+        return work
+
+    return stage(emit(docs, text, _PIECES, make, {"key": key, "learns": learns}), "pieces")[0]
+
+
+def _opened(data: bytes, offsets: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(zlib.decompress(data), np.uint8), unpack(offsets, "<i8")
+
+
+def _asked(pieces: DataFrame, names: list[str], ask) -> DataFrame:
+    """(piece, bucket, ...): what each piece asks the buckets, a row for each that it asks. `ask` gives
+    the columns from the data, offsets and learning documents of a piece."""
+    schema = T.StructType(
+        [T.StructField("piece", T.LongType()), T.StructField("bucket", T.IntegerType())]
+        + [T.StructField(c, T.BinaryType()) for c in names]
+    )
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * len(names)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, learns, offsets, data in zip(*batch.columns, strict=True):
+                columns = ask(*_opened(data.as_buffer(), offsets.as_buffer()), unpack(learns.as_buffer(), "u1"))
+                made = [[piece.as_py()] * len(columns[0]), *columns]
+                made = [pa.array(c, kind) for c, kind in zip(made, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(made, schema.fieldNames())
+            release()
+
+    return pieces.select("piece", "learns", "offsets", "data").mapInArrow(run, schema)
 
 
 def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -398,49 +437,54 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(own[order], np.arange(buckets + 1))
 
 
-def _byte_scores(docs: DataFrame, key: Column, learns: Column, text: str) -> DataFrame:
-    """(_score_key_, _words_, score) of each document."""
-    # A context's nearest two bytes are in one bucket.
-    buckets = min(bucket_count(text_bytes(docs, text)), 1 << 15)
-    model, top = all_contexts(docs.filter(learns), text, buckets)
+_LOGS = T.StructType(
+    [T.StructField("piece", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("logs", T.BinaryType())]
+)
 
-    def make():
-        def work(texts, batch):
-            data, offsets = utf8(texts)
-            line, at, _ = _padded(data, offsets)
-            keys = np.unique(_keys(line, at))
-            order, cuts = _by_bucket(keys, buckets)
-            keys = _ordered(keys[order])
-            own = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-            # The rows are staged, so that a piece keeps its name.
-            piece = int.from_bytes(os.urandom(8), "little", signed=True)
-            none = [None] * len(own)
-            documents = pack(batch.column("_also_key").to_numpy(), "<i8")
-            return {
-                "piece": [piece] * (len(own) + 1),
-                "bucket": [*own, None],
-                "keys": [*[pack(keys[cuts[b] : cuts[b + 1]], "<i8") for b in own], None],
-                "documents": [*none, documents],
-                "offsets": [*none, pack(offsets, "<i8")],
-                "data": [*none, zlib.compress(data.tobytes(), 1)],
-            }
 
-        return work
+def _byte_logs(pieces: DataFrame, training: DataFrame, text: str, buckets: int) -> DataFrame:
+    """(piece, bucket, logs): log10 of each distinct n-gram of a piece that is of the bucket, in order."""
+    model, top = all_contexts(training, text, buckets)
+
+    def ask(data, offsets, learns):
+        line, at, _ = _padded(data, offsets)
+        keys = np.unique(_keys(line, at))
+        order, cuts = _by_bucket(keys, buckets)
+        keys = _ordered(keys[order])
+        own = np.flatnonzero(cuts[1:] > cuts[:-1])
+        return own, [pack(keys[cuts[b] : cuts[b + 1]], "<i8") for b in own]
 
-    staged, _ = stage(emit(docs, text, _PIECES, make, {"key": key}), "pieces")
-    asked = staged.filter("bucket is not null").select("bucket", "piece", "keys", F.lit(None).cast("binary").alias("counts"))
+    asked = _asked(pieces, ["keys"], ask)
+    asked = asked.select("bucket", "piece", "keys", F.lit(None).cast("binary").alias("counts"))
     model = model.select("bucket", F.lit(None).cast("long").alias("piece"), "keys", "counts")
     # A bucket's contexts come before what is asked of it.
     dealt = model.unionByName(asked).repartition(buckets, "bucket")
     dealt = dealt.sortWithinPartitions("bucket", F.col("counts").isNull())
     # Plain arrays, so that executors need no copy of the package.
-    sent = docs.sparkSession.sparkContext.broadcast((top.given, top.left))
+    sent = pieces.sparkSession.sparkContext.broadcast((top.given, top.left))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given, left = sent.value
         top, current, contexts = SimpleNamespace(given=given, left=left), None, None
+        # What many pieces ask of a bucket is answered at once: a piece asks ever less of each of more buckets.
+        held: list[tuple[int, np.ndarray]] = []
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            if held:
+                cuts = np.cumsum([0, *(len(own) for _, own in held)])
+                logs = contexts.log10(np.concatenate([own for _, own in held]), top)
+                logs = [pack(logs[a:b], "<f4") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                columns = [[piece for piece, _ in held], [current] * len(held), logs]
+                made = [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.binary()), strict=True)]
+                held.clear()
+                yield pa.RecordBatch.from_arrays(made, _LOGS.fieldNames())
+
+        size = 0
         for batch in batches:
             for bucket, piece, keys, counts in zip(*batch.columns, strict=True):
+                if bucket.as_py() != current or size >= _HELD >> 2:
+                    yield from answered()
+                    size = 0
                 if bucket.as_py() != current:
                     none = np.zeros(0, np.int64)
                     current, contexts = bucket.as_py(), BucketContexts(none, none)
@@ -448,129 +492,108 @@ def _byte_scores(docs: DataFrame, key: Column, learns: Column, text: str) -> Dat
                 if counts.is_valid:
                     contexts = BucketContexts(own, unpack(counts.as_buffer(), "<i8"))
                     continue
-                logs = pack(contexts.log10(own, top), "<f4")
-                columns = [pa.array([piece.as_py()], pa.int64()), pa.array([current], pa.int32()), pa.array([logs], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, _ANSWERS.fieldNames())
+                held.append((piece.as_py(), own))
+                size += len(own)
+        yield from answered()
         release()
 
-    answers = dealt.mapInArrow(answer, _ANSWERS)
+    return dealt.mapInArrow(answer, _LOGS)
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows[rows["bucket"].isna()].iloc[0]
-        found = rows[rows["bucket"].notna()].sort_values("bucket")
-        offsets = unpack(own["offsets"], "<i8")
-        data = np.frombuffer(zlib.decompress(own["data"]), np.uint8)
-        line, at, first = _padded(data, offsets)
-        keys, place = np.unique(_keys(line, at), return_inverse=True)
-        order, _ = _by_bucket(keys, buckets)
-        logs = np.empty(len(keys))
-        logs[order] = np.concatenate([unpack(b, "<f4") for b in found["logs"]])
-        _, _, words = bounds(data, offsets, NOT_SPACE)
-        made = {"_score_key_": unpack(own["documents"], "<i8"), "_words_": np.diff(words), "score": np.add.reduceat(logs[place], first)}
-        release()
-        return pd.DataFrame(made)
-
-    texts = staged.filter("bucket is null").drop("keys").withColumn("logs", F.lit(None).cast("binary"))
-    both = texts.unionByName(answers, allowMissingColumns=True)
-    scores = both.groupBy("piece").applyInPandas(add, _SCORES)
-    # Rows alike in id and text have one key and one score.
-    return scores.groupBy("_score_key_").agg(F.max("_words_").alias("_words_"), F.max("score").alias("score"))
 
-
-_WORDS = T.StructType(
-    [T.StructField("bucket", T.IntegerType())]
-    + [T.StructField(c, T.BinaryType()) for c in ("documents", "learns", "hash", "document", "times")]
-)
-_PARTS = "piece long, bucket int, documents binary, known binary, weight binary, distinct long, tokens long"
-_SUMS = "key long, known long, weight double"
+# Bytes of text for each bucket of words, of which a piece asks once for each.
+_WORD_BUCKET = 32 << 20
+_COUNTS = "piece long, bucket int, counts binary, distinct long, tokens long"
 
 
-def _word_sums(docs: DataFrame, key: Column, learns: Column, text: str) -> tuple[DataFrame, int, int]:
-    """(key, known, weight) of each document that has words, distinct training words, and training words.
+def _word_counts(pieces: DataFrame, buckets: int) -> tuple[DataFrame, int, int]:
+    """(piece, bucket, counts): how often each distinct word of a piece that is of the bucket is in training
+    documents, in order; distinct training words, and training words.
 
-    A bucket of words returns one row to each piece of documents, and a piece adds up those of all buckets.
+    No row is about a document: a piece sends each of its words once and gets a count for it, however many
+    documents and buckets there are.
     """
-    buckets = bucket_count(text_bytes(docs, text))
 
-    def make():
-        def work(texts, batch):
-            data, offsets = utf8(texts)
-            data = LOWER[data]
-            starts, ends, at = bounds(data, offsets, NOT_SPACE)
-            words = hashes(data, starts, ends)
-            documents = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(at))
-            order = np.argsort(words, kind="stable")
-            words, documents = words[order], documents[order]
-            if not len(words):
-                return None
-            heads = np.flatnonzero(
-                np.concatenate([[True], (words[1:] != words[:-1]) | (documents[1:] != documents[:-1])])
-            )
-            times = np.diff(np.append(heads, len(words)))
-            words, documents = words[heads], documents[heads]
-            cuts = slices(words, buckets)
-            own = [(b, cuts[b], cuts[b + 1]) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-            keys = pack(batch.column("_also_key").to_numpy(), "<i8")
-            learns = pack(batch.column("_also_learns").to_numpy(zero_copy_only=False), "u1")
-            n = len(own)
-            return {
-                "bucket": [b for b, _, _ in own],
-                "documents": [keys] * n,
-                "learns": [learns] * n,
-                "hash": [pack(words[a:b], "<u8") for _, a, b in own],
-                "document": [pack(documents[a:b], "<u4") for _, a, b in own],
-                "times": [pack(times[a:b], "<u4") for _, a, b in own],
-            }
-
-        return work
+    def ask(data, offsets, learns):
+        words, documents = _words(data, offsets)
+        words, place = np.unique(words, return_inverse=True)
+        times = np.bincount(place, learns[documents], len(words))
+        cuts = slices(words, buckets)
+        own = np.flatnonzero(cuts[1:] > cuts[:-1])
+        hashed, times = ([pack(c[cuts[b] : cuts[b + 1]], kind) for b in own] for c, kind in ((words, "<u8"), (times, "<u4")))
+        return own, hashed, times
 
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [unpack(b, "<i8") for b in rows["documents"]]
-        first = np.cumsum([0, *map(len, keys)])
-        learns = np.concatenate([unpack(b, "u1") for b in rows["learns"]]) > 0
-        words = np.concatenate([unpack(b, "<u8") for b in rows["hash"]])
-        blobs = zip(rows["document"], first, strict=False)
-        documents = np.concatenate([unpack(b, "<u4").astype(np.int64) + f for b, f in blobs])
-        times = np.concatenate([unpack(b, "<u4") for b in rows["times"]])
+        words = [unpack(b, "<u8") for b in rows["hash"]]
+        cuts = np.cumsum([0, *map(len, words)])
+        words = np.concatenate(words)
+        times = np.concatenate([unpack(b, "<u4") for b in rows["times"]]).astype(np.int64)
         order = np.argsort(words)
         heads = np.flatnonzero(np.concatenate([[True], words[order][1:] != words[order][:-1]]))
-        sizes = np.diff(np.append(heads, len(words)))
-        seen = np.add.reduceat(np.where(learns[documents], times, 0)[order].astype(np.int64), heads)
+        seen = np.add.reduceat(times[order], heads)
         count = np.empty(len(words), np.int64)
-        count[order] = np.repeat(seen, sizes)
-        known = np.bincount(documents, np.where(count > 0, times, 0), first[-1])
-        weight = np.bincount(documents, times * np.log10(count + 1.0), first[-1])
+        count[order] = np.repeat(seen, np.diff(np.append(heads, len(words))))
         bucket = int(rows["bucket"].iloc[0])
         out = [
-            (_piece_of(blob), bucket, blob, pack(known[a:b], "<u4"), pack(weight[a:b], "<f8"), 0, 0)
-            for blob, a, b in zip(rows["documents"], first[:-1], first[1:], strict=True)
+            (piece, bucket, pack(count[a:b], "<i8"), 0, 0)
+            for piece, a, b in zip(rows["piece"].tolist(), cuts[:-1], cuts[1:], strict=True)
         ]
-        out.append((None, bucket, None, None, None, int((seen > 0).sum()), int(seen.sum())))
-        found = pd.DataFrame(out, columns=[c.split()[0] for c in _PARTS.split(", ")])
+        out.append((None, bucket, None, int((seen > 0).sum()), int(seen.sum())))
+        found = pd.DataFrame(out, columns=[c.split()[0] for c in _COUNTS.split(", ")])
         found["piece"] = pd.array([r[0] for r in out], "Int64")
+        release()
         return found
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["bucket", "documents", "weight"])
-        keys = unpack(rows["documents"].iloc[0], "<i8")
-        known = sum(unpack(b, "<u4").astype(np.int64) for b in rows["known"])
-        weight = sum(unpack(b, "<f8") for b in rows["weight"])
-        return pd.DataFrame({"key": keys, "known": known, "weight": weight})
-
-    blobs = emit(docs, text, _WORDS, make, {"key": key, "learns": learns})
-    parts, seen = stage(
-        blobs.groupBy("bucket").applyInPandas(reduce, _PARTS), "words", distinct=F.sum("distinct"), tokens=F.sum("tokens")
+    asked = _asked(pieces, ["hash", "times"], ask)
+    counts, seen = stage(
+        asked.groupBy("bucket").applyInPandas(reduce, _COUNTS), "words", distinct=F.sum("distinct"), tokens=F.sum("tokens")
     )
-    sums = parts.filter("piece is not null").groupBy("piece").applyInPandas(add, _SUMS)
-    # A document may be in several pieces if its row is repeated.
-    sums = sums.groupBy(F.col("key").alias("_sum_key_"))
-    sums = sums.agg(F.sum("known").alias("_known_"), F.sum("weight").alias("_weight_"))
-    return sums, int(seen["distinct"] or 0), int(seen["tokens"] or 0)
+    counts = counts.filter("piece is not null").select("piece", "bucket", "counts")
+    return counts, int(seen["distinct"] or 0), int(seen["tokens"] or 0)
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each lower-cased word, and its text."""
+    data = LOWER[data]
+    starts, ends, at = bounds(data, offsets, NOT_SPACE)
+    return hashes(data, starts, ends), np.repeat(np.arange(len(offsets) - 1), np.diff(at))
+
+
+_SUMS = "_sum_key_ long, _words_ long, _known_ long, _weight_ double, score double"
+
+
+def _sums(pieces: DataFrame, logs: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """(_sum_key_, _words_, _known_, _weight_, score) of each document."""
 
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("bucket")
+        own = rows[rows["data"].notna()].iloc[0]
+        data, offsets = _opened(own["data"], own["offsets"])
+        line, at, first = _padded(data, offsets)
+        keys, place = np.unique(_keys(line, at), return_inverse=True)
+        order, _ = _by_bucket(keys, buckets)
+        logs = np.empty(len(keys))
+        logs[order] = np.concatenate([unpack(b, "<f4") for b in rows["logs"].dropna()])
+        score = np.add.reduceat(logs[place], first)
+        del line, at, keys, place, order, logs
+        words, documents = _words(data, offsets)
+        words, place = np.unique(words, return_inverse=True)
+        counts = np.concatenate([np.zeros(0, np.int64), *[unpack(b, "<i8") for b in rows["counts"].dropna()]])[place]
+        n = len(score)
+        made = {
+            "_sum_key_": unpack(own["documents"], "<i8"),
+            "_words_": np.bincount(documents, minlength=n),
+            "_known_": np.bincount(documents, counts > 0, n).astype(np.int64),
+            "_weight_": np.bincount(documents, np.log10(counts + 1.0), n),
+            "score": score,
+        }
+        release()
+        return pd.DataFrame(made)
 
-def _piece_of(documents: bytes) -> int:
-    """Names a piece by its documents. Pieces of the same ones are added up, as repeated rows are."""
-    return int.from_bytes(hashlib.blake2b(documents, digest_size=8).digest(), "little", signed=True)
+    both = pieces.drop("learns").unionByName(logs, allowMissingColumns=True)
+    sums = both.unionByName(counts, allowMissingColumns=True).groupBy("piece").applyInPandas(add, _SUMS)
+    # Rows alike in id and text have one key and the same sums.
+    names = [c.split()[0] for c in _SUMS.split(", ")]
+    return sums.groupBy(names[0]).agg(*[F.max(c).alias(c) for c in names[1:]])
 
 
 RESULTS = T.StructType(
@@ -601,20 +624,23 @@ def score(
     # A null condition teaches nothing and holds nothing out.
     learns = F.coalesce(learn, F.lit(False))
     training = docs.filter(learns)
-    sums, distinct, tokens = _word_sums(docs, key, learns, text)
-    scores = _byte_scores(docs, key, learns, text)
+    # A context's nearest two bytes are in one bucket.
+    n_bytes = text_bytes(docs, text)
+    buckets = min(bucket_count(n_bytes), 1 << 15)
+    pieces = _pieces(docs, key, learns, text)
+    counts, distinct, tokens = _word_counts(pieces, bucket_count(n_bytes, _WORD_BUCKET))
+    logs = _byte_logs(pieces, training, text, buckets)
+    sums = _sums(pieces, logs, counts, buckets)
     size = F.coalesce(F.octet_length(value), F.lit(0)) + 1
     scored = docs.select(*[F.col(f"`{c}`") for c in columns], key.alias("_key_"), size.alias("_size_"),
                          F.coalesce(~learn, F.lit(False)).alias("_held_"))
 
     documents = training.count()
     distinct, tokens = distinct + (documents > 0), tokens + documents
-    # Rows alike in id and text have one key, and their sums are of all of them.
-    scored = scored.withColumn("_alike_", F.count(F.lit(1)).over(Window.partitionBy("_key_")))
-    joined = scored.join(scores, F.col("_key_") == F.col("_score_key_")).join(sums, F.col("_key_") == F.col("_sum_key_"), "left")
+    joined = scored.join(sums, F.col("_key_") == F.col("_sum_key_"))
     n_tokens = F.col("_words_") + 1
-    known = F.coalesce(F.col("_known_") / F.col("_alike_"), F.lit(0)).cast("long") + int(documents > 0)
-    weight = F.coalesce(F.col("_weight_") / F.col("_alike_"), F.lit(0.0)) + math.log10(documents + 1)
+    known = F.col("_known_") + int(documents > 0)
+    weight = F.col("_weight_") + math.log10(documents + 1)
     return joined.select(
         *[F.col(f"`{c}`") for c in columns],
         F.col("_held_").alias("held_out"),

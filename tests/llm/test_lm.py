@@ -163,3 +163,35 @@ def test_rare_contexts_count_however_many_there_are(documents):
         raw = text.encode()
         line, at, _ = lm._padded(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         assert got[k] == pytest.approx(tree.log10(line, at).astype(float).sum(), rel=1e-5)
+
+
+def test_what_is_shuffled_about_documents_does_not_grow_with_buckets(documents, monkeypatch):
+    """Buckets grow with the input. What they return must not have a part for each document."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(3))
+    rows = [(k, " ".join(word() for _ in range(4))) for k in range(3000)]
+    learn = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    want = brute.unigram(rows)
+    stage, packed = lm.stage, []
+
+    def weighed(frame, name, **metrics):
+        staged, seen = stage(frame, name, **metrics)
+        blobs = [F.sum(F.octet_length(c)) for c, kind in staged.dtypes if kind == "binary"]
+        packed.append(sum(n or 0 for n in staged.agg(*blobs).first()) if blobs else 0)
+        return staged, seen
+
+    monkeypatch.setattr(lm, "stage", weighed)
+    results = {}
+    for buckets in (2, 64):
+        packed.clear()
+        monkeypatch.setattr(lm, "bucket_count", lambda *_, n=buckets: n)
+        found = {r["doc_id"]: r for r in lm.score(documents(rows), learn).collect()}
+        results[buckets] = sum(packed), found
+    (few, a), (many, b) = results[2], results[64]
+    assert few and many < 1.5 * few
+    assert len(a) == len(b) == len(rows)
+    for k, (held, n, known, total, base) in want.items():
+        assert b[k]["score"] == pytest.approx(a[k]["score"], rel=1e-5)
+        for r in (a[k], b[k]):
+            assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total)
+            assert r["base_score"] == pytest.approx(base, rel=1e-9)
