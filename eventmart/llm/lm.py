@@ -75,6 +75,20 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[heads], np.add.reduceat(counts, heads)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of n-grams, ascending, and which of them each key is."""
+    if len(keys) > 1 << 24:
+        return np.unique(keys, return_inverse=True)
+    # A key has 40 bits, so that key and place sort as one number.
+    both = np.sort(keys << np.uint64(24) | np.arange(len(keys), dtype=np.uint64))
+    keys = both >> np.uint64(24)
+    head = np.ones(len(keys), bool)
+    head[1:] = keys[1:] != keys[:-1]
+    place = np.empty(len(keys), np.int64)
+    place[(both & np.uint64((1 << 24) - 1)).astype(np.int64)] = np.cumsum(head) - 1
+    return keys[head], place
+
+
 def _ngrams(training: DataFrame, text: str) -> DataFrame:
     """(key, n): how often each byte follows each context."""
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())])
@@ -448,7 +462,8 @@ def _byte_logs(pieces: DataFrame, training: DataFrame, text: str, buckets: int)
 
     def ask(data, offsets, learns):
         line, at, _ = _padded(data, offsets)
-        keys = np.unique(_keys(line, at))
+        keys = np.sort(_keys(line, at))
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
         order, cuts = _by_bucket(keys, buckets)
         keys = _ordered(keys[order])
         own = np.flatnonzero(cuts[1:] > cuts[:-1])
@@ -569,7 +584,7 @@ def _sums(pieces: DataFrame, logs: DataFrame, counts: DataFrame, buckets: int) -
         own = rows[rows["data"].notna()].iloc[0]
         data, offsets = _opened(own["data"], own["offsets"])
         line, at, first = _padded(data, offsets)
-        keys, place = np.unique(_keys(line, at), return_inverse=True)
+        keys, place = _distinct(_keys(line, at))
         order, _ = _by_bucket(keys, buckets)
         logs = np.empty(len(keys))
         logs[order] = np.concatenate([unpack(b, "<f4") for b in rows["logs"].dropna()])

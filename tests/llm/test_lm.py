@@ -195,3 +195,11 @@ def test_what_is_shuffled_about_documents_does_not_grow_with_buckets(documents,
         for r in (a[k], b[k]):
             assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total)
             assert r["base_score"] == pytest.approx(base, rel=1e-9)
+
+
+def test_distinct_keys():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 5000, (1 << 24) + 3):
+        keys = rng.integers(0, 900, n).astype(np.uint64) << np.uint64(30) | np.uint64(255)
+        found, place = lm._distinct(keys)
+        assert np.array_equal(found, np.unique(keys)) and np.array_equal(found[place], keys)
