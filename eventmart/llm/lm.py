@@ -80,13 +80,18 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(keys) > 1 << 24:
         return np.unique(keys, return_inverse=True)
     # A key has 40 bits, so that key and place sort as one number.
-    both = np.sort(keys << np.uint64(24) | np.arange(len(keys), dtype=np.uint64))
+    both = keys << np.uint64(24)
+    both |= np.arange(len(keys), dtype=np.uint64)
+    both.sort()
     keys = both >> np.uint64(24)
+    both &= np.uint64((1 << 24) - 1)
     head = np.ones(len(keys), bool)
     head[1:] = keys[1:] != keys[:-1]
-    place = np.empty(len(keys), np.int64)
-    place[(both & np.uint64((1 << 24) - 1)).astype(np.int64)] = np.cumsum(head) - 1
-    return keys[head], place
+    keys, rank = keys[head], np.cumsum(head)
+    rank -= 1
+    place = np.empty(len(head), np.int64)
+    place[both.view(np.int64)] = rank
+    return keys, place
 
 
 def _ngrams(training: DataFrame, text: str) -> DataFrame:
@@ -462,7 +467,9 @@ def _byte_logs(pieces: DataFrame, training: DataFrame, text: str, buckets: int)
 
     def ask(data, offsets, learns):
         line, at, _ = _padded(data, offsets)
-        keys = np.sort(_keys(line, at))
+        keys = _keys(line, at)
+        del line, at
+        keys.sort()
         keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
         order, cuts = _by_bucket(keys, buckets)
         keys = _ordered(keys[order])
@@ -584,12 +591,14 @@ def _sums(pieces: DataFrame, logs: DataFrame, counts: DataFrame, buckets: int) -
         own = rows[rows["data"].notna()].iloc[0]
         data, offsets = _opened(own["data"], own["offsets"])
         line, at, first = _padded(data, offsets)
-        keys, place = _distinct(_keys(line, at))
+        keys = _keys(line, at)
+        del line, at
+        keys, place = _distinct(keys)
         order, _ = _by_bucket(keys, buckets)
         logs = np.empty(len(keys))
         logs[order] = np.concatenate([unpack(b, "<f4") for b in rows["logs"].dropna()])
         score = np.add.reduceat(logs[place], first)
-        del line, at, keys, place, order, logs
+        del keys, place, order, logs
         words, documents = _words(data, offsets)
         words, place = np.unique(words, return_inverse=True)
         counts = np.concatenate([np.zeros(0, np.int64), *[unpack(b, "<i8") for b in rows["counts"].dropna()]])[place]
